@@ -53,7 +53,8 @@ def read_locations_table(spark, sf_dir):
 @query("locations_schema", _ALL)
 def locations_schema(spark, sf_dir):
     path = scratch_path(spark, "json")
-    _required(spark, sf_dir).write.json(path, timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    _required(spark, sf_dir).write.option("timestampNTZFormat", micros).json(path)
     return spark.read.schema(L.locations_schema()).json(path)
 
 
@@ -188,6 +189,12 @@ _FACT_COLUMNS = ", ".join(
 )
 
 
+def _new_warehouse(spark, label):
+    root = scratch_path(spark, label)
+    W.create_warehouse(spark, root)
+    return root
+
+
 def _fact_shown(fact):
     return rounded(fact.drop("fecha_carga"), senal_dbm=2, velocidad=2)
 
@@ -195,7 +202,7 @@ def _fact_shown(fact):
 @query("append_facts", f"SELECT {_FACT_COLUMNS} FROM fact")
 def append_facts(spark, sf_dir):
     """Half of the facts, then all of them twice: each is kept once."""
-    root = scratch_path(spark, "append")
+    root = _new_warehouse(spark, "append")
     whole = build_fact(prepare_measurements(locations(spark, sf_dir), districts(spark)))
     W.append_facts(spark, root, _early_fact(spark, sf_dir))
     W.append_facts(spark, root, whole.unionAll(whole))
@@ -231,7 +238,7 @@ def _zones_shown(zones):
  SELECT zid, nombre, zlat, zlon, radius FROM built_in_zones WHERE zid NOT IN (SELECT zona_id FROM ({_NET_ZONES}))""",
 )
 def upsert_zones(spark, sf_dir):
-    root = scratch_path(spark, "zones")
+    root = _new_warehouse(spark, "zones")
     W.upsert_zones(spark, root, dim_zone(spark))
     W.upsert_zones(spark, root, _busy_zones(spark, sf_dir, "old "))
     W.upsert_zones(spark, root, _busy_zones(spark, sf_dir, ""))
@@ -246,7 +253,7 @@ def upsert_zones(spark, sf_dir):
 )
 def update_zone_names(spark, sf_dir):
     """Name each zone after its number of measurements."""
-    root = scratch_path(spark, "names")
+    root = _new_warehouse(spark, "names")
     W.upsert_zones(spark, root, dim_zone(spark))
     measured = prepare_measurements(locations(spark, sf_dir), districts(spark))
     names = measured.groupBy("zona_id").agg(F.count(F.lit(1)).alias("n"))
@@ -258,7 +265,7 @@ def update_zone_names(spark, sf_dir):
 @query("insert_ignore_dimension", "SELECT * FROM dim_tiempo")
 def insert_ignore_dimension(spark, sf_dir):
     """The dates of the early readings, then all dates twice."""
-    root = scratch_path(spark, "dates")
+    root = _new_warehouse(spark, "dates")
     early = locations(spark, sf_dir).filter(F.coalesce("timestamp", "created_at") < "2024-01-16")
     all_dates = dim_date(prepare_measurements(locations(spark, sf_dir)))
     for rows in (dim_date(prepare_measurements(early)), all_dates, all_dates):
@@ -313,7 +320,7 @@ def load(spark, sf_dir):
 @query("load_in_slices", f"SELECT {_FACT_COLUMNS} FROM fact")
 def load_in_slices(spark, sf_dir):
     """Overlapping batches and a repeat give the facts of a single load."""
-    root = scratch_path(spark, "slices")
+    root = _new_warehouse(spark, "slices")
     known = districts(spark)
     load_static_dimensions(spark, root, known)
     everything = locations(spark, sf_dir)

@@ -1,7 +1,7 @@
 """Planar geometry on polygon columns, in degrees; x is the longitude, y the latitude.
 
-A district is a struct (zona_id, nombre, minx, miny, maxx, maxy, edges), where edges is an
-array of structs (x1, y1, x2, y2) over all rings, holes included.
+A district is a struct (zona_id, minx, miny, maxx, maxy, edges). Its edges cover all rings,
+holes included; an edge is a struct (x, y, dx, dy, len2): start, direction, squared length.
 """
 
 from pyspark.sql import functions as F
@@ -14,16 +14,21 @@ def ring_edges(rings):
     """Edges of all rings; an open ring is closed, edges without length are dropped."""
 
     def edge(start, end):
+        dx, dy = end["x"] - start["x"], end["y"] - start["y"]
         return F.struct(
-            start["x"].alias("x1"), start["y"].alias("y1"), end["x"].alias("x2"), end["y"].alias("y2")
+            start["x"].alias("x"),
+            start["y"].alias("y"),
+            end["y"].alias("y2"),
+            dx.alias("dx"),
+            dy.alias("dy"),
+            (dx * dx + dy * dy).alias("len2"),
         )
 
     def of_ring(ring):
         following = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
         return F.zip_with(ring, following, edge)
 
-    has_length = lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"])
-    return F.filter(F.flatten(F.transform(rings, of_ring)), has_length)
+    return F.filter(F.flatten(F.transform(rings, of_ring)), lambda e: e["len2"] > 0)
 
 
 def ring_box(ring):
@@ -50,30 +55,33 @@ def box_distance(box, x, y):
     return F.sqrt(dx * dx + dy * dy)
 
 
-def _edge_distance(edge, x, y):
-    ex, ey = edge["x2"] - edge["x1"], edge["y2"] - edge["y1"]
-    along = ((x - edge["x1"]) * ex + (y - edge["y1"]) * ey) / (ex * ex + ey * ey)
+def _squared_distance(edge, x, y):
+    along = ((x - edge["x"]) * edge["dx"] + (y - edge["y"]) * edge["dy"]) / edge["len2"]
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
-    dx, dy = x - (edge["x1"] + t * ex), y - (edge["y1"] + t * ey)
-    return F.sqrt(dx * dx + dy * dy)
+    return F.pow(x - (edge["x"] + t * edge["dx"]), F.lit(2.0)) + F.pow(
+        y - (edge["y"] + t * edge["dy"]), F.lit(2.0)
+    )
 
 
 def _crosses(edge, x, y):
     """Whether a ray to the right of the point meets the edge."""
-    spans = (edge["y1"] > y) != (edge["y2"] > y)
-    slope = F.try_divide((edge["x2"] - edge["x1"]) * (y - edge["y1"]), edge["y2"] - edge["y1"])
-    return spans & (x < slope + edge["x1"])
+    spans = (edge["y"] > y) != (edge["y2"] > y)
+    return spans & (x < F.try_divide(edge["dx"] * (y - edge["y"]), edge["dy"]) + edge["x"])
 
 
 def boundary_distance(edges, x, y):
     """Distance from the point to the nearest edge."""
-    return F.array_min(F.transform(edges, lambda e: _edge_distance(e, x, y)))
+    return F.sqrt(F.array_min(F.transform(edges, lambda e: _squared_distance(e, x, y))))
+
+
+def odd_crossings(edges, x, y):
+    """Even-odd rule, without regard to points on the boundary."""
+    return F.size(F.filter(edges, lambda e: _crosses(e, x, y))) % 2 == 1
 
 
 def strictly_inside(edges, x, y):
     """Even-odd rule; a point on the boundary is not inside."""
-    crossings = F.size(F.filter(edges, lambda e: _crosses(e, x, y)))
-    return (crossings % 2 == 1) & (boundary_distance(edges, x, y) > BOUNDARY)
+    return odd_crossings(edges, x, y) & (boundary_distance(edges, x, y) > BOUNDARY)
 
 
 def first_containing(districts, x, y):

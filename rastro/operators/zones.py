@@ -1,21 +1,29 @@
 """Zones and districts of points.
 
 The districts of a city are a small reference table. Their geometry is put into the plan as
-a constant array, so assigning a zone is a projection: no join, no shuffle, and no task
-depends on how many points share a place. Large tables are cut into several constants of
-bounded size, see ``_constants``.
+constants, so assigning a zone is a projection: no shuffle, and no task depends on how many
+points share a place. A grid over the city settles most points without looking at any edge.
 """
 
+from dataclasses import dataclass
+from math import ceil, sqrt
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rastro import schema as S
 from rastro.functions import geometry as G
 
 EDGES_PER_CONSTANT = 50_000
-
-_EDGE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
-_DISTRICT = (
-    "zona_id:int,nombre:string,minx:double,miny:double,maxx:double,maxy:double,edges:" + _EDGE
+# The grid has at most (3 x 128)^2 cells whatever the data: that is what gets broadcast.
+GRID_CELLS = 128  # along the longer side of the districts' envelope
+GRID_MARGIN = 1  # envelopes around it
+GRID_SPLIT = 4  # a cell that is not settled is split 4 x 4, twice
+GRID_LEVELS = 3
+
+_SHAPES = (
+    "array<struct<zona_id:int,nombre:string,minx:double,miny:double,maxx:double,maxy:double,"
+    "edges:array<struct<x:double,y:double,y2:double,dx:double,dy:double,len2:double>>>>"
 )
 
 
@@ -27,31 +35,138 @@ def district_shapes(districts):
     )
 
 
-def _constants(districts):
-    """Constant district arrays in file order, each of at most EDGES_PER_CONSTANT edges.
+@dataclass(frozen=True)
+class Shapes:
+    """District geometry as constants of bounded size, in file order, and its envelope."""
+
+    constants: list[Column]
+    box: tuple[float, float, float, float]
+
+    @classmethod
+    def of(cls, districts):
+        """Read the reference table, a district at a time (one job)."""
+        shapes = district_shapes(districts)
+        boxes, texts, sizes = [], [[]], 0
+        rows = shapes.orderBy("zona_id").select(
+            "minx", "miny", "maxx", "maxy", F.size("edges"), F.to_json(F.struct(*shapes.columns))
+        )
+        for *box, edges, text in rows.toLocalIterator():
+            if texts[-1] and sizes + edges > EDGES_PER_CONSTANT:
+                texts.append([])
+                sizes = 0
+            texts[-1].append(text)
+            sizes += edges
+            boxes.append(box)
+        constants = [
+            F.from_json(F.lit("[" + ",".join(group) + "]"), _SHAPES) for group in texts if group
+        ]
+        lows, highs = [b[:2] for b in boxes], [b[2:] for b in boxes]
+        box = (*map(min, zip(*lows)), *map(max, zip(*highs))) if boxes else ()
+        return cls(constants, box)
+
+    def among(self, candidates):
+        """The same, restricted to the candidate zone ids where these are not null."""
+        chosen = [
+            F.filter(c, lambda d: F.coalesce(F.array_contains(candidates, d["zona_id"]), F.lit(True)))
+            for c in self.constants
+        ]
+        return Shapes(chosen, self.box)
+
+    def containing(self, x, y):
+        return F.coalesce(_NO_ZONE(), *[G.first_containing(c, x, y) for c in self.constants])
+
+    def nearest(self, x, y):
+        best = [G.nearest(c, x, y) for c in self.constants]
+        if not best:
+            return _NO_ZONE()
+        return (F.least(*best) if len(best) > 1 else best[0])["zona_id"]
+
+    def first_box(self, x, y):
+        return F.coalesce(_NO_ZONE(), *[G.first_box(c, x, y) for c in self.constants])
+
+    def classify(self, x, y):
+        """Containing district, else the nearest; null for a point without coordinates."""
+        found = F.coalesce(self.containing(x, y), self.nearest(x, y))
+        return F.when(x.isNotNull() & y.isNotNull(), found)
 
-    One job per call reads the reference table, a constant at a time; a single district
-    larger than the limit gets a constant of its own.
+
+def _NO_ZONE():
+    return F.lit(None).cast("int")
+
+
+# --- grid ----------------------------------------------------------------------------------
+
+
+def _settle(cells, shapes, origin, size):
+    """Set ``zone`` of cells in which every point has the same district, else ``candidates``.
+
+    The distance to a boundary changes by no more than the way one goes, so the distances at
+    the middle of a cell bound those of all its points.
     """
-    shapes = district_shapes(districts).withColumn("n", F.size("edges"))
-    constants, group, edges = [], [], 0
+    x = F.lit(origin[0]) + (F.col("ix") + 0.5) * size
+    y = F.lit(origin[1]) + (F.col("iy") + 0.5) * size
+    reach = size * sqrt(0.5) + 10 * G.BOUNDARY
+
+    def fact(d):
+        return F.struct(
+            d["zona_id"].alias("zona_id"),
+            G.boundary_distance(d["edges"], x, y).alias("d"),
+            G.odd_crossings(d["edges"], x, y).alias("odd"),
+        )
+
+    measured = F.concat(
+        *[F.transform(c, fact) for c in shapes.among(F.col("candidates")).constants]
+    )
+    facts, best = F.col("facts"), F.col("best")
+    touching = F.filter(facts, lambda f: f["odd"] | (f["d"] <= reach))
+    first = F.get(touching, F.lit(0))
+    possible = F.filter(facts, lambda f: f["odd"] | (f["d"] <= best + 2 * reach))
+    settled = F.when(first["odd"] & (first["d"] > reach), first["zona_id"]).when(
+        F.size(possible) == 1, F.get(possible, F.lit(0))["zona_id"]
+    )
+    return (
+        cells.withColumn("facts", F.when(F.col("zone").isNull(), measured))
+        .withColumn("best", F.array_min(F.transform("facts", lambda f: f["d"])))
+        .select(
+            "ix",
+            "iy",
+            F.coalesce(F.col("zone"), settled).alias("zone"),
+            F.transform(possible, lambda f: f["zona_id"]).alias("candidates"),
+        )
+    )
 
-    def close():
-        text = "[" + ",".join(group) + "]"
-        constants.append(F.from_json(F.lit(text), f"array<struct<{_DISTRICT}>>"))
 
-    rows = shapes.orderBy("zona_id").select(
-        "n", F.to_json(F.struct(*[c for c in shapes.columns if c != "n"])).alias("json")
+def _split(cells):
+    part = F.explode(F.sequence(F.lit(0), F.lit(GRID_SPLIT**2 - 1)))
+    return cells.withColumn("part", part).select(
+        (F.col("ix") * GRID_SPLIT + F.col("part") % GRID_SPLIT).alias("ix"),
+        (F.col("iy") * GRID_SPLIT + F.floor(F.col("part") / GRID_SPLIT)).alias("iy"),
+        "zone",
+        "candidates",
     )
-    for row in rows.toLocalIterator():
-        if group and edges + row["n"] > EDGES_PER_CONSTANT:
-            close()
-            group, edges = [], 0
-        group.append(row["json"])
-        edges += row["n"]
-    if group:
-        close()
-    return constants
+
+
+def district_grid(spark, shapes):
+    """(grid, origin, size): cells (ix, iy, zone, candidates) over the city and its margin."""
+    minx, miny, maxx, maxy = shapes.box
+    width, height = maxx - minx, maxy - miny
+    size = max(width, height) / GRID_CELLS
+    coarse = size * GRID_SPLIT ** (GRID_LEVELS - 1)
+    origin = (minx - GRID_MARGIN * width, miny - GRID_MARGIN * height)
+    across, up = (ceil((1 + 2 * GRID_MARGIN) * side / coarse) for side in (width, height))
+    cells = spark.range(across * up).select(
+        (F.col("id") % across).alias("ix"),
+        F.floor(F.col("id") / across).alias("iy"),
+        _NO_ZONE().alias("zone"),
+        F.lit(None).cast("array<int>").alias("candidates"),
+    )
+    cells = _settle(cells, shapes, origin, coarse)
+    for level in range(1, GRID_LEVELS):
+        cells = _settle(_split(cells), shapes, origin, coarse / GRID_SPLIT**level)
+    return cells, origin, size
+
+
+# --- operators -----------------------------------------------------------------------------
 
 
 def zone_list(zones=None):
@@ -60,8 +175,10 @@ def zone_list(zones=None):
         rows = [(zid, lat, lon, radius) for zid, _, lat, lon, radius in S.ZONES]
     else:
         rows = [
-            (r["zona_id"], float(r["latitud_centro"]), float(r["longitud_centro"]), float(r["radio_km"]))
-            for r in zones.orderBy("zona_id").toLocalIterator()
+            (r[0], float(r[1]), float(r[2]), float(r[3]))
+            for r in zones.select("zona_id", "latitud_centro", "longitud_centro", "radio_km")
+            .orderBy("zona_id")
+            .toLocalIterator()
         ]
     names = ("zona_id", "lat", "lon", "radio_km")
     return F.array(
@@ -84,32 +201,40 @@ def zone_nearest_center(df, lat="latitude", lon="longitude", name="zona_id", zon
 
 def point_in_district(df, districts, lat="latitude", lon="longitude", name="zona_id"):
     """Add the first district that strictly contains the point, else null."""
-    return df.withColumn(name, _containing(_constants(districts), F.col(lon), F.col(lat)))
-
-
-def _containing(constants, x, y):
-    found = [G.first_containing(shapes, x, y) for shapes in constants]
-    return F.coalesce(F.lit(None).cast("int"), *found)
+    return df.withColumn(name, Shapes.of(districts).containing(F.col(lon), F.col(lat)))
 
 
 def nearest_district(df, districts, lat="latitude", lon="longitude", name="zona_id"):
     """Add the district whose boundary is nearest, the first one on ties."""
-    return df.withColumn(name, _nearest(_constants(districts), F.col(lon), F.col(lat)))
+    return df.withColumn(name, Shapes.of(districts).nearest(F.col(lon), F.col(lat)))
 
 
-def _nearest(constants, x, y):
-    best = [G.nearest(shapes, x, y) for shapes in constants]
-    if not best:
-        return F.lit(None).cast("int")
-    return (F.least(*best) if len(best) > 1 else best[0])["zona_id"]
+def classify_point(df, districts, lat="latitude", lon="longitude", name="zona_id", grid=True):
+    """Add the first district that strictly contains the point, else the nearest one.
 
-
-def classify_point(df, districts, lat="latitude", lon="longitude", name="zona_id"):
-    """Add the first district that strictly contains the point, else the nearest one."""
-    constants = _constants(districts)
+    With the grid, most points get their zone from the cell they lie in; edges are only
+    measured in cells that are not settled, for their few candidates, and far outside.
+    """
+    shapes = Shapes.of(districts)
     x, y = F.col(lon), F.col(lat)
-    inside = _containing(constants, x, y)
-    return df.withColumn(name, F.coalesce(inside, _nearest(constants, x, y)))
+    if not grid or not shapes.constants:
+        return df.withColumn(name, shapes.classify(x, y))
+    cells, origin, size = district_grid(df.sparkSession, shapes)
+    cells = cells.select(
+        F.col("ix").alias("_ix"),
+        F.col("iy").alias("_iy"),
+        F.col("zone").alias("_zone"),
+        F.col("candidates").alias("_candidates"),
+    )
+    located = df.withColumns(
+        {"_ix": F.floor((x - origin[0]) / size), "_iy": F.floor((y - origin[1]) / size)}
+    )
+    measured = shapes.among(F.col("_candidates")).classify(x, y)
+    return (
+        located.join(F.broadcast(cells), ["_ix", "_iy"], "left")
+        .withColumn(name, F.coalesce(F.col("_zone"), measured))
+        .drop("_ix", "_iy", "_zone", "_candidates")
+    )
 
 
 def assign_district_zone(
@@ -139,8 +264,7 @@ def assign_district_zone(
 
 def district_bbox_match(df, districts, lat="latitude", lon="longitude", name="zona_id"):
     """Add the first district whose outer ring's bounding box holds the point, else null."""
-    found = [G.first_box(shapes, F.col(lon), F.col(lat)) for shapes in _constants(districts)]
-    return df.withColumn(name, F.coalesce(F.lit(None).cast("int"), *found))
+    return df.withColumn(name, Shapes.of(districts).first_box(F.col(lon), F.col(lat)))
 
 
 def district_by_id(districts, distrito_id):

@@ -3,9 +3,9 @@
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from rastro import schema as S
 from rastro.functions.calendar import event_time
 from rastro.plans import star as P
+from rastro.session import observed
 from rastro.sources import warehouse as W
 from rastro.sources.locations import read_incremental
 
@@ -13,9 +13,7 @@ STAGED = "_staged_measurements"
 
 
 def load_static_dimensions(spark, root, districts=None):
-    """Create missing tables and fixed members; zones are overwritten from the districts."""
-    for name in S.TABLES:
-        W.ensure_table(spark, root, name)
+    """Insert missing fixed members; zones are overwritten from the districts."""
     for name, rows in {
         "dim_hora": P.dim_hour(spark),
         "dim_operador": P.dim_operator(spark),
@@ -52,7 +50,7 @@ def load_batch(spark, root, readings, districts=None):
     }
     counts = {name: W.insert_ignore_dimension(spark, root, name, m) for name, m in members.items()}
     inserted = W.append_facts(spark, root, P.build_fact(prepared))
-    read, invalid = seen.get["read"], seen.get["invalid"]
+    read, invalid = observed(seen, "read"), observed(seen, "invalid")
     return {
         "records_read": read,
         "invalid_timestamps": invalid,
@@ -72,9 +70,9 @@ REPORT = (
 
 def load_warehouse(spark, root, locations, districts=None, full_reload=False):
     """Load what is new (ids above the largest one loaded), or everything; one report row."""
-    if full_reload:
-        W.clear_warehouse(spark, root)
+    W.create_warehouse(spark, root, anew=full_reload)
     load_static_dimensions(spark, root, districts)
-    new = read_incremental(locations, W.read_warehouse_table(spark, root, W.FACT))
-    counts = load_batch(spark, root, new if not full_reload else locations, districts)
+    if not full_reload:
+        locations = read_incremental(locations, W.read_warehouse_table(spark, root, W.FACT))
+    counts = load_batch(spark, root, locations, districts)
     return spark.createDataFrame([tuple(counts.values())], REPORT)

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -46,3 +47,14 @@ def shared_folder(spark):
 def scratch_path(spark, label):
     """A fresh path below the shared folder."""
     return f"{shared_folder(spark)}/rastro/{label}-{uuid.uuid4().hex}"
+
+
+def observed(observation, name):
+    """An observed count, after the action that it belongs to.
+
+    Spark drops the observation together with a plan that it finds to be empty: that is 0.
+    """
+    try:
+        return observation.get[name]
+    except Py4JJavaError:
+        return 0

@@ -3,6 +3,8 @@
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from rastro.session import observed
+
 
 def write_csv(df, path, partition_cols=None, merge_small=False):
     """Write CSV files with a header, replacing what is there; returns the rows written.
@@ -24,7 +26,7 @@ def write_csv(df, path, partition_cols=None, merge_small=False):
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.csv(str(path))
-    return written.get["rows"]
+    return observed(written, "rows")
 
 
 def write_device_stats(df, path):

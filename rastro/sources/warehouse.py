@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rastro import schema as S
 from rastro.plans.star import Star
+from rastro.session import observed
 
 FACT = "fact_mediciones"
 FACT_PARTITION = "tiempo_id"
@@ -19,9 +20,11 @@ def table_path(root, name):
     return f"{str(root).rstrip('/')}/{name}"
 
 
-def ensure_table(spark, root, name):
-    """Create the table, empty, if it does not exist."""
-    _write(spark.createDataFrame([], S.TABLES[name]), root, name, "ignore")
+def create_warehouse(spark, root, anew=False):
+    """Create the tables that do not exist, empty; with ``anew`` empty the others too."""
+    for name, schema in S.TABLES.items():
+        empty = spark.createDataFrame([], schema)
+        _write(empty, root, name, "overwrite" if anew else "ignore")
 
 
 def read_warehouse_table(spark, root, name):
@@ -100,12 +103,11 @@ def _append(df, root, name):
     """Append rows; returns how many, counted during the write."""
     written = Observation()
     _write(df.observe(written, F.count(F.lit(1)).alias("rows")), root, name, "append")
-    return written.get["rows"]
+    return observed(written, "rows")
 
 
 def insert_ignore_dimension(spark, root, name, rows):
     """Append the members whose natural key is new; returns how many."""
-    ensure_table(spark, root, name)
     existing = read_warehouse_table(spark, root, name)
     return _append(new_members(rows, existing, S.NATURAL_KEYS[name]), root, name)
 
@@ -116,7 +118,6 @@ def append_facts(spark, root, facts):
     Only the part of the table that can hold the batch's ids is compared: its id range is
     pushed into the scan, and files loaded in id order are skipped by their statistics.
     """
-    ensure_table(spark, root, FACT)
     low, high = facts.agg(F.min("source_id"), F.max("source_id")).first()
     if low is None:
         return 0
@@ -138,7 +139,6 @@ def _replace(spark, df, root, name):
 
 def upsert_zones(spark, root, zones):
     """Insert zones; a zone that exists is overwritten."""
-    ensure_table(spark, root, "dim_zonas")
     old = read_warehouse_table(spark, root, "dim_zonas")
     _replace(spark, upserted(old, zones, ["zona_id"]), root, "dim_zonas")
 
@@ -149,12 +149,6 @@ def update_zone_names(spark, root, names):
     _replace(spark, renamed_zones(old, names), root, "dim_zonas")
 
 
-def clear_warehouse(spark, root):
-    """Leave every table empty."""
-    for name, schema in S.TABLES.items():
-        _write(spark.createDataFrame([], schema), root, name, "overwrite")
-
-
 # --- checks --------------------------------------------------------------------------------
 
 

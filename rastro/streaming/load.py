@@ -2,6 +2,7 @@
 
 from rastro.plans.load import load_batch, load_static_dimensions
 from rastro.sources.locations import coerce_types
+from rastro.sources.warehouse import create_warehouse
 
 
 def stream_load_warehouse(
@@ -13,6 +14,7 @@ def stream_load_warehouse(
     so the stream keeps no state of its own. A batch that was cut off is loaded again by the
     next run and adds only what is missing.
     """
+    create_warehouse(spark, root)
     load_static_dimensions(spark, root, districts)
     reader = spark.readStream.schema(schema).format(file_format)
     if files:
