@@ -4,14 +4,16 @@ from pyspark.sql import functions as F
 
 from rastro import schema as S
 
-# Every character counted as white space, including the Unicode separators.
-_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
-_EDGES = f"^{_SPACE}+|{_SPACE}+$"
+# The characters of Unicode that count as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(col):
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(col, _EDGES, "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def normalize_operator(name):
@@ -34,7 +36,7 @@ def normalize_network(kind):
 
 def sanitize_string(col):
     """Collapse white space, drop control characters; an empty result is null."""
-    spaced = strip(F.regexp_replace(col, f"{_SPACE}+", " "))
+    spaced = strip(F.regexp_replace(col, f"[{WHITE_SPACE}]+", " "))
     return F.nullif(F.regexp_replace(spaced, r"[\x00-\x1f]", ""), F.lit(""))
 
 

@@ -18,8 +18,7 @@ EDGES_PER_CONSTANT = 50_000
 # The grid has at most (3 x 128)^2 cells whatever the data: that is what gets broadcast.
 GRID_CELLS = 128  # along the longer side of the districts' envelope
 GRID_MARGIN = 1  # envelopes around it
-GRID_SPLIT = 4  # a cell that is not settled is split 4 x 4, twice
-GRID_LEVELS = 3
+GRID_SPLIT = 8  # cells are first made 8 times as wide; those not settled are measured again
 
 _SHAPES = (
     "array<struct<zona_id:int,nombre:string,minx:double,miny:double,maxx:double,maxy:double,"
@@ -151,7 +150,7 @@ def district_grid(spark, shapes):
     minx, miny, maxx, maxy = shapes.box
     width, height = maxx - minx, maxy - miny
     size = max(width, height) / GRID_CELLS
-    coarse = size * GRID_SPLIT ** (GRID_LEVELS - 1)
+    coarse = size * GRID_SPLIT
     origin = (minx - GRID_MARGIN * width, miny - GRID_MARGIN * height)
     across, up = (ceil((1 + 2 * GRID_MARGIN) * side / coarse) for side in (width, height))
     cells = spark.range(across * up).select(
@@ -160,10 +159,8 @@ def district_grid(spark, shapes):
         _NO_ZONE().alias("zone"),
         F.lit(None).cast("array<int>").alias("candidates"),
     )
-    cells = _settle(cells, shapes, origin, coarse)
-    for level in range(1, GRID_LEVELS):
-        cells = _settle(_split(cells), shapes, origin, coarse / GRID_SPLIT**level)
-    return cells, origin, size
+    wide = _settle(cells, shapes, origin, coarse)
+    return _settle(_split(wide), shapes, origin, size), origin, size
 
 
 # --- operators -----------------------------------------------------------------------------

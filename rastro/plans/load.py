@@ -12,25 +12,34 @@ from rastro.sources.locations import read_incremental
 STAGED = "_staged_measurements"
 
 
-def load_static_dimensions(spark, root, districts=None):
-    """Insert missing fixed members; zones are overwritten from the districts."""
-    for name, rows in {
+def load_static_dimensions(spark, root, districts=None, anew=False):
+    """Insert missing fixed members; zones are overwritten from the districts.
+
+    With ``anew`` the five tables are replaced.
+    """
+    fixed = {
         "dim_hora": P.dim_hour(spark),
         "dim_operador": P.dim_operator(spark),
         "dim_red": P.dim_network(spark),
         "dim_calidad": P.dim_quality(spark),
-    }.items():
+    }
+    zones = P.dim_zone(spark, districts)
+    if anew:
+        for name, rows in {**fixed, "dim_zonas": zones}.items():
+            W.rebuild_table(root, name, rows)
+        return
+    for name, rows in fixed.items():
         W.insert_ignore_dimension(spark, root, name, rows)
-    W.upsert_zones(spark, root, P.dim_zone(spark, districts))
+    W.upsert_zones(spark, root, zones)
 
 
-def load_batch(spark, root, readings, districts=None):
+def load_batch(spark, root, readings, districts=None, anew=False):
     """Add readings to the warehouse, ignoring source ids it holds; returns the counts.
 
     The prepared batch is written once and read back, so dimensions and facts are made from
     the same rows even if the source grows meanwhile, and the geometry is computed once.
     Dimensions go first: a fact never points to a missing member. A batch that is
-    interrupted is simply loaded again.
+    interrupted is simply loaded again. With ``anew`` the batch replaces what is there.
     """
     seen = Observation()
     watched = readings.observe(
@@ -48,8 +57,16 @@ def load_batch(spark, root, readings, districts=None):
         "dim_ubicacion": P.dim_location(prepared),
         "dim_dispositivo": P.dim_device(prepared),
     }
-    counts = {name: W.insert_ignore_dimension(spark, root, name, m) for name, m in members.items()}
-    inserted = W.append_facts(spark, root, P.build_fact(prepared))
+    facts = P.build_fact(prepared)
+    if anew:
+        counts = {name: W.rebuild_table(root, name, rows) for name, rows in members.items()}
+        inserted = W.rebuild_table(root, W.FACT, facts)
+    else:
+        counts = {
+            name: W.insert_ignore_dimension(spark, root, name, rows)
+            for name, rows in members.items()
+        }
+        inserted = W.append_facts(spark, root, facts)
     read, invalid = observed(seen, "read"), observed(seen, "invalid")
     return {
         "records_read": read,
@@ -70,9 +87,9 @@ REPORT = (
 
 def load_warehouse(spark, root, locations, districts=None, full_reload=False):
     """Load what is new (ids above the largest one loaded), or everything; one report row."""
-    W.create_warehouse(spark, root, anew=full_reload)
-    load_static_dimensions(spark, root, districts)
     if not full_reload:
+        W.create_warehouse(spark, root)
         locations = read_incremental(locations, W.read_warehouse_table(spark, root, W.FACT))
-    counts = load_batch(spark, root, locations, districts)
+    load_static_dimensions(spark, root, districts, anew=full_reload)
+    counts = load_batch(spark, root, locations, districts, anew=full_reload)
     return spark.createDataFrame([tuple(counts.values())], REPORT)

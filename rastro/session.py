@@ -21,6 +21,9 @@ def build_session(app_name="rastro", master=None, **conf):
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # the preparation of a reading is a long projection; beyond this size the JVM would
+        # not compile its generated method
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     for key, value in settings.items():

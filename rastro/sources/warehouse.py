@@ -20,11 +20,10 @@ def table_path(root, name):
     return f"{str(root).rstrip('/')}/{name}"
 
 
-def create_warehouse(spark, root, anew=False):
-    """Create the tables that do not exist, empty; with ``anew`` empty the others too."""
+def create_warehouse(spark, root):
+    """Create the tables that do not exist, empty."""
     for name, schema in S.TABLES.items():
-        empty = spark.createDataFrame([], schema)
-        _write(empty, root, name, "overwrite" if anew else "ignore")
+        _write(spark.createDataFrame([], schema), root, name, "ignore")
 
 
 def read_warehouse_table(spark, root, name):
@@ -99,17 +98,22 @@ def _write(df, root, name, mode):
     rows.write.mode(mode).partitionBy(*by_day).parquet(table_path(root, name))
 
 
-def _append(df, root, name):
-    """Append rows; returns how many, counted during the write."""
+def _counted(df, root, name, mode):
+    """Write rows and return how many, counted during the write."""
     written = Observation()
-    _write(df.observe(written, F.count(F.lit(1)).alias("rows")), root, name, "append")
+    _write(df.observe(written, F.count(F.lit(1)).alias("rows")), root, name, mode)
     return observed(written, "rows")
 
 
+def rebuild_table(root, name, rows):
+    """Replace a table by rows that do not come from it, one per key; returns how many."""
+    return _counted(one_per_source_id(rows) if name == FACT else rows, root, name, "overwrite")
+
+
 def insert_ignore_dimension(spark, root, name, rows):
     """Append the members whose natural key is new; returns how many."""
     existing = read_warehouse_table(spark, root, name)
-    return _append(new_members(rows, existing, S.NATURAL_KEYS[name]), root, name)
+    return _counted(new_members(rows, existing, S.NATURAL_KEYS[name]), root, name, "append")
 
 
 def append_facts(spark, root, facts):
@@ -124,7 +128,7 @@ def append_facts(spark, root, facts):
     existing = read_warehouse_table(spark, root, FACT).filter(
         F.col("source_id").between(low, high)
     )
-    return _append(new_facts(facts, existing), root, FACT)
+    return _counted(new_facts(facts, existing), root, FACT, "append")
 
 
 def _replace(spark, df, root, name):
