@@ -1,100 +1,96 @@
-"""Planar geometry on polygon columns, in degrees; x is the longitude, y the latitude.
+"""Planar geometry in degrees, as SQL text; x is the longitude, y the latitude.
 
-A district is a struct (zona_id, minx, miny, maxx, maxy, edges). Its edges cover all rings,
-holes included; an edge is a struct (x, y, dx, dy, len2): start, direction, squared length.
-"""
+The helpers return text because they nest lambdas within lambdas, which reads better in SQL
+and is much quicker to build. Arguments are SQL text too.
 
-from pyspark.sql import functions as F
+A district is a struct (zona_id, nombre, minx, miny, maxx, maxy, edges). Its edges cover all
+rings, holes included; an edge is a struct (x, y, y2, dx, dy, len2): start, end height,
+direction and squared length.
+"""
 
 BOUNDARY = 1e-9  # a point this close to an edge lies on the boundary
 DISTANCE_DIGITS = 9
 
+SHAPES = (
+    "array<struct<zona_id:int,nombre:string,minx:double,miny:double,maxx:double,maxy:double,"
+    "edges:array<struct<x:double,y:double,y2:double,dx:double,dy:double,len2:double>>>>"
+)
 
-def ring_edges(rings):
-    """Edges of all rings; an open ring is closed, edges without length are dropped."""
 
-    def edge(start, end):
-        dx, dy = end["x"] - start["x"], end["y"] - start["y"]
-        return F.struct(
-            start["x"].alias("x"),
-            start["y"].alias("y"),
-            end["y"].alias("y2"),
-            dx.alias("dx"),
-            dy.alias("dy"),
-            (dx * dx + dy * dy).alias("len2"),
-        )
+def number(value):
+    """A double literal."""
+    return f"{float(value)!r}D"
 
-    def of_ring(ring):
-        following = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-        return F.zip_with(ring, following, edge)
 
-    return F.filter(F.flatten(F.transform(rings, of_ring)), lambda e: e["len2"] > 0)
+# --- rings -----------------------------------------------------------------------------------
 
 
-def ring_box(ring):
-    """(minx, miny, maxx, maxy) columns of one ring."""
-    xs = F.transform(ring, lambda p: p["x"])
-    ys = F.transform(ring, lambda p: p["y"])
-    return (
-        F.array_min(xs).alias("minx"),
-        F.array_min(ys).alias("miny"),
-        F.array_max(xs).alias("maxx"),
-        F.array_max(ys).alias("maxy"),
-    )
+def ring_edges(rings):
+    """Edges of all rings; an open ring is closed, edges without length are dropped."""
+    edge = """named_struct('x', a_.x, 'y', a_.y, 'y2', b_.y, 'dx', b_.x - a_.x, 'dy', b_.y - a_.y,
+        'len2', (b_.x - a_.x) * (b_.x - a_.x) + (b_.y - a_.y) * (b_.y - a_.y))"""
+    following = "concat(slice(ring_, 2, size(ring_)), slice(ring_, 1, 1))"
+    of_ring = f"zip_with(ring_, {following}, (a_, b_) -> {edge})"
+    return f"filter(flatten(transform({rings}, ring_ -> {of_ring})), e_ -> e_.len2 > 0)"
 
 
-def in_box(box, x, y):
-    """Whether the point lies in the box, limits included."""
-    return x.between(box["minx"], box["maxx"]) & y.between(box["miny"], box["maxy"])
+def ring_box(ring):
+    """name -> text of the limits of one ring."""
+    return {
+        f"{end}{axis}": f"array_{end}(transform({ring}, p_ -> p_.{axis}))"
+        for end in ("min", "max")
+        for axis in ("x", "y")
+    }
 
 
-def box_distance(box, x, y):
-    """Distance from the point to the box; 0 inside. Never more than to what the box holds."""
-    dx = F.greatest(box["minx"] - x, x - box["maxx"], F.lit(0.0))
-    dy = F.greatest(box["miny"] - y, y - box["maxy"], F.lit(0.0))
-    return F.sqrt(dx * dx + dy * dy)
+# --- a point and a district --------------------------------------------------------------------
 
 
-def _squared_distance(edge, x, y):
-    along = ((x - edge["x"]) * edge["dx"] + (y - edge["y"]) * edge["dy"]) / edge["len2"]
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
-    return F.pow(x - (edge["x"] + t * edge["dx"]), F.lit(2.0)) + F.pow(
-        y - (edge["y"] + t * edge["dy"]), F.lit(2.0)
+def in_box(x, y):
+    """Whether the point lies in the box of district_, limits included."""
+    return (
+        f"({x} BETWEEN district_.minx AND district_.maxx"
+        f" AND {y} BETWEEN district_.miny AND district_.maxy)"
     )
 
 
-def _crosses(edge, x, y):
-    """Whether a ray to the right of the point meets the edge."""
-    spans = (edge["y"] > y) != (edge["y2"] > y)
-    return spans & (x < F.try_divide(edge["dx"] * (y - edge["y"]), edge["dy"]) + edge["x"])
+def box_distance(x, y):
+    """Distance to the box of district_; 0 inside. Never more than to what the box holds."""
+    dx = f"greatest(district_.minx - {x}, {x} - district_.maxx, 0D)"
+    dy = f"greatest(district_.miny - {y}, {y} - district_.maxy, 0D)"
+    return f"sqrt(pow({dx}, 2D) + pow({dy}, 2D))"
 
 
-def boundary_distance(edges, x, y):
-    """Distance from the point to the nearest edge."""
-    return F.sqrt(F.array_min(F.transform(edges, lambda e: _squared_distance(e, x, y))))
+def boundary_distance(x, y):
+    """Distance from the point to the nearest edge of district_."""
+    along = f"(({x} - e_.x) * e_.dx + ({y} - e_.y) * e_.dy) / e_.len2"
+    t = f"greatest(0D, least(1D, {along}))"
+    squared = f"pow({x} - (e_.x + {t} * e_.dx), 2D) + pow({y} - (e_.y + {t} * e_.dy), 2D)"
+    return f"sqrt(array_min(transform(district_.edges, e_ -> {squared})))"
 
 
-def odd_crossings(edges, x, y):
-    """Even-odd rule, without regard to points on the boundary."""
-    return F.size(F.filter(edges, lambda e: _crosses(e, x, y))) % 2 == 1
+def odd_crossings(x, y):
+    """Even-odd rule: whether a ray to the right meets the edges of district_ an odd time."""
+    meets = f"{x} < try_divide(e_.dx * ({y} - e_.y), e_.dy) + e_.x"
+    crossing = f"(e_.y > {y}) != (e_.y2 > {y}) AND {meets}"
+    return f"(size(filter(district_.edges, e_ -> {crossing})) % 2 = 1)"
 
 
-def strictly_inside(edges, x, y):
-    """Even-odd rule; a point on the boundary is not inside."""
-    return odd_crossings(edges, x, y) & (boundary_distance(edges, x, y) > BOUNDARY)
+# --- a point and all districts --------------------------------------------------------------------
 
 
 def first_containing(districts, x, y):
     """zona_id of the first district that strictly contains the point, else null."""
-    holding = F.filter(
-        districts, lambda d: in_box(d, x, y) & strictly_inside(d["edges"], x, y)
+    holds = (
+        f"{in_box(x, y)} AND {odd_crossings(x, y)}"
+        f" AND {boundary_distance(x, y)} > {number(BOUNDARY)}"
     )
-    return F.get(holding, F.lit(0))["zona_id"]
+    return f"get(filter({districts}, district_ -> {holds}), 0).zona_id"
 
 
 def first_box(districts, x, y):
     """zona_id of the first district whose box holds the point, else null."""
-    return F.get(F.filter(districts, lambda d: in_box(d, x, y)), F.lit(0))["zona_id"]
+    return f"get(filter({districts}, district_ -> {in_box(x, y)}), 0).zona_id"
 
 
 def nearest(districts, x, y):
@@ -102,45 +98,54 @@ def nearest(districts, x, y):
 
     Edges are only measured where the district's box could still beat the best so far.
     """
+    distance = f"round({boundary_distance(x, y)}, {DISTANCE_DIGITS})"
+    found = f"named_struct('d', {distance}, 'zona_id', district_.zona_id)"
+    hopeless = f"{box_distance(x, y)} > best_.d + {number(2 * BOUNDARY)}"
+    start = "named_struct('d', double('infinity'), 'zona_id', int(NULL))"
+    step = f"IF({hopeless}, best_, least(best_, {found}))"
+    return f"aggregate({districts}, {start}, (best_, district_) -> {step})"
+
+
+def measured(districts, x, y):
+    """Per district a struct (zona_id, d, odd): boundary distance and even-odd rule."""
+    fact = (
+        f"named_struct('zona_id', district_.zona_id, 'd', {boundary_distance(x, y)},"
+        f" 'odd', {odd_crossings(x, y)})"
+    )
+    return f"transform({districts}, district_ -> {fact})"
 
-    def closer(best, d):
-        distance = F.round(boundary_distance(d["edges"], x, y), DISTANCE_DIGITS)
-        return F.when(box_distance(d, x, y) > best["d"] + 2 * BOUNDARY, best).otherwise(
-            F.least(best, F.struct(distance.alias("d"), d["zona_id"].alias("zona_id")))
-        )
 
-    start = F.struct(
-        F.lit(float("inf")).alias("d"), F.lit(None).cast("int").alias("zona_id")
-    )
-    return F.aggregate(districts, start, closer)
+def among(districts, candidates):
+    """The districts whose id is a candidate; all of them where the candidates are null."""
+    chosen = f"coalesce(array_contains({candidates}, district_.zona_id), true)"
+    return f"filter({districts}, district_ -> {chosen})"
 
 
-def nearest_center(zones, lat, lon):
-    """Id of the zone centre nearest to the point, the lowest id on ties.
+# --- a point and zone centres ------------------------------------------------------------------
 
-    ``zones`` is an array of structs (zona_id, lat, lon, radio_km).
-    """
-    return F.array_min(F.transform(zones, lambda z: _by_distance(z, lat, lon)))["zona_id"]
 
+def zone_array(rows):
+    """Array of structs (zona_id, lat, lon, radio_km)."""
+    zones = [
+        f"named_struct('zona_id', {zid}, 'lat', {number(lat)}, 'lon', {number(lon)},"
+        f" 'radio_km', {number(radius)})"
+        for zid, lat, lon, radius in rows
+    ]
+    return f"array({', '.join(zones)})"
 
-def center_within_radius(zones, lat, lon, degrees_per_km):
-    """Id of the nearest centre that has the point within its radius, else null."""
-    reached = F.filter(
-        F.transform(
-            zones,
-            lambda z: F.struct(
-                *_distance_fields(z, lat, lon), (z["radio_km"] * degrees_per_km).alias("reach")
-            ),
-        ),
-        lambda z: z["d"] <= z["reach"],
-    )
-    return F.array_min(F.transform(reached, lambda z: F.struct(z["d"], z["zona_id"])))["zona_id"]
+
+def _centers(zones, lat, lon):
+    distance = f"sqrt(pow({lat} - zone_.lat, 2D) + pow({lon} - zone_.lon, 2D))"
+    center = f"named_struct('d', {distance}, 'zona_id', zone_.zona_id, 'radio_km', zone_.radio_km)"
+    return f"transform({zones}, zone_ -> {center})"
 
 
-def _distance_fields(zone, lat, lon):
-    dlat, dlon = lat - zone["lat"], lon - zone["lon"]
-    return F.sqrt(dlat * dlat + dlon * dlon).alias("d"), zone["zona_id"].alias("zona_id")
+def nearest_center(zones, lat, lon):
+    """Id of the zone centre nearest to the point, the lowest id on ties."""
+    return f"array_min({_centers(zones, lat, lon)}).zona_id"
 
 
-def _by_distance(zone, lat, lon):
-    return F.struct(*_distance_fields(zone, lat, lon))
+def center_within_radius(zones, lat, lon, degrees_per_km):
+    """Id of the nearest centre that has the point within its radius, else null."""
+    reaches = f"reached_.d <= reached_.radio_km * {number(degrees_per_km)}"
+    return f"array_min(filter({_centers(zones, lat, lon)}, reached_ -> {reaches})).zona_id"

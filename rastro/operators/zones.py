@@ -8,89 +8,91 @@ points share a place. A grid over the city settles most points without looking a
 from dataclasses import dataclass
 from math import ceil, sqrt
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rastro import schema as S
 from rastro.functions import geometry as G
 
 EDGES_PER_CONSTANT = 50_000
-# The grid has at most (3 x 128)^2 cells whatever the data: that is what gets broadcast.
+# The grid has at most (3 x 128 + 8)^2 cells whatever the data: that is what gets broadcast.
 GRID_CELLS = 128  # along the longer side of the districts' envelope
 GRID_MARGIN = 1  # envelopes around it
 GRID_SPLIT = 8  # cells are first made 8 times as wide; those not settled are measured again
 
-_SHAPES = (
-    "array<struct<zona_id:int,nombre:string,minx:double,miny:double,maxx:double,maxy:double,"
-    "edges:array<struct<x:double,y:double,y2:double,dx:double,dy:double,len2:double>>>>"
-)
+_NO_ZONE = "int(NULL)"
 
 
 def district_shapes(districts):
     """Districts with bounding box and edges, for the geometry helpers."""
-    outer = F.get(F.col("rings"), F.lit(0))
+    box = G.ring_box("get(rings, 0)")
     return districts.select(
-        "zona_id", "nombre", *G.ring_box(outer), G.ring_edges(F.col("rings")).alias("edges")
+        "zona_id",
+        "nombre",
+        *[F.expr(box[name]).alias(name) for name in ("minx", "miny", "maxx", "maxy")],
+        F.expr(G.ring_edges("rings")).alias("edges"),
     )
 
 
 @dataclass(frozen=True)
 class Shapes:
-    """District geometry as constants of bounded size, in file order, and its envelope."""
+    """District geometry as constants of bounded size, in file order; names and envelope."""
 
-    constants: list[Column]
+    constants: list[str]
+    names: dict[int, str]
     box: tuple[float, float, float, float]
 
     @classmethod
     def of(cls, districts):
-        """Read the reference table, a district at a time (one job)."""
+        """Read the reference table: the districts of one file (one job)."""
         shapes = district_shapes(districts)
-        boxes, texts, sizes = [], [[]], 0
-        rows = shapes.orderBy("zona_id").select(
-            "minx", "miny", "maxx", "maxy", F.size("edges"), F.to_json(F.struct(*shapes.columns))
+        plain = F.to_json(F.struct(*[c for c in shapes.columns if c != "nombre"]))
+        rows = shapes.select(
+            "zona_id", "nombre", "minx", "miny", "maxx", "maxy", F.size("edges"), plain
         )
-        for *box, edges, text in rows.toLocalIterator():
-            if texts[-1] and sizes + edges > EDGES_PER_CONSTANT:
+        names, boxes, texts, size = {}, [], [[]], 0
+        for zone, name, *box, edges, text in sorted(rows.collect()):
+            if texts[-1] and size + edges > EDGES_PER_CONSTANT:
                 texts.append([])
-                sizes = 0
+                size = 0
             texts[-1].append(text)
-            sizes += edges
+            size += edges
+            names[zone] = name
             boxes.append(box)
-        constants = [
-            F.from_json(F.lit("[" + ",".join(group) + "]"), _SHAPES) for group in texts if group
-        ]
+        constants = [f"from_json('[{','.join(t)}]', '{G.SHAPES}')" for t in texts if t]
         lows, highs = [b[:2] for b in boxes], [b[2:] for b in boxes]
         box = (*map(min, zip(*lows)), *map(max, zip(*highs))) if boxes else ()
-        return cls(constants, box)
+        return cls(constants, names, box)
 
     def among(self, candidates):
         """The same, restricted to the candidate zone ids where these are not null."""
-        chosen = [
-            F.filter(c, lambda d: F.coalesce(F.array_contains(candidates, d["zona_id"]), F.lit(True)))
-            for c in self.constants
-        ]
-        return Shapes(chosen, self.box)
+        chosen = [G.among(c, candidates) for c in self.constants]
+        return Shapes(chosen, self.names, self.box)
 
     def containing(self, x, y):
-        return F.coalesce(_NO_ZONE(), *[G.first_containing(c, x, y) for c in self.constants])
+        found = [G.first_containing(c, x, y) for c in self.constants]
+        return f"coalesce({', '.join([_NO_ZONE, *found])})"
 
     def nearest(self, x, y):
         best = [G.nearest(c, x, y) for c in self.constants]
         if not best:
-            return _NO_ZONE()
-        return (F.least(*best) if len(best) > 1 else best[0])["zona_id"]
+            return _NO_ZONE
+        return (f"least({', '.join(best)})" if len(best) > 1 else best[0]) + ".zona_id"
 
     def first_box(self, x, y):
-        return F.coalesce(_NO_ZONE(), *[G.first_box(c, x, y) for c in self.constants])
+        found = [G.first_box(c, x, y) for c in self.constants]
+        return f"coalesce({', '.join([_NO_ZONE, *found])})"
 
     def classify(self, x, y):
         """Containing district, else the nearest; null for a point without coordinates."""
-        found = F.coalesce(self.containing(x, y), self.nearest(x, y))
-        return F.when(x.isNotNull() & y.isNotNull(), found)
+        found = f"coalesce({self.containing(x, y)}, {self.nearest(x, y)})"
+        return f"IF({x} IS NOT NULL AND {y} IS NOT NULL, {found}, {_NO_ZONE})"
+
+    def measured(self, x, y):
+        return f"concat({', '.join(G.measured(c, x, y) for c in self.constants)})"
 
 
-def _NO_ZONE():
-    return F.lit(None).cast("int")
+def _name(column):
+    return f"`{column}`"
 
 
 # --- grid ----------------------------------------------------------------------------------
@@ -102,44 +104,40 @@ def _settle(cells, shapes, origin, size):
     The distance to a boundary changes by no more than the way one goes, so the distances at
     the middle of a cell bound those of all its points.
     """
-    x = F.lit(origin[0]) + (F.col("ix") + 0.5) * size
-    y = F.lit(origin[1]) + (F.col("iy") + 0.5) * size
-    reach = size * sqrt(0.5) + 10 * G.BOUNDARY
-
-    def fact(d):
-        return F.struct(
-            d["zona_id"].alias("zona_id"),
-            G.boundary_distance(d["edges"], x, y).alias("d"),
-            G.odd_crossings(d["edges"], x, y).alias("odd"),
-        )
-
-    measured = F.concat(
-        *[F.transform(c, fact) for c in shapes.among(F.col("candidates")).constants]
-    )
-    facts, best = F.col("facts"), F.col("best")
-    touching = F.filter(facts, lambda f: f["odd"] | (f["d"] <= reach))
-    first = F.get(touching, F.lit(0))
-    possible = F.filter(facts, lambda f: f["odd"] | (f["d"] <= best + 2 * reach))
-    settled = F.when(first["odd"] & (first["d"] > reach), first["zona_id"]).when(
-        F.size(possible) == 1, F.get(possible, F.lit(0))["zona_id"]
-    )
+    reach = G.number(size * sqrt(0.5) + 10 * G.BOUNDARY)
+    middle = {
+        "x": f"{G.number(origin[0])} + (ix + 0.5D) * {G.number(size)}",
+        "y": f"{G.number(origin[1])} + (iy + 0.5D) * {G.number(size)}",
+    }
+    facts = shapes.among("candidates").measured("x", "y")
+    near = f"f_ -> f_.odd OR f_.d <= best + 2D * {reach}"
     return (
-        cells.withColumn("facts", F.when(F.col("zone").isNull(), measured))
-        .withColumn("best", F.array_min(F.transform("facts", lambda f: f["d"])))
-        .select(
+        cells.withColumns({name: F.expr(text) for name, text in middle.items()})
+        .withColumn("facts", F.expr(f"IF(zone IS NULL, {facts}, NULL)"))
+        .withColumns(
+            {
+                "best": F.expr("array_min(transform(facts, f_ -> f_.d))"),
+                # districts that some point of the cell may lie in, or touch
+                "first": F.expr(f"get(filter(facts, f_ -> f_.odd OR f_.d <= {reach}), 0)"),
+            }
+        )
+        .withColumn("possible", F.expr(f"transform(filter(facts, {near}), f_ -> f_.zona_id)"))
+        .selectExpr(
             "ix",
             "iy",
-            F.coalesce(F.col("zone"), settled).alias("zone"),
-            F.transform(possible, lambda f: f["zona_id"]).alias("candidates"),
+            f"""coalesce(zone, CASE WHEN first.odd AND first.d > {reach} THEN first.zona_id
+                WHEN size(possible) = 1 THEN possible[0] END) AS zone""",
+            "possible AS candidates",
         )
     )
 
 
 def _split(cells):
-    part = F.explode(F.sequence(F.lit(0), F.lit(GRID_SPLIT**2 - 1)))
-    return cells.withColumn("part", part).select(
-        (F.col("ix") * GRID_SPLIT + F.col("part") % GRID_SPLIT).alias("ix"),
-        (F.col("iy") * GRID_SPLIT + F.floor(F.col("part") / GRID_SPLIT)).alias("iy"),
+    return cells.selectExpr(
+        "*", f"explode(sequence(0, {GRID_SPLIT**2 - 1})) AS part"
+    ).selectExpr(
+        f"ix * {GRID_SPLIT} + part % {GRID_SPLIT} AS ix",
+        f"iy * {GRID_SPLIT} + part div {GRID_SPLIT} AS iy",
         "zone",
         "candidates",
     )
@@ -153,11 +151,11 @@ def district_grid(spark, shapes):
     coarse = size * GRID_SPLIT
     origin = (minx - GRID_MARGIN * width, miny - GRID_MARGIN * height)
     across, up = (ceil((1 + 2 * GRID_MARGIN) * side / coarse) for side in (width, height))
-    cells = spark.range(across * up).select(
-        (F.col("id") % across).alias("ix"),
-        F.floor(F.col("id") / across).alias("iy"),
-        _NO_ZONE().alias("zone"),
-        F.lit(None).cast("array<int>").alias("candidates"),
+    cells = spark.range(across * up).selectExpr(
+        f"id % {across} AS ix",
+        f"id div {across} AS iy",
+        f"{_NO_ZONE} AS zone",
+        "cast(NULL AS array<int>) AS candidates",
     )
     wide = _settle(cells, shapes, origin, coarse)
     return _settle(_split(wide), shapes, origin, size), origin, size
@@ -166,44 +164,40 @@ def district_grid(spark, shapes):
 # --- operators -----------------------------------------------------------------------------
 
 
-def zone_list(zones=None):
-    """Constant array of zone centres: those of a zone table, else the built-in ones."""
+def _zone_rows(zones=None):
+    """(id, lat, lon, radius, name) of a zone table (one job), else of the built-in zones."""
     if zones is None:
-        rows = [(zid, lat, lon, radius) for zid, _, lat, lon, radius in S.ZONES]
-    else:
-        rows = [
-            (r[0], float(r[1]), float(r[2]), float(r[3]))
-            for r in zones.select("zona_id", "latitud_centro", "longitud_centro", "radio_km")
-            .orderBy("zona_id")
-            .toLocalIterator()
-        ]
-    names = ("zona_id", "lat", "lon", "radio_km")
-    return F.array(
-        *[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
-    )
+        return [(zid, lat, lon, radius, name) for zid, name, lat, lon, radius in S.ZONES]
+    columns = ("zona_id", "latitud_centro", "longitud_centro", "radio_km", "nombre")
+    return sorted(map(tuple, zones.select(*columns).collect()))
+
+
+def _zone_array(rows):
+    return G.zone_array(row[:4] for row in rows)
 
 
 def zone_within_radius(df, lat="latitude", lon="longitude", name="zona_id"):
     """Add the nearest built-in zone that reaches the point; 1 if none does or it is null."""
     found = G.center_within_radius(
-        zone_list(), F.col(lat), F.col(lon), F.lit(S.ZONE_RADIUS_TO_DEGREES)
+        _zone_array(_zone_rows()), _name(lat), _name(lon), S.ZONE_RADIUS_TO_DEGREES
     )
-    return df.withColumn(name, F.coalesce(found, F.lit(1)))
+    return df.withColumn(name, F.expr(f"coalesce({found}, 1)"))
 
 
 def zone_nearest_center(df, lat="latitude", lon="longitude", name="zona_id", zones=None):
     """Add the zone with the nearest centre, the lowest id on ties."""
-    return df.withColumn(name, G.nearest_center(zone_list(zones), F.col(lat), F.col(lon)))
+    found = G.nearest_center(_zone_array(_zone_rows(zones)), _name(lat), _name(lon))
+    return df.withColumn(name, F.expr(found))
 
 
 def point_in_district(df, districts, lat="latitude", lon="longitude", name="zona_id"):
     """Add the first district that strictly contains the point, else null."""
-    return df.withColumn(name, Shapes.of(districts).containing(F.col(lon), F.col(lat)))
+    return df.withColumn(name, F.expr(Shapes.of(districts).containing(_name(lon), _name(lat))))
 
 
 def nearest_district(df, districts, lat="latitude", lon="longitude", name="zona_id"):
     """Add the district whose boundary is nearest, the first one on ties."""
-    return df.withColumn(name, Shapes.of(districts).nearest(F.col(lon), F.col(lat)))
+    return df.withColumn(name, F.expr(Shapes.of(districts).nearest(_name(lon), _name(lat))))
 
 
 def classify_point(df, districts, lat="latitude", lon="longitude", name="zona_id", grid=True):
@@ -212,24 +206,24 @@ def classify_point(df, districts, lat="latitude", lon="longitude", name="zona_id
     With the grid, most points get their zone from the cell they lie in; edges are only
     measured in cells that are not settled, for their few candidates, and far outside.
     """
-    shapes = Shapes.of(districts)
-    x, y = F.col(lon), F.col(lat)
+    return _classified(df, Shapes.of(districts), lat, lon, name, grid)
+
+
+def _classified(df, shapes, lat, lon, name, grid=True):
+    x, y = _name(lon), _name(lat)
     if not grid or not shapes.constants:
-        return df.withColumn(name, shapes.classify(x, y))
+        return df.withColumn(name, F.expr(shapes.classify(x, y)))
     cells, origin, size = district_grid(df.sparkSession, shapes)
-    cells = cells.select(
-        F.col("ix").alias("_ix"),
-        F.col("iy").alias("_iy"),
-        F.col("zone").alias("_zone"),
-        F.col("candidates").alias("_candidates"),
-    )
-    located = df.withColumns(
-        {"_ix": F.floor((x - origin[0]) / size), "_iy": F.floor((y - origin[1]) / size)}
-    )
-    measured = shapes.among(F.col("_candidates")).classify(x, y)
+    cells = cells.selectExpr("ix AS _ix", "iy AS _iy", "zone AS _zone", "candidates AS _candidates")
+
+    def cell(axis, start):
+        return F.expr(f"floor(({axis} - {G.number(start)}) / {G.number(size)})")
+
+    located = df.withColumns({"_ix": cell(x, origin[0]), "_iy": cell(y, origin[1])})
+    measured = shapes.among("_candidates").classify(x, y)
     return (
         located.join(F.broadcast(cells), ["_ix", "_iy"], "left")
-        .withColumn(name, F.coalesce(F.col("_zone"), measured))
+        .withColumn(name, F.expr(f"coalesce(_zone, {measured})"))
         .drop("_ix", "_iy", "_zone", "_candidates")
     )
 
@@ -244,24 +238,23 @@ def assign_district_zone(
     """
     if districts is None:
         return zone_nearest_center(df, lat, lon, name, zones)
-    placed = classify_point(df, districts, lat, lon, name)
+    shapes = Shapes.of(districts)
+    placed = _classified(df, shapes, lat, lon, name)
     if zones is None:
         return placed
-    # district position -> zone id of the same name; a name the table lacks maps to null
-    by_name = (
-        districts.select(F.col("zona_id").alias("position"), "nombre")
-        .join(zones.groupBy("nombre").agg(F.max("zona_id").alias("id")), "nombre", "left")
-        .select("position", "id")
-    )
-    pairs = [F.lit(x) for r in by_name.toLocalIterator() for x in (r["position"], r["id"])]
-    mapped = F.create_map(*pairs)[F.col(name)] if pairs else F.lit(None)
-    fallback = G.nearest_center(zone_list(zones), F.col(lat), F.col(lon))
-    return placed.withColumn(name, F.coalesce(mapped.cast("int"), fallback))
+    rows = _zone_rows(zones)
+    ids = {row[4]: row[0] for row in rows}
+    # district position -> zone id of the same name, for the names the table has
+    pairs = [(zone, ids[text]) for zone, text in shapes.names.items() if text in ids]
+    mapped = " ".join(f"WHEN {zone} THEN {found}" for zone, found in pairs)
+    by_name = f"CASE `{name}` {mapped} END" if pairs else _NO_ZONE
+    fallback = G.nearest_center(_zone_array(rows), _name(lat), _name(lon))
+    return placed.withColumn(name, F.expr(f"coalesce({by_name}, {fallback})"))
 
 
 def district_bbox_match(df, districts, lat="latitude", lon="longitude", name="zona_id"):
     """Add the first district whose outer ring's bounding box holds the point, else null."""
-    return df.withColumn(name, Shapes.of(districts).first_box(F.col(lon), F.col(lat)))
+    return df.withColumn(name, F.expr(Shapes.of(districts).first_box(_name(lon), _name(lat))))
 
 
 def district_by_id(districts, distrito_id):
