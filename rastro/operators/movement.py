@@ -9,7 +9,7 @@ from rastro.session import shared_folder
 
 # A device is split over several tasks when it has more rows than one task should sort,
 # and at least this share of the table. The share bounds how many devices can be listed.
-ROWS_PER_TASK = 2_000_000
+ROWS_PER_TASK = 10_000_000
 HOT_SHARE = 1e-4
 
 

@@ -65,8 +65,6 @@ def test_incremental_load_takes_new_ids_only(spark, readings, single):
     assert first["records_inserted"] + second["records_inserted"] == single.fact_mediciones.count()
     assert (second["already_present"], third["records_inserted"]) == (0, 0)
     assert _content(W.read_star(spark, root)) == _content(single)
-    load_warehouse(spark, root, readings, known, full_reload=True)
-    assert _content(W.read_star(spark, root)) == _content(single)
 
 
 def test_stream_resumes_and_ignores_repeats(spark, readings, single):
