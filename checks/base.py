@@ -230,9 +230,8 @@ TABLES = {
  coalesce(altitude, 0::DOUBLE) AS altitud, placed.zid AS zona_id, device_identifier, device_display_name, device_model,
  md5(lower(trim(device_identifier || '_' || device_model)))[1:16] AS device_hash
  FROM named JOIN placed USING (lat, lon)""",
-    "dim_operador": values(
-        [(*row, None, True) for row in S.OPERATORS], "operador_id,nombre,grupo,es_principal"
-    ),
+    "dim_operador": "SELECT operador_id, nombre, CAST(NULL AS VARCHAR) AS grupo, true AS es_principal"
+    f" FROM ({values(S.OPERATORS, 'operador_id,nombre')})",
     "dim_red": values(S.NETWORKS, "red_id,tipo_red,generacion,velocidad_teorica"),
     "dim_calidad": values(S.QUALITIES, "calidad_id,rango_senal,nivel,descripcion"),
     "dim_hora": f"""SELECT hora + 1 AS hora_id, hora, {PERIOD_SQL} AS periodo,

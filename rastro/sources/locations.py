@@ -94,13 +94,13 @@ def jdbc_options(url, table, lower, upper, partitions, fetch_rows=10_000):
 
 def read_locations_jdbc(spark, url, table="locations", partitions=64, max_records=None, **options):
     """Readings from a database table, read by many tasks at once, each a range of ids."""
-    reader = spark.read.format("jdbc").option("url", url).options(**options)
-    limits = reader.option("query", f"SELECT MIN(id) AS lo, MAX(id) AS hi FROM {table}").load()
-    low, high = limits.first()
+    limits = f"SELECT MIN(id) AS lo, MAX(id) AS hi FROM {table}"
+    reader = spark.read.format("jdbc").options(**options, url=url, query=limits)
+    low, high = reader.load().first()
     if low is None:
         raise EmptySourceError(f"No data found in table '{table}'")
     split = jdbc_options(url, table, low, high + 1, partitions)
-    df = spark.read.format("jdbc").options(**{**split, **options}).load()
+    df = spark.read.format("jdbc").options(**options, **split).load()
     return _checked(df, max_records)
 
 
