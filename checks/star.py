@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks.base import districts, locations, prepared, query, rounded, star
+from checks.base import districts, prepared, query, rounded, star
 from rastro import schema as S
 from rastro.plans import star as P
 from rastro.plans import views as V
