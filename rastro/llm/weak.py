@@ -1,9 +1,12 @@
 """Weak supervision: labelers vote or abstain, expectation-maximisation weighs them.
 
-A vote is 1 (positive), -1 (negative) or 0 (abstains); null counts as 0. With K labelers there are
-at most 3^K vote patterns, so the corpus is read once, to count patterns, and all rounds of the
-expectation-maximisation are aggregations over that small table. Only K + 1 numbers per round reach
-the driver.
+A vote is 1 (positive), -1 (negative) or 0 (abstains); null counts as 0. For each labeler two
+accuracies are estimated: how often it says 1 on positives, and -1 on negatives, among the rows on
+which it votes. A labeler that says the same everywhere so weighs nothing, however often it speaks.
+
+With K labelers there are at most 3^K vote patterns. The corpus is read once, to count patterns, and
+all rounds of the expectation-maximisation are aggregations over that small table. Only 4 K + 2
+sums per round reach the driver.
 """
 
 from dataclasses import dataclass
@@ -11,31 +14,34 @@ from math import log
 
 from pyspark.sql import functions as F
 
-#: An accuracy stays inside these bounds, so a labeler never outvotes all others, and one that
-#: is no better than chance does not turn into its own opposite.
-LOWEST, HIGHEST = 0.55, 0.99
-#: Votes that each labeler is taken to have cast beforehand, with the accuracy it starts from.
-PRIOR_VOTES = 20.0
+#: An accuracy stays inside these bounds, so no single vote decides alone.
+LOWEST, HIGHEST = 0.02, 0.98
 
 
 @dataclass(frozen=True)
 class VoteModel:
-    """Accuracy per labeler and the share of positives."""
+    """Per labeler its accuracy on positives and on negatives; the share of positives."""
 
-    accuracies: dict
+    on_positive: dict
+    on_negative: dict
     prior: float
 
-    def posterior(self, suffix=""):
+    def posterior(self):
         """Column: probability of the positive class, from the vote columns."""
         logit = F.lit(log(self.prior / (1 - self.prior)))
-        for name, accuracy in self.accuracies.items():
-            vote = F.coalesce(F.col(name + suffix).cast("double"), F.lit(0.0))
-            logit = logit + vote * F.lit(log(accuracy / (1 - accuracy)))
+        for name, right in self.on_positive.items():
+            rejects = self.on_negative[name]
+            logit = (
+                logit
+                + F.when(F.col(name) > 0, F.lit(log(right / (1 - rejects))))
+                .when(F.col(name) < 0, F.lit(log((1 - right) / rejects)))
+                .otherwise(F.lit(0.0))
+            )
         return 1 / (1 + F.exp(-logit))
 
 
-def _inside(value, lowest, highest):
-    return min(max(value, lowest), highest)
+def _inside(value):
+    return min(max(value, LOWEST), HIGHEST)
 
 
 def count_patterns(rows, labelers):
@@ -44,40 +50,40 @@ def count_patterns(rows, labelers):
     return rows.select(*votes).groupBy(*labelers).agg(F.count("*").alias("n"))
 
 
-def fit(rows, labelers, rounds=15, prior=0.5, accuracy=0.8):
+def fit(rows, labelers, prior=0.8, on_positive=0.9, on_negative=0.6, strength=5.0, rounds=25):
     """Estimate a ``VoteModel`` for the vote columns ``labelers`` of ``rows``.
 
-    Without rows, or without votes, the starting values are returned.
+    The starting accuracies also count as ``strength`` votes seen beforehand, so that a labeler with
+    few votes keeps them. Without rows the starting values are returned.
     """
     labelers = list(labelers)
     patterns = count_patterns(rows, labelers)
-    spark = rows.sparkSession
     # bounded by the number of patterns; later rounds do not touch the corpus again
-    patterns = spark.createDataFrame(patterns.collect(), patterns.schema).coalesce(1)
-    start = accuracy
-    model = VoteModel(dict.fromkeys(labelers, start), prior)
+    patterns = rows.sparkSession.createDataFrame(patterns.collect(), patterns.schema).coalesce(1)
+    model = VoteModel(
+        dict.fromkeys(labelers, on_positive), dict.fromkeys(labelers, on_negative), prior
+    )
     for _ in range(rounds):
-        p = model.posterior()
-        sums = [F.sum(F.col("n") * p).alias("positive"), F.sum("n").alias("total")]
+        p, n = model.posterior(), F.col("n")
+        sums = [F.sum(n * p).alias("positive"), F.sum(n).alias("total")]
         for c in labelers:
-            agrees = F.when(F.col(c) > 0, p).when(F.col(c) < 0, 1 - p)
+            up, down = F.col(c) > 0, F.col(c) < 0
             sums += [
-                F.sum(F.col("n") * agrees).alias(f"{c}_agrees"),
-                F.sum(F.when(F.col(c) != 0, F.col("n"))).alias(f"{c}_votes"),
+                F.sum(F.when(up, n * p)).alias(f"{c}_up"),
+                F.sum(F.when(up | down, n * p)).alias(f"{c}_positives"),
+                F.sum(F.when(down, n * (1 - p))).alias(f"{c}_down"),
+                F.sum(F.when(up | down, n * (1 - p))).alias(f"{c}_negatives"),
             ]
-        found = patterns.agg(*sums).first().asDict()
+        found = {k: v or 0.0 for k, v in patterns.agg(*sums).first().asDict().items()}
         if not found["total"]:
             return model
+
+        def share(part, whole, start, found=found):
+            return _inside((found[part] + strength * start) / (found[whole] + strength))
+
         model = VoteModel(
-            {
-                c: _inside(
-                    ((found[f"{c}_agrees"] or 0.0) + PRIOR_VOTES * start)
-                    / ((found[f"{c}_votes"] or 0) + PRIOR_VOTES),
-                    LOWEST,
-                    HIGHEST,
-                )
-                for c in labelers
-            },
-            _inside(found["positive"] / found["total"], 0.02, 0.98),
+            {c: share(f"{c}_up", f"{c}_positives", on_positive) for c in labelers},
+            {c: share(f"{c}_down", f"{c}_negatives", on_negative) for c in labelers},
+            _inside(found["positive"] / found["total"]),
         )
     return model
