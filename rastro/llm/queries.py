@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 
+from rastro.llm.pii import personal_data_report
 from rastro.llm.quality import quality_report
 from rastro.llm.secrets import secret_report
 
@@ -28,6 +29,11 @@ def op1_secret_scans(spark, sf_dir):
     return secret_report(_read(spark, sf_dir, "documents"))
 
 
+@query("op8_pii")
+def op8_pii(spark, sf_dir):
+    return personal_data_report(_read(spark, sf_dir, "documents"))
+
+
 @query("op10_quality_rules")
 def op10_quality_rules(spark, sf_dir):
     return quality_report(_read(spark, sf_dir, "documents"))

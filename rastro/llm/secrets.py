@@ -76,10 +76,11 @@ def window_entropy(body, window=WINDOW):
     def step(state, x):
         new, old, counts = x["new"], x["old"], state["counts"]
         rises = F.element_at(counts, new)
-        falls = F.when(old > 0, F.element_at(counts, F.greatest(old, F.lit(1))))
-        moved = (weight(rises + 1) - weight(rises)) - F.coalesce(
-            weight(falls) - weight(falls - 1), F.lit(0.0)
-        )
+        # no index may be null, and none below 1
+        falls = F.when(old > 0, F.element_at(counts, F.greatest(old, F.lit(1)))).otherwise(F.lit(1))
+        moved = (weight(rises + 1) - weight(rises)) - F.when(
+            old > 0, weight(falls) - weight(falls - 1)
+        ).otherwise(F.lit(0.0))
         total = state["total"] + F.when(new == old, F.lit(0.0)).otherwise(moved)
         counts = F.transform(
             counts,

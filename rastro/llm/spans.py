@@ -14,17 +14,12 @@ def no_spans():
     return F.array().cast(SPANS)
 
 
-def matches(text, kind, pattern, only_if=None):
-    """Column array of (kind, start, stop, body) for every match of ``pattern``, in order.
+#: Matches whose places are added up together.
+CHUNK = 256
 
-    ``text`` must not be null. ``only_if`` is a cheaper pattern that every text with a wanted match
-    contains; texts without it are not searched in full. Extending the list copies references, so a
-    text with m matches costs m^2 of those, which is little beside the search itself.
-    """
-    steps = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("body"),
-    )
+
+def _places(steps, kind):
+    """Struct of the length of all ``steps`` (text between, match) and the spans inside."""
     start = F.struct(F.lit(0).alias("at"), no_spans().alias("found"))
 
     def step(state, x):
@@ -38,7 +33,43 @@ def matches(text, kind, pattern, only_if=None):
         )
         return F.struct(end.alias("at"), more.alias("found"))
 
-    found = F.aggregate(steps, start, step, lambda state: state["found"])
+    return F.aggregate(steps, start, step)
+
+
+def matches(text, kind, pattern, only_if=None):
+    """Column array of (kind, start, stop, body) for every match of ``pattern``, in order.
+
+    ``text`` must not be null. ``only_if`` is a cheaper pattern that every text with a wanted match
+    contains; texts without it are not searched in full. Lengths are added up in chunks, and then over
+    the chunks, because extending a list copies it.
+    """
+    steps = F.arrays_zip(
+        F.split(text, pattern, -1).alias("gap"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("body"),
+    )
+
+    def in_chunks(steps):
+        firsts = F.sequence(F.lit(1), F.size(steps), F.lit(CHUNK))
+        return F.transform(firsts, lambda i: _places(F.slice(steps, i, F.lit(CHUNK)), kind))
+
+    def add_chunk(state, chunk):
+        def moved(s):
+            return F.struct(
+                s["kind"].alias("kind"),
+                (s["start"] + state["at"]).alias("start"),
+                (s["stop"] + state["at"]).alias("stop"),
+                s["body"].alias("body"),
+            )
+
+        spans = F.array(F.transform(chunk["found"], moved).cast(SPANS))
+        return F.struct(
+            (state["at"] + chunk["at"]).alias("at"), F.concat(state["found"], spans).alias("found")
+        )
+
+    # a list of one, so that the search happens once
+    chunks = F.get(F.transform(F.array(steps), in_chunks), F.lit(0))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("found"))
+    found = F.aggregate(chunks, start, add_chunk, lambda state: F.flatten(state["found"]))
     return F.when(text.rlike(only_if or pattern), found).otherwise(no_spans())
 
 
