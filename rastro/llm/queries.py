@@ -2,6 +2,8 @@
 
 import corpus_pipeline
 
+from rastro.llm.decontamination import REPORT_SQL as DECONTAMINATION_SQL
+from rastro.llm.decontamination import contamination_report
 from rastro.llm.pii import personal_data_report
 from rastro.llm.quality import quality_report
 from rastro.llm.secrets import secret_report
@@ -29,6 +31,11 @@ def op1_secret_scans(spark, sf_dir):
     return secret_report(_read(spark, sf_dir, "documents"))
 
 
+@query("op2_benchmark_decontamination", DECONTAMINATION_SQL)
+def op2_benchmark_decontamination(spark, sf_dir):
+    return contamination_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 @query("op8_pii")
 def op8_pii(spark, sf_dir):
     return personal_data_report(_read(spark, sf_dir, "documents"))
