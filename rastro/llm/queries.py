@@ -7,6 +7,7 @@ from rastro.llm.decontamination import contamination_report
 from rastro.llm.pii import personal_data_report
 from rastro.llm.quality import quality_report
 from rastro.llm.secrets import secret_report
+from rastro.llm.simhash import near_duplicate_report
 
 QUERIES = {}
 ORACLES = {}
@@ -36,6 +37,11 @@ def op2_benchmark_decontamination(spark, sf_dir):
     return contamination_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+@query("op7_simhash")
+def op7_simhash(spark, sf_dir):
+    return near_duplicate_report(_read(spark, sf_dir, "documents"))
+
+
 @query("op8_pii")
 def op8_pii(spark, sf_dir):
     return personal_data_report(_read(spark, sf_dir, "documents"))
