@@ -1,7 +1,9 @@
 """The ten operators and the pipeline as registered queries, with SQL where SQL can express them."""
 
 import corpus_pipeline
+import public_tokenizers
 
+from rastro.llm.bpe import bpe_report
 from rastro.llm.decontamination import REPORT_SQL as DECONTAMINATION_SQL
 from rastro.llm.decontamination import contamination_report
 from rastro.llm.pii import personal_data_report
@@ -37,6 +39,12 @@ def op2_benchmark_decontamination(spark, sf_dir):
     return contamination_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+@query("op5_byte_bpe")
+def op5_byte_bpe(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe_report(_read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query("op7_simhash")
 def op7_simhash(spark, sf_dir):
     return near_duplicate_report(_read(spark, sf_dir, "documents"))
