@@ -6,6 +6,7 @@ import public_tokenizers
 from rastro.llm.bpe import bpe_report
 from rastro.llm.decontamination import REPORT_SQL as DECONTAMINATION_SQL
 from rastro.llm.decontamination import contamination_report
+from rastro.llm.language import language_report
 from rastro.llm.pii import personal_data_report
 from rastro.llm.quality import quality_report
 from rastro.llm.secrets import secret_report
@@ -45,6 +46,11 @@ def op5_byte_bpe(spark, sf_dir):
     return bpe_report(_read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query("op6_language_id")
+def op6_language_id(spark, sf_dir):
+    return language_report(_read(spark, sf_dir, "documents"))
+
+
 @query("op7_simhash")
 def op7_simhash(spark, sf_dir):
     return near_duplicate_report(_read(spark, sf_dir, "documents"))
