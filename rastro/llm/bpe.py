@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rastro.llm.workers import find_package
+
 #: White space as Unicode defines it, written out because Java's \s is ASCII.
 _SPACE = r"\t-\r\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 #: Pieces that a worker keeps with their ids.
@@ -194,6 +196,7 @@ def encode_documents(docs, vocabulary_path, pattern, text="text", drop_text=True
     that file is read by the driver. The JVM does the splitting. Texts with characters that are
     unassigned in its version of Unicode are split in Python instead.
     """
+    find_package(docs.sparkSession)
     with open(vocabulary_path, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     java = pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]")
@@ -233,6 +236,7 @@ def _decoder(shared, at):
 
 def decode_documents(encoded, vocabulary_path, ids="ids"):
     """``encoded`` with ``decoded``, the bytes of the ids."""
+    find_package(encoded.sparkSession)
     with open(vocabulary_path, "rb") as file:
         shared = encoded.sparkSession.sparkContext.broadcast(file.read())
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])

@@ -15,12 +15,16 @@ is labelled. Ties go to the language that sorts first. Rows are independent; rep
 results. A null id counts as the empty string in crc32.
 """
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rastro.llm.workers import find_package
+
 SAMPLE_DOCUMENTS = 100
 SAMPLE_BYTES = 60_000
 #: Bytes of one text that are parsed in one go; bounds the steps of a batch with one long text.
@@ -226,8 +230,7 @@ def _predictor(shared):
 
 def identify_languages(docs, samples, text="text"):
     """``docs`` without ``text``, with ``lang_pred`` and ``score``; ``samples`` as from ``training_samples``."""
-    import uuid
-
+    find_package(docs.sparkSession)
     shared = _Shared(docs.sparkSession.sparkContext.broadcast(samples), uuid.uuid4().hex)
     kept = docs.drop(text)
     letters = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))

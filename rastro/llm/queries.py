@@ -7,6 +7,8 @@ from rastro.llm.bpe import bpe_report
 from rastro.llm.decontamination import REPORT_SQL as DECONTAMINATION_SQL
 from rastro.llm.decontamination import contamination_report
 from rastro.llm.language import language_report
+from rastro.llm.lm import REPORT_SQL as LM_SQL
+from rastro.llm.lm import score_report
 from rastro.llm.pii import personal_data_report
 from rastro.llm.quality import quality_report
 from rastro.llm.secrets import secret_report
@@ -61,6 +63,11 @@ def op8_pii(spark, sf_dir):
     return personal_data_report(_read(spark, sf_dir, "documents"))
 
 
+@query("op9_lm_scoring", LM_SQL)
+def op9_lm_scoring(spark, sf_dir):
+    return score_report(_read(spark, sf_dir, "documents"))
+
+
 @query("op10_quality_rules")
 def op10_quality_rules(spark, sf_dir):
     return quality_report(_read(spark, sf_dir, "documents"))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from rastro.llm.components import connected_components
 from rastro.llm.decontamination import LOWER, UPPER
 from rastro.llm.quality import words_of
+from rastro.llm.workers import find_package
 from rastro.session import scratch_path
 
 SHINGLE = 4
@@ -85,6 +86,7 @@ def _fingerprint_batches(batches):
 
 def with_fingerprints(docs, text="text", shingle=SHINGLE, drop_text=True):
     """``docs`` with ``_print``, the fingerprint as a signed long."""
+    find_package(docs.sparkSession)
     hashed = docs.withColumn("_hashes", shingle_hashes(F.col(text), shingle))
     if drop_text:
         hashed = hashed.drop(text)
