@@ -13,6 +13,7 @@ from rastro.llm.pii import personal_data_report
 from rastro.llm.quality import quality_report
 from rastro.llm.secrets import secret_report
 from rastro.llm.simhash import near_duplicate_report
+from rastro.llm.suffixes import repeat_report
 
 QUERIES = {}
 ORACLES = {}
@@ -42,6 +43,11 @@ def op2_benchmark_decontamination(spark, sf_dir):
     return contamination_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+@query("op3_suffix_array_dedup")
+def op3_suffix_array_dedup(spark, sf_dir):
+    return repeat_report(_read(spark, sf_dir, "documents"))
+
+
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
