@@ -6,6 +6,7 @@ import public_tokenizers
 from rastro.llm.bpe import bpe_report
 from rastro.llm.decontamination import REPORT_SQL as DECONTAMINATION_SQL
 from rastro.llm.decontamination import contamination_report
+from rastro.llm.html import page_report
 from rastro.llm.language import language_report
 from rastro.llm.lm import REPORT_SQL as LM_SQL
 from rastro.llm.lm import score_report
@@ -48,6 +49,11 @@ def op3_suffix_array_dedup(spark, sf_dir):
     return repeat_report(_read(spark, sf_dir, "documents"))
 
 
+@query("op4_html_extraction")
+def op4_html_extraction(spark, sf_dir):
+    return page_report(_read(spark, sf_dir, "pages"))
+
+
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
