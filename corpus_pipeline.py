@@ -1,25 +1,37 @@
 """A corpus pipeline from the operators in ``rastro.llm``: STAGES, run() and ORACLE_SQL.
 
 Every stage takes (spark, docs, sf_dir), works on all rows that the stage before it kept, and its
-decisions take effect: rejected documents go, secrets are masked. All stages but the last return
-the columns of ``documents``.
+decisions take effect. All stages but the last return the columns of ``documents``.
 """
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from rastro.llm.bpe import decode_documents, encode_documents
+from rastro.llm.decontamination import judge_contamination
 from rastro.llm.quality import judge_quality
 from rastro.llm.secrets import mask_secrets
+from rastro.llm.simhash import keep_one_of_each
 from rastro.session import scratch_path
 
-
-def _rows_kept(docs, judged, columns):
-    return judged.where("kept").select(*columns)
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def quality_rules(spark, docs, sf_dir):
     """Documents that the quality rules reject go."""
-    whole = docs.withColumn("_text", F.col("text"))
-    return judge_quality(whole).where("kept").withColumnRenamed("_text", "text").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return judge_quality(rows).where("kept").select("row.*")
+
+
+def simhash_near_dedup(spark, docs, sf_dir):
+    """Of each group of documents with linked fingerprints the one with the smallest id stays."""
+    return keep_one_of_each(docs)
+
+
+def benchmark_decontamination(spark, docs, sf_dir):
+    """Documents that hold a window of a benchmark item go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return judge_contamination(docs, benchmark).where("not contaminated").select("row.*")
 
 
 def secret_scans(spark, docs, sf_dir):
@@ -28,12 +40,29 @@ def secret_scans(spark, docs, sf_dir):
     return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+def byte_bpe(spark, docs, sf_dir):
+    """The token ids of every text, and whether they decode to it."""
+    rows = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
+    encoded = encode_documents(rows, VOCABULARY, public_tokenizers.PATTERN, drop_text=False)
+    return decode_documents(encoded, VOCABULARY).select(
+        "doc_id",
+        "lang",
+        "source",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        (F.col("decoded") == F.col("text").cast("binary")).alias("round_trip"),
+    )
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("SimHash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
     ("secret scans", secret_scans),
+    ("byte-level BPE", byte_bpe),
 ]
 
-#: The stages estimate models and number components by iteration; SQL does not express that.
+#: Stages fit a model by iteration, hash with XXH64 and number components; SQL does not express them.
 ORACLE_SQL = None
 
 

@@ -66,10 +66,10 @@ def benchmark_windows(benchmark, item_id="item_id", text="text"):
 
 
 def find_hits(docs, benchmark, text="text", broadcast_bytes=64 << 20):
-    """``docs`` with ``_key`` (names a row's id and text) and a table of hits per ``_key``.
+    """Hits per ``_key``, a struct that names a row's id and text.
 
-    The hits hold the key, the number of words inside windows and the items found. Writes the windows
-    of the benchmark, which is the small table, when called.
+    They hold the key, the number of words inside windows and the items found; rows without a hit have none.
+    Writes the windows of the benchmark, which is the small table, when called.
     """
     spark = docs.sparkSession
     folder = scratch_path(spark, "benchmark-windows")
@@ -116,52 +116,40 @@ def find_hits(docs, benchmark, text="text", broadcast_bytes=64 << 20):
 
 
 def judge_contamination(docs, benchmark, doc_id="doc_id", text="text", broadcast_bytes=64 << 20):
-    """``docs`` with ``n_words``, ``n_hit``, ``items`` and ``contaminated``."""
-    key = F.struct(
-        F.col(doc_id).cast("string").alias("id"), F.xxhash64(F.col(text)).alias("hash")
-    )
-    keyed = docs.withColumn("_key", key)
-    hits = find_hits(keyed, benchmark, text, broadcast_bytes).select(
-        F.col("_key.id").alias("_hit_id"), F.col("_key.hash").alias("_hit_hash"), "n_hit", "items"
-    )
-    counted = keyed.withColumn("n_words", F.size(words_of(F.col(text))).cast("long"))
-    same = counted["_key.id"].eqNullSafe(hits["_hit_id"]) & (counted["_key.hash"] == hits["_hit_hash"])
-    return (
-        counted.join(hits, same, "left")
-        .withColumns(
-            {
-                "n_hit": F.coalesce("n_hit", F.lit(0)).cast("long"),
-                "items": F.coalesce("items", F.array().cast("array<string>")),
-                "contaminated": F.coalesce(F.col("n_hit") > 0, F.lit(False)),
-            }
-        )
-        .drop("_key", "_hit_id", "_hit_hash")
-    )
-
+    """One row per row of ``docs``: ``row``, all its columns, and ``n_words``, ``n_hit``, ``items``, ``contaminated``.
 
-def contamination_report(docs, benchmark, doc_id="doc_id", text="text"):
-    """One row per document: words, words inside benchmark windows, items found, and the verdict."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    key = F.struct(F.col("doc_id").cast("string").alias("id"), F.xxhash64("text").alias("hash"))
-    # only the number of words of each row meets the hits, not its text
-    counted = rows.select(
-        "doc_id", key.alias("_key"), F.size(words_of(F.col("text"))).cast("long").alias("n_words")
-    )
-    hits = find_hits(rows.withColumn("_key", key), benchmark).select(
+    Keeping the columns in a struct, names that occur on both sides do not clash.
+    """
+    key = F.struct(F.col(doc_id).cast("string").alias("id"), F.xxhash64(F.col(text)).alias("hash"))
+    rows = docs.select(F.struct("*").alias("row"), key.alias("_key"), F.col(text).alias("_text"))
+    hits = find_hits(rows, benchmark, "_text", broadcast_bytes).select(
         F.col("_key.id").alias("_id"), F.col("_key.hash").alias("_hash"), "n_hit", "items"
     )
+    # the number of words is taken before the join, the text goes through it only if it is asked for
+    counted = rows.select("row", "_key", F.size(words_of(F.col("_text"))).cast("long").alias("n_words"))
     same = counted["_key.id"].eqNullSafe(hits["_id"]) & (counted["_key.hash"] == hits["_hash"])
-    items = F.coalesce("items", F.array().cast("array<string>"))
     return counted.join(hits, same, "left").select(
-        "doc_id",
+        "row",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.size(items).cast("long").alias("n_items"),
-        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
     )
 
 
+def contamination_report(docs, benchmark, doc_id="doc_id", text="text"):
+    """One row per document: words, words inside benchmark windows, items found, and the verdict."""
+    judged = judge_contamination(docs.select(doc_id, text), benchmark, doc_id, text)
+    return judged.select(
+        F.col("row")[doc_id].alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 #: The report in SQL.
 REPORT_SQL = r"""
 WITH d AS (

@@ -145,11 +145,13 @@ def secret_report(docs, doc_id="doc_id", text="text"):
 def mask_secrets(docs, text="text", mark="[SECRET]"):
     """``docs`` with every secret in ``text`` replaced by ``mark``; other columns as they are.
 
-    A null text stays null. Columns of any name may be present but ``_base`` and ``_entropy``.
+    A null text stays null.
     """
-    found = find_secrets(docs, text)
-    spans = F.concat(F.col("_base"), F.col("_entropy")).cast(SPANS)
-    cleaned = F.when(F.col(text).isNull(), F.lit(None).cast("string")).otherwise(
-        masked(F.col(text), F.col("_spans"), mark)
+    found = find_secrets(docs.select(F.struct("*").alias("row"), F.col(text).alias("text")))
+    found = found.withColumn("_spans", F.concat(F.col("_base"), F.col("_entropy")).cast(SPANS))
+    cleaned = F.when(F.col("text").isNull(), F.lit(None).cast("string")).otherwise(
+        masked(F.col("text"), F.col("_spans"), mark)
+    )
+    return found.select(
+        *[cleaned.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
     )
-    return found.withColumn("_spans", spans).withColumn(text, cleaned).select(*docs.columns)

@@ -165,7 +165,10 @@ def link_fingerprints(prints, radius=RADIUS):
 
 
 def print_components(prints, doc_id="doc_id", radius=RADIUS):
-    """Table (_print, component_id) of the fingerprints in ``prints`` (``doc_id``, _print)."""
+    """Table (_print, label, component_id) of the fingerprints in ``prints`` (``doc_id``, _print).
+
+    ``label`` is the least fingerprint of the component, ``component_id`` its least id.
+    """
     spark = prints.sparkSession
     folder = scratch_path(spark, "prints")
     prints.groupBy("_print").agg(F.min(doc_id).alias("first")).write.parquet(folder)
@@ -175,7 +178,7 @@ def print_components(prints, doc_id="doc_id", radius=RADIUS):
         "_print", "first", F.coalesce("label", "_print").alias("label")
     )
     least = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    return labelled.join(least, "label").select("_print", "component_id")
+    return labelled.join(least, "label").select("_print", "label", "component_id")
 
 
 def near_duplicate_report(docs, doc_id="doc_id", text="text", radius=RADIUS):
@@ -194,24 +197,28 @@ def near_duplicate_report(docs, doc_id="doc_id", text="text", radius=RADIUS):
 def keep_one_of_each(docs, doc_id="doc_id", text="text", radius=RADIUS):
     """One row of each group of near-duplicates: the one with the smallest id, null ids last.
 
-    Of equal ids one row stays. Names that begin with an underscore must not occur in ``docs``.
+    Of equal ids one row stays. The rows are written to the shared folder, with their fingerprints, when called.
     """
     spark = docs.sparkSession
     folder = scratch_path(spark, "fingerprinted")
-    marked = docs.withColumn("_row", F.monotonically_increasing_id())
-    with_fingerprints(marked, text, drop_text=False).write.parquet(folder)
+    marked = docs.select(
+        F.struct("*").alias("row"),
+        F.col(doc_id).alias("doc_id"),
+        F.monotonically_increasing_id().alias("_at"),
+        F.col(text).alias("text"),
+    )
+    with_fingerprints(marked).write.parquet(folder)
     stored = spark.read.parquet(folder)  # row numbers are fixed from here on
-    rows = stored.select(F.col(doc_id).alias("_id"), "_row", "_print")
-    components = print_components(rows.withColumnRenamed("_id", "doc_id"), radius=radius)
-    # fingerprints of one group, then groups: copies meet in partial aggregation
-    first = F.min(F.struct(F.col("_id").isNull().alias("x"), "_id", "_row")).alias("first")
-    labels = components.select("_print", F.coalesce("component_id", "_print").alias("_group"),
-                               F.col("component_id").isNull().alias("_none"))
-    per_print = rows.groupBy("_print").agg(first)
+    rows = stored.select("doc_id", "_at", "_print")
+    components = print_components(rows, radius=radius)
+    # first per fingerprint, then per group: copies meet in partial aggregation
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_at")).alias("first")
     kept = (
-        per_print.join(labels, "_print")
-        .groupBy("_group", "_none")
+        rows.groupBy("_print")
+        .agg(first)
+        .join(components, "_print")
+        .groupBy("label")
         .agg(F.min("first").alias("first"))
-        .select("first._row")
+        .select("first._at")
     )
-    return stored.join(kept, "_row", "left_semi").select(*docs.columns)
+    return stored.join(kept, "_at", "left_semi").select("row.*")
