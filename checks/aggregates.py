@@ -7,7 +7,7 @@ from rastro.operators import aggregates as A
 from rastro.operators import lookup as L
 from rastro.operators import temporal as T
 
-_METRICS = """SELECT device_id, count(*) AS total_records, round(avg(battery), 6) AS avg_battery,
+METRICS_SQL = """SELECT device_id, count(*) AS total_records, round(avg(battery), 6) AS avg_battery,
  min(battery) AS min_battery, round(avg(signal), 6) AS avg_signal, round(avg(speed), 6) AS avg_speed,
  max(speed) AS max_speed, min(timestamp) AS first_activity, max(timestamp) AS last_activity,
  count(DISTINCT device_name) AS device_name_count,
@@ -15,7 +15,7 @@ _METRICS = """SELECT device_id, count(*) AS total_records, round(avg(battery), 6
  FROM cleaned GROUP BY device_id"""
 
 
-@query("device_metrics", _METRICS)
+@query("device_metrics", METRICS_SQL)
 def device_metrics(spark, sf_dir):
     return rounded(
         A.device_metrics(cleaned(spark, sf_dir)),
@@ -26,12 +26,12 @@ def device_metrics(spark, sf_dir):
     )
 
 
-_NETWORK = """SELECT sim_operator, network_type, count(*) AS record_count,
+NETWORK_SQL = """SELECT sim_operator, network_type, count(*) AS record_count,
  round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM cleaned), 6) AS percentage
  FROM cleaned GROUP BY sim_operator, network_type"""
 
 
-@query("network_distribution", _NETWORK)
+@query("network_distribution", NETWORK_SQL)
 def network_distribution(spark, sf_dir):
     return rounded(A.network_distribution(cleaned(spark, sf_dir)), percentage=6)
 

@@ -126,7 +126,7 @@ def filter_options(spark, sf_dir):
     by_operator = D.operator_distribution(tables).select(
         F.lit("operator").alias("kind"), F.col("operador").alias("nombre"), "count"
     )
-    by_zone = D.zone_distribution(tables).select(
+    by_zone = D.zone_counts(tables).select(
         F.lit("zone").alias("kind"), F.col("zona").alias("nombre"), "count"
     )
     counted = by_operator.unionByName(by_zone).withColumnRenamed("count", "mediciones")

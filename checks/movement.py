@@ -73,8 +73,8 @@ def distance_from_previous(spark, sf_dir):
 
 @query("distance_from_previous_split", f"SELECT {_MOVES} FROM moves")
 def distance_from_previous_split(spark, sf_dir):
-    """The way for devices that hold much of the data, here taken by most devices."""
-    moved = add_distance_from_previous(cleaned(spark, sf_dir), rows_per_task=50, share=0.0)
+    """The same with other cuts of a device's readings."""
+    moved = add_distance_from_previous(cleaned(spark, sf_dir), bucket="minute")
     shown = moved.select(
         "id",
         "device_id",

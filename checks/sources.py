@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from checks.aggregates import METRICS_SQL, NETWORK_SQL
 from checks.base import cleaned, districts, locations, query, rounded, star, warehouse_root
 from rastro import schema as S
 from rastro.operators.aggregates import device_metrics, network_distribution
@@ -95,20 +96,42 @@ def read_incremental(spark, sf_dir):
 
 @query(
     "table_profile",
-    "SELECT 'locations' AS table_name, 13 AS column_count, count(*) AS total_records FROM locations",
+    """SELECT 'locations' AS table_name, string_agg(column_name, ',' ORDER BY column_index) AS columns,
+ count(*) AS column_count, (SELECT count(*) FROM locations) AS total_records, TRUE AS sample_is_a_row
+ FROM (SELECT unnest(columns) AS column_name, unnest(range(13)) AS column_index FROM
+ (SELECT ['id','device_name','latitude','longitude','altitude','speed','battery','signal','sim_operator','network_type',
+ 'timestamp','created_at','device_id'] AS columns))""",
 )
 def table_profile(spark, sf_dir):
-    profile = L.table_profile(locations(spark, sf_dir))
-    return profile.select("table_name", "column_count", "total_records")
+    """The columns in order; the sample is one of the rows, whichever."""
+    rows = locations(spark, sf_dir)
+    profile = L.table_profile(rows)
+    sample = F.from_json("sample_record", "id bigint")["id"]
+    known = profile.withColumn("id", sample).join(rows.select("id"), "id", "left_semi")
+    return known.select(
+        "table_name",
+        F.array_join("columns", ",").alias("columns"),
+        F.col("column_count").cast("bigint").alias("column_count"),
+        "total_records",
+        F.lit(True).alias("sample_is_a_row"),
+    )
 
 
-@query(
-    "read_warehouse_table",
-    "SELECT source_id, tiempo_id, zona_id, velocidad FROM fact",
+_FACT_COLUMNS = ", ".join(
+    name for name in S.FACT_MEDICIONES.names if name != "fecha_carga"
 )
+
+
+def _fact_shown(fact):
+    return rounded(fact.drop("fecha_carga"), senal_dbm=2, velocidad=2)
+
+
+@query("read_warehouse_table", f"SELECT {_FACT_COLUMNS} FROM fact")
 def read_warehouse_table(spark, sf_dir):
-    fact = W.read_warehouse_table(spark, warehouse_root(spark, sf_dir), "fact_mediciones")
-    return rounded(fact.select("source_id", "tiempo_id", "zona_id", "velocidad"), velocidad=2)
+    """All columns but the time of loading."""
+    return _fact_shown(
+        W.read_warehouse_table(spark, warehouse_root(spark, sf_dir), "fact_mediciones")
+    )
 
 
 @query(
@@ -122,35 +145,29 @@ def execute_query(spark, sf_dir):
     return W.execute_query(spark, root, sql).withColumn("total", F.lit(total).cast("bigint"))
 
 
-@query("write_csv", "SELECT id, device_name, speed, network_type FROM locations")
+@query("write_csv", _ALL)
 def write_csv(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    shown = locations(spark, sf_dir).select("id", "device_name", "speed", "network_type")
+    shown = _required(spark, sf_dir)
     sinks.write_csv(shown, path, partition_cols=["network_type"])
-    return _read_csv(spark, shown.schema, path)
+    return _read_csv(spark, shown.schema, path).select(*shown.columns)
 
 
-@query(
-    "write_device_stats",
-    "SELECT device_id, count(*) AS total_records, max(speed) AS max_speed FROM cleaned GROUP BY device_id",
-)
+@query("write_device_stats", METRICS_SQL)
 def write_device_stats(spark, sf_dir):
     path = scratch_path(spark, "stats")
     stats = device_metrics(cleaned(spark, sf_dir))
-    shown = stats.select("device_id", "total_records", "max_speed")
-    sinks.write_device_stats(shown, path)
-    return _read_csv(spark, shown.schema, path)
+    sinks.write_device_stats(stats, path)
+    read = _read_csv(spark, stats.schema, path)
+    return rounded(read, avg_battery=6, avg_signal=6, avg_speed=6, activity_window_hours=6)
 
 
-@query(
-    "write_network_analysis",
-    "SELECT sim_operator, network_type, count(*) AS record_count FROM cleaned GROUP BY ALL",
-)
+@query("write_network_analysis", NETWORK_SQL)
 def write_network_analysis(spark, sf_dir):
     path = scratch_path(spark, "network")
     shown = network_distribution(cleaned(spark, sf_dir))
     sinks.write_network_analysis(shown, path)
-    return _read_csv(spark, shown.schema, path).drop("percentage")
+    return rounded(_read_csv(spark, shown.schema, path), percentage=6)
 
 
 @query(
@@ -184,21 +201,12 @@ def write_anomalies(spark, sf_dir):
 # --- warehouse writes ------------------------------------------------------------------
 
 
-_FACT_COLUMNS = ", ".join(
-    name for name in S.FACT_MEDICIONES.names if name != "fecha_carga"
-)
-
-
 def _new_warehouse(spark, label):
     root = scratch_path(spark, label)
     W.create_warehouse(spark, root)
     return root
 
 
-def _fact_shown(fact):
-    return rounded(fact.drop("fecha_carga"), senal_dbm=2, velocidad=2)
-
-
 @query("append_facts", f"SELECT {_FACT_COLUMNS} FROM fact")
 def append_facts(spark, sf_dir):
     """Half of the facts, then all of them twice: each is kept once."""
@@ -305,16 +313,18 @@ def full_reload(spark, sf_dir):
 
 @query(
     "load_warehouse",
-    """SELECT (SELECT count(*) FROM locations) AS records_read,
- (SELECT count(*) FROM locations) - (SELECT count(*) FROM timed) AS invalid_timestamps, 0::BIGINT AS already_present,
+    """SELECT 0::BIGINT AS late_ids, (SELECT count(*) FROM locations) AS records_read, 0::BIGINT AS invalid_ids,
+ (SELECT count(*) FROM locations) - (SELECT count(*) FROM timed) AS invalid_timestamps,
+ 0::BIGINT AS invalid_measures, 0::BIGINT AS already_present,
  (SELECT count(*) FROM timed) AS records_inserted, (SELECT count(*) FROM dim_tiempo) AS new_dates,
  (SELECT count(*) FROM dim_ubicacion) AS new_locations, (SELECT count(*) FROM dim_dispositivo) AS new_devices""",
 )
 def load(spark, sf_dir):
     root = scratch_path(spark, "load")
-    return load_warehouse(
+    report = load_warehouse(
         spark, root, locations(spark, sf_dir), districts(spark), full_reload=True
     )
+    return report.drop("prepare_seconds", "write_seconds", "setup_seconds")
 
 
 @query("load_in_slices", f"SELECT {_FACT_COLUMNS} FROM fact")

@@ -28,7 +28,10 @@ def similar_device_names(locations, device_name, top=S.SIMILAR_NAMES):
     One row per name and device id, so that a name used by very many devices is no problem.
     Names are empty if a reading has the exact name: the search is a fallback.
     """
-    word = device_name.split()[0]
+    words = device_name.split()
+    if not words:  # nothing is similar to a blank name
+        locations, words = locations.limit(0), [""]
+    word = words[0]
     pattern = "%" + word.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_") + "%"
     exact = locations.filter(F.col("device_name") == device_name).select(F.lit(1)).limit(1)
     pairs = (

@@ -5,92 +5,50 @@ from pyspark.sql import functions as F
 
 from rastro.functions.calendar import hours_between
 from rastro.functions.measures import haversine_km
-from rastro.session import shared_folder
-
-# A device is split over several tasks when it has more rows than one task should sort,
-# and at least this share of the table. The share bounds how many devices can be listed.
-ROWS_PER_TASK = 10_000_000
-HOT_SHARE = 1e-4
-
-
-def hot_devices(df, rows_per_task=ROWS_PER_TASK, share=HOT_SHARE):
-    """(device_id, rows) of the devices too large for one task: at most 1/share of them.
-
-    Runs one job: counts are combined before the shuffle, and only those rows return.
-    """
-    counts = df.groupBy("device_id").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    hot = counts.filter((F.col("n") > rows_per_task) & (F.col("n") > total * F.lit(share)))
-    return [(row["device_id"], row["n"]) for row in hot.collect()]
 
 
 def _reading():
     return F.struct("latitude", "longitude", "timestamp")
 
 
-def _previous_by_device(df):
-    order = Window.partitionBy("device_id").orderBy("timestamp", "id")
-    return df.withColumn("_prev", F.lag(_reading()).over(order))
-
-
-def _previous_by_slice(df, slices):
-    """The same for few, huge devices: sort by range, then look back inside each slice.
+def previous_reading(df, bucket="hour"):
+    """Add ``_prev``: the device's reading before this one (struct), null for its first.
 
-    Slices have even sizes whatever the keys are, because (device, time, id) is unique.
-    They are checkpointed: the seams between slices are only right if both reads see the
-    same slices, also after an executor is lost.
+    Readings are sorted per device and hour, so that a device, or a placeholder that many devices
+    share, is spread over as many tasks as it has hours. The first reading of an hour takes the last
+    one of the device's latest hour before, from a table with one row per device and hour.
+    ``bucket`` may be any unit of ``date_trunc``; the result is the same. Readings without a
+    time come first, in a bucket of their own.
     """
-    shared_folder(df.sparkSession)
-    sliced = (
-        df.repartitionByRange(slices, "device_id", "timestamp", "id")
-        .withColumn("_slice", F.spark_partition_id())
-        .checkpoint()
-    )
-    inside = Window.partitionBy("device_id", "_slice").orderBy("timestamp", "id")
-    # one row per device and slice: the reading the next slice of the device starts from
-    tails = sliced.groupBy("device_id", "_slice").agg(
+    cut = df.withColumn("_bucket", F.date_trunc(bucket, "timestamp"))
+    inside = Window.partitionBy("device_id", "_bucket").orderBy("timestamp", "id")
+    across = Window.partitionBy("device_id").orderBy("_bucket")
+    tails = cut.groupBy("device_id", "_bucket").agg(
         F.max_by(_reading(), F.struct("timestamp", "id")).alias("_tail")
     )
-    across = Window.partitionBy("device_id").orderBy("_slice")
-    seams = tails.select(
+    carried = tails.select(
         F.col("device_id").alias("_device"),
-        F.col("_slice").alias("_at"),
+        F.col("_bucket").alias("_at"),
         F.lag("_tail").over(across).alias("_carried"),
     )
-    looked_back = sliced.withColumn("_prev", F.lag(_reading()).over(inside))
-    joined = looked_back.join(
-        seams,
-        F.col("device_id").eqNullSafe(F.col("_device")) & (F.col("_slice") == F.col("_at")),
-        "left",
-    )
-    return joined.withColumn("_prev", F.coalesce("_prev", "_carried")).drop(
-        "_slice", "_device", "_at", "_carried"
-    )
-
-
-def previous_reading(df, rows_per_task=ROWS_PER_TASK, share=HOT_SHARE):
-    """Add ``_prev``: the device's reading before this one (struct), null for its first."""
-    hot = hot_devices(df, rows_per_task, share)
-    if not hot:
-        return _previous_by_device(df)
-    names = [name for name, _ in hot if name is not None]
-    is_hot = F.coalesce(F.col("device_id").isin(names), F.lit(len(names) < len(hot)))
-    slices = 1 + sum(rows for _, rows in hot) // rows_per_task
-    return _previous_by_device(df.filter(~is_hot)).unionByName(
-        _previous_by_slice(df.filter(is_hot), slices)
+    same = F.col("device_id").eqNullSafe(F.col("_device")) & F.col("_bucket").eqNullSafe(F.col("_at"))
+    return (
+        cut.withColumn("_prev", F.lag(_reading()).over(inside))
+        .join(carried, same, "left")
+        .withColumn("_prev", F.coalesce("_prev", "_carried"))
+        .drop("_bucket", "_device", "_at", "_carried")
     )
 
 
-def add_distance_from_previous(df, rows_per_task=ROWS_PER_TASK, share=HOT_SHARE):
+def add_distance_from_previous(df, bucket="hour"):
     """Add the previous position and time of the device, distance_km and time_diff_hours.
 
-    Readings are ordered by timestamp, then id. Runs one counting job to find devices that
-    must be split; the result itself is lazy.
+    Readings are ordered by timestamp, then id.
     """
-    before = previous_reading(df, rows_per_task, share)
     prev = F.col("_prev")
     return (
-        before.withColumns(
+        previous_reading(df, bucket)
+        .withColumns(
             {
                 "prev_latitude": prev["latitude"],
                 "prev_longitude": prev["longitude"],

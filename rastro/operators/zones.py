@@ -14,6 +14,8 @@ from rastro import schema as S
 from rastro.functions import geometry as G
 
 EDGES_PER_CONSTANT = 50_000
+# The geometry is part of the plan; more than this is no district table.
+MAX_EDGES = 1_000_000
 # The grid has at most (3 x 128 + 8)^2 cells whatever the data: that is what gets broadcast.
 GRID_CELLS = 128  # along the longer side of the districts' envelope
 GRID_MARGIN = 1  # envelopes around it
@@ -50,7 +52,14 @@ class Shapes:
             "zona_id", "nombre", "minx", "miny", "maxx", "maxy", F.size("edges"), plain
         )
         names, boxes, texts, size = {}, [], [[]], 0
-        for zone, name, *box, edges, text in sorted(rows.collect()):
+        found = rows.collect()
+        shapeless = sorted(str(row[1]) for row in found if None in row[2:6])
+        if shapeless:
+            raise ValueError("districts without a polygon: " + ", ".join(shapeless))
+        edges = sum(row[6] for row in found)
+        if edges > MAX_EDGES:
+            raise ValueError(f"{edges} district edges; the geometry of a city has at most {MAX_EDGES}")
+        for zone, name, *box, edges, text in sorted(found):
             if texts[-1] and size + edges > EDGES_PER_CONSTANT:
                 texts.append([])
                 size = 0
@@ -63,6 +72,10 @@ class Shapes:
         box = (*map(min, zip(*lows)), *map(max, zip(*highs))) if boxes else ()
         return cls(constants, names, box)
 
+    def extent(self):
+        """The longer side of the envelope."""
+        return max(self.box[2] - self.box[0], self.box[3] - self.box[1]) if self.box else 0
+
     def among(self, candidates):
         """The same, restricted to the candidate zone ids where these are not null."""
         chosen = [G.among(c, candidates) for c in self.constants]
@@ -191,13 +204,21 @@ def zone_nearest_center(df, lat="latitude", lon="longitude", name="zona_id", zon
 
 
 def point_in_district(df, districts, lat="latitude", lon="longitude", name="zona_id"):
-    """Add the first district that strictly contains the point, else null."""
-    return df.withColumn(name, F.expr(Shapes.of(districts).containing(_name(lon), _name(lat))))
+    """Add the first district that strictly contains the point, else null.
+
+    In the grid only the districts that reach into the point's cell are measured.
+    """
+    x, y = _name(lon), _name(lat)
+    return _in_grid(df, Shapes.of(districts), x, y, name, lambda shapes: shapes.containing(x, y))
 
 
 def nearest_district(df, districts, lat="latitude", lon="longitude", name="zona_id"):
-    """Add the district whose boundary is nearest, the first one on ties."""
-    return df.withColumn(name, F.expr(Shapes.of(districts).nearest(_name(lon), _name(lat))))
+    """Add the district whose boundary is nearest, the first one on ties.
+
+    In the grid only the districts that can be nearest in the point's cell are measured.
+    """
+    x, y = _name(lon), _name(lat)
+    return _in_grid(df, Shapes.of(districts), x, y, name, lambda shapes: shapes.nearest(x, y))
 
 
 def classify_point(df, districts, lat="latitude", lon="longitude", name="zona_id", grid=True):
@@ -211,8 +232,19 @@ def classify_point(df, districts, lat="latitude", lon="longitude", name="zona_id
 
 def _classified(df, shapes, lat, lon, name, grid=True):
     x, y = _name(lon), _name(lat)
-    if not grid or not shapes.constants:
+    if not grid:
         return df.withColumn(name, F.expr(shapes.classify(x, y)))
+    return _in_grid(df, shapes, x, y, name, lambda s: s.classify(x, y), "_zone")
+
+
+def _in_grid(df, shapes, x, y, name, measure, settled=_NO_ZONE):
+    """Add ``measure`` of the districts that matter in the point's cell; of all outside the grid.
+
+    ``settled`` is the answer for whole cells, where there is one.
+    """
+    if not shapes.constants or shapes.extent() == 0:
+        # no districts, or no area to lay a grid over
+        return df.withColumn(name, F.expr(measure(shapes)))
     cells, origin, size = district_grid(df.sparkSession, shapes)
     cells = cells.selectExpr("ix AS _ix", "iy AS _iy", "zone AS _zone", "candidates AS _candidates")
 
@@ -220,10 +252,9 @@ def _classified(df, shapes, lat, lon, name, grid=True):
         return F.expr(f"floor(({axis} - {G.number(start)}) / {G.number(size)})")
 
     located = df.withColumns({"_ix": cell(x, origin[0]), "_iy": cell(y, origin[1])})
-    measured = shapes.among("_candidates").classify(x, y)
     return (
         located.join(F.broadcast(cells), ["_ix", "_iy"], "left")
-        .withColumn(name, F.expr(f"coalesce(_zone, {measured})"))
+        .withColumn(name, F.expr(f"coalesce({settled}, {measure(shapes.among('_candidates'))})"))
         .drop("_ix", "_iy", "_zone", "_candidates")
     )
 

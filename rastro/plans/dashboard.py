@@ -7,9 +7,11 @@ its dimension (``integrity_report``), so the result is the same and the join sta
 
 from dataclasses import dataclass
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rastro import schema as S
+from rastro.functions.keys import location_from_key
 from rastro.functions.measures import classify_anomaly
 from rastro.operators.aggregates import sort_by_count
 from rastro.operators.cleaning import moving_only
@@ -106,14 +108,15 @@ def operator_distribution(star, filters=NO_FILTERS):
     return sort_by_count(named.agg(F.sum("n").alias("count")), "count", "operador")
 
 
-def _zone_counts(star, filters):
+def zone_counts(star, filters=NO_FILTERS):
+    """Measurements of every zone that has any."""
     counted = _count_by(filter_measurements(star, filters), "zona_id")
     return counted.join(_zones(star), "zona_id").groupBy("zona").agg(F.sum("n").alias("count"))
 
 
 def zone_distribution(star, filters=NO_FILTERS, top=S.TOP_ZONES):
     """The zones with most measurements."""
-    return sort_by_count(_zone_counts(star, filters), "count", "zona").limit(top)
+    return sort_by_count(zone_counts(star, filters), "count", "zona").limit(top)
 
 
 def hourly_pattern(star, filters=NO_FILTERS):
@@ -178,18 +181,31 @@ def activity_heatmap(star, filters=NO_FILTERS):
     )
 
 
+def _of_newest_days(rows, enough):
+    """The rows of the newest days that together hold ``enough`` rows, or all.
+
+    The rows per day are counted from few columns; what is read after that are those days' folders.
+    """
+    per_day = rows.groupBy("tiempo_id").agg(F.count(F.lit(1)).alias("n"))
+    # one row per day
+    newer = Window.orderBy(F.col("tiempo_id").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    before = per_day.withColumn("before", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+    oldest = before.filter(F.col("before") < enough).agg(F.min("tiempo_id")).scalar()
+    return rows.filter(F.col("tiempo_id") >= oldest)
+
+
 def map_points(star, filters=NO_FILTERS, points=S.MAP_POINTS):
     """The newest measurements with place and names."""
     newest = [F.col("timestamp_original").desc_nulls_first(), F.col("source_id")]
-    chosen = (
-        filter_measurements(star, filters)
-        .filter(F.col("ubicacion_id").isNotNull() & F.col("operador_id").isNotNull())
-        .orderBy(*newest)
-        .limit(points)
+    placed = filter_measurements(star, filters).filter(
+        F.col("ubicacion_id").isNotNull() & F.col("operador_id").isNotNull()
     )
+    chosen = _of_newest_days(placed, points).orderBy(*newest).limit(points)
     devices = star.dim_dispositivo.select("dispositivo_id", "nombre_dispositivo")
+    # the key holds the coordinates; the location table, as large as the facts, is not needed
+    latitude, longitude = location_from_key(F.col("ubicacion_id"))
     return (
-        chosen.join(star.dim_ubicacion.drop("zona_id"), "ubicacion_id")
+        chosen.withColumns({"latitud": latitude, "longitud": longitude})
         .join(_operators(star), "operador_id")
         .join(star.dim_red.select("red_id", "tipo_red"), "red_id", "left")
         .join(devices, "dispositivo_id", "left")
@@ -218,7 +234,7 @@ def flagged_measurements(star, filters=NO_FILTERS, rows=S.FLAGGED_ROWS):
     newest = [F.col("tiempo_id").desc(), F.col("hora_id").desc(), F.col("source_id")]
     measures = (F.col("velocidad"), F.col("bateria"), F.col("senal_dbm"))
     speed, battery, signal = measures
-    chosen = (
+    flagged = (
         filter_measurements(star, filters)
         .filter(
             (speed > S.FLAG_SPEED_KMH)
@@ -226,9 +242,8 @@ def flagged_measurements(star, filters=NO_FILTERS, rows=S.FLAGGED_ROWS):
             | (signal < S.FLAG_SIGNAL_DBM)
         )
         .dropna(subset=["tiempo_id", "hora_id", "operador_id"])
-        .orderBy(*newest)
-        .limit(rows)
     )
+    chosen = _of_newest_days(flagged, rows).orderBy(*newest).limit(rows)
     devices = star.dim_dispositivo.select(
         "dispositivo_id", F.col("nombre_dispositivo").alias("dispositivo")
     )

@@ -1,5 +1,7 @@
 """Loading the warehouse, in full or by increments."""
 
+import time
+
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -7,10 +9,25 @@ from rastro.functions.calendar import event_time
 from rastro.plans import star as P
 from rastro.session import observed
 from rastro.sources import warehouse as W
-from rastro.sources.locations import read_incremental
-
-STAGED = "_staged_measurements"
+from rastro.sources.locations import above_cursor, last_loaded_id
 
+#: What a load counts, in the order of its report.
+COUNTS = (
+    "records_read",
+    "invalid_ids",
+    "invalid_timestamps",
+    "invalid_measures",
+    "already_present",
+    "records_inserted",
+    "new_dates",
+    "new_locations",
+    "new_devices",
+)
+REPORT = (
+    "late_ids bigint, "
+    + ", ".join(f"{name} bigint" for name in COUNTS)
+    + ", prepare_seconds double, write_seconds double, setup_seconds double"
+)
 
 def load_static_dimensions(spark, root, districts=None, anew=False):
     """Insert missing fixed members; zones are overwritten from the districts.
@@ -34,24 +51,54 @@ def load_static_dimensions(spark, root, districts=None, anew=False):
 
 
 def load_batch(spark, root, readings, districts=None, anew=False):
-    """Add readings to the warehouse, ignoring source ids it holds; returns the counts.
+    """Add readings to the warehouse, ignoring source ids it holds; returns the report.
+
+    Readings without an id cannot be told apart and are left out; so are readings without a time. A
+    measure that its column cannot hold is stored as null. All are counted: ``records_read`` is the sum of
+    ``invalid_ids``, ``invalid_timestamps``, ``already_present`` and ``records_inserted``.
 
     The prepared batch is written once and read back, so dimensions and facts are made from
     the same rows even if the source grows meanwhile, and the geometry is computed once.
     Dimensions go first: a fact never points to a missing member. A batch that is
     interrupted is simply loaded again. With ``anew`` the batch replaces what is there.
     """
-    seen = Observation()
+    begun = time.perf_counter()
+    with W.staged_path(spark, root, "measurements") as staged:
+        report = _stage(spark, root, readings, districts, staged)
+        prepared_at = time.perf_counter()
+        report |= _write(spark, root, spark.read.parquet(staged), anew)
+    report["already_present"] -= report["records_inserted"]
+    return {name: report[name] for name in COUNTS} | {
+        "prepare_seconds": round(prepared_at - begun, 3),
+        "write_seconds": round(time.perf_counter() - prepared_at, 3),
+    }
+
+
+def _stage(spark, root, readings, districts, staged):
+    """Write the prepared batch to ``staged``; returns what was seen."""
+    seen, kept = Observation(), Observation()
+    no_id = F.col("id").isNull()
     watched = readings.observe(
         seen,
         F.count(F.lit(1)).alias("read"),
-        F.count_if(event_time(readings).isNull()).alias("invalid"),
-    )
+        F.count_if(no_id).alias("ids"),
+        F.count_if(~no_id & event_time(readings).isNull()).alias("times"),
+    ).filter(~no_id)
     zones = W.read_warehouse_table(spark, root, "dim_zonas")
-    staged = W.table_path(root, STAGED)
-    P.prepare_measurements(watched, districts, zones).write.mode("overwrite").parquet(staged)
-    prepared = spark.read.parquet(staged)
+    prepared = P.prepare_measurements(watched, districts, zones)
+    prepared.observe(kept, F.count_if(P.unstorable()).alias("measures")).write.parquet(staged)
+    read, ids, times = (observed(seen, name) for name in ("read", "ids", "times"))
+    return {
+        "records_read": read,
+        "invalid_ids": ids,
+        "invalid_timestamps": times,
+        "invalid_measures": observed(kept, "measures"),
+        "already_present": read - ids - times,
+    }
+
 
+def _write(spark, root, prepared, anew):
+    """Write dimensions, then facts; returns how many rows were new."""
     members = {
         "dim_tiempo": P.dim_date(prepared),
         "dim_ubicacion": P.dim_location(prepared),
@@ -67,11 +114,7 @@ def load_batch(spark, root, readings, districts=None, anew=False):
             for name, rows in members.items()
         }
         inserted = W.append_facts(spark, root, facts)
-    read, invalid = observed(seen, "read"), observed(seen, "invalid")
     return {
-        "records_read": read,
-        "invalid_timestamps": invalid,
-        "already_present": read - invalid - inserted,
         "records_inserted": inserted,
         "new_dates": counts["dim_tiempo"],
         "new_locations": counts["dim_ubicacion"],
@@ -79,17 +122,20 @@ def load_batch(spark, root, readings, districts=None, anew=False):
     }
 
 
-REPORT = (
-    "records_read bigint, invalid_timestamps bigint, already_present bigint, "
-    "records_inserted bigint, new_dates bigint, new_locations bigint, new_devices bigint"
-)
-
-
 def load_warehouse(spark, root, locations, districts=None, full_reload=False):
-    """Load what is new (ids above the largest one loaded), or everything; one report row."""
+    """Load what is new (ids above the largest one loaded), or everything; one report row.
+
+    ``late_ids`` are readings that an incremental load passes over, because their id is not above the
+    largest one loaded. They are counted from the id column alone and are not part of ``records_read``.
+    """
+    begun, late = time.perf_counter(), 0
     if not full_reload:
         W.create_warehouse(spark, root)
-        locations = read_incremental(locations, W.read_warehouse_table(spark, root, W.FACT))
+        cursor = last_loaded_id(W.read_warehouse_table(spark, root, W.FACT))
+        late = locations.filter(F.col("id") <= cursor).count()
+        locations = above_cursor(locations, cursor)
     load_static_dimensions(spark, root, districts, anew=full_reload)
-    counts = load_batch(spark, root, locations, districts, anew=full_reload)
-    return spark.createDataFrame([tuple(counts.values())], REPORT)
+    setup = round(time.perf_counter() - begun, 3)
+    report = load_batch(spark, root, locations, districts, anew=full_reload)
+    values = (late, *report.values(), setup)
+    return spark.createDataFrame([values], REPORT)

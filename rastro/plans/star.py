@@ -1,6 +1,7 @@
 """The star schema as DataFrames: prepared measurements, dimensions, fact."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,12 @@ def _first_column(df, names, type_name):
     return F.lit(None).cast(type_name)
 
 
+def _number(column):
+    """The column as a finite double; unreadable text, NaN and infinity are missing."""
+    number = column.try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def prepare_measurements(locations, districts=None, zones=None):
     """Readings with a time, normalised for the warehouse; a chain of projections.
 
@@ -47,9 +54,10 @@ def prepare_measurements(locations, districts=None, zones=None):
     the zone is taken there, and coordinates out of range are clamped for the location.
     """
     timed = drop_unparseable_timestamps(locations)
-    lat = F.coalesce(F.col("latitude").try_cast("double"), F.lit(S.DEFAULT_LATITUDE))
-    lon = F.coalesce(F.col("longitude").try_cast("double"), F.lit(S.DEFAULT_LONGITUDE))
-    signal = _first_column(locations, ("signal", "signal_strength", "dbm"), "int")
+    lat = F.coalesce(_number(F.col("latitude")), F.lit(S.DEFAULT_LATITUDE))
+    lon = F.coalesce(_number(F.col("longitude")), F.lit(S.DEFAULT_LONGITUDE))
+    signal = _number(_first_column(locations, ("signal", "signal_strength", "dbm"), "int")).try_cast("int")
+    battery = _number(_first_column(locations, ("battery", "battery_level"), "int")).try_cast("int")
     device = X.device_identifier(F.col("device_id"), F.col("device_name"), F.col("id"))
     model = F.coalesce(_first_column(locations, ("device_model",), "string"), F.lit(S.UNKNOWN_TEXT))
     placed = assign_district_zone(
@@ -72,10 +80,10 @@ def prepare_measurements(locations, districts=None, zones=None):
             M.speed_kmh(_first_column(locations, ("speed", "velocidad"), "double")).alias(
                 "velocidad_kmh"
             ),
-            _first_column(locations, ("battery", "battery_level"), "int").alias("bateria"),
+            battery.alias("bateria"),
             F.col("_place.lat").cast("decimal(10,7)").alias("latitud"),
             F.col("_place.lon").cast("decimal(10,7)").alias("longitud"),
-            F.coalesce(F.col("altitude").try_cast("double"), F.lit(0.0)).alias("altitud"),
+            F.coalesce(_number(F.col("altitude")), F.lit(0.0)).alias("altitud"),
             "zona_id",
             F.col("_device.identifier").alias("device_identifier"),
             F.col("_device.display").alias("device_display_name"),
@@ -200,11 +208,27 @@ def dim_device(prepared):
 # --- fact ------------------------------------------------------------------------------
 
 
+def _stored_measures():
+    """Measures as they are stored; a value that the column cannot hold is null."""
+    return {
+        "senal_dbm": F.col("senal").try_cast("decimal(6,2)"),
+        "velocidad": F.col("velocidad_kmh").try_cast("decimal(10,2)"),
+        "bateria": F.col("bateria").try_cast("int"),
+    }
+
+
+def unstorable():
+    """True for a prepared reading with a measure that the fact table cannot hold."""
+    measured = (F.col("senal"), F.col("velocidad_kmh"), F.col("bateria"))
+    stored = _stored_measures().values()
+    return reduce(
+        lambda a, b: a | b, [m.isNotNull() & s.isNull() for m, s in zip(measured, stored)]
+    )
+
+
 def _measures():
     return [
-        F.col("senal").cast("decimal(6,2)").alias("senal_dbm"),
-        F.col("velocidad_kmh").cast("decimal(10,2)").alias("velocidad"),
-        F.col("bateria").cast("int").alias("bateria"),
+        *[value.alias(name) for name, value in _stored_measures().items()],
         F.col("ts").cast("timestamp_ntz").alias("timestamp_original"),
         F.current_timestamp().cast("timestamp_ntz").alias("fecha_carga"),
     ]

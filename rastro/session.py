@@ -59,5 +59,5 @@ def observed(observation, name):
     """
     try:
         return observation.get[name]
-    except Py4JJavaError:
-        return 0
+    except Py4JJavaError as error:
+        raise RuntimeError("OBS " + str(error.java_exception)[:300]) from error

@@ -122,6 +122,11 @@ def last_loaded_id(fact):
     return fact.agg(F.coalesce(F.max("source_id"), F.lit(0)).alias("last_id")).first()["last_id"]
 
 
+def above_cursor(locations, cursor):
+    """Readings with an id above ``cursor``, and those without an id, for the loader to count."""
+    return locations.filter((F.col("id") > cursor) | F.col("id").isNull())
+
+
 def read_incremental(locations, fact):
     """Readings with an id above the largest one loaded; the filter reaches the scan."""
     return locations.filter(F.col("id") > last_loaded_id(fact))

@@ -3,6 +3,8 @@
 The fact table is split by tiempo_id (the day), so date filters prune folders.
 """
 
+import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Observation
@@ -14,6 +16,8 @@ from rastro.session import observed
 
 FACT = "fact_mediciones"
 FACT_PARTITION = "tiempo_id"
+#: Dimensions that grow with the facts.
+LARGE_DIMENSIONS = ("dim_ubicacion", "dim_dispositivo")
 
 
 def table_path(root, name):
@@ -35,14 +39,17 @@ def read_star(spark, root):
     return Star(**{name: read_warehouse_table(spark, root, name) for name in S.TABLES})
 
 
-def execute_query(spark, root, sql):
-    """Run SQL in which {name} stands for a warehouse table, e.g. {fact_mediciones}."""
-    return spark.sql(sql, **read_star(spark, root).tables())
+def execute_query(spark, root, sql, params=None):
+    """Run SQL in which {name} stands for a warehouse table, e.g. {fact_mediciones}.
+
+    ``params`` are values for the named markers in it, such as :zone.
+    """
+    return spark.sql(sql, args=params, **read_star(spark, root).tables())
 
 
-def execute_scalar(spark, root, sql):
+def execute_scalar(spark, root, sql, params=None):
     """First value of the first row of a query, None without rows."""
-    row = execute_query(spark, root, sql).first()
+    row = execute_query(spark, root, sql, params).first()
     return row[0] if row else None
 
 
@@ -59,6 +66,11 @@ def existing_dates(dim_tiempo, dates):
     return dim_tiempo.join(dates, "fecha", "left_semi")
 
 
+def with_source_id(facts):
+    """Facts that have a source id; without one, two readings could not be told apart."""
+    return facts.filter(F.col("source_id").isNotNull())
+
+
 def one_per_source_id(facts):
     """One row per source id: the smallest of its copies, so that a rerun keeps the same."""
     rest = [name for name in facts.columns if name != "source_id"]
@@ -93,27 +105,46 @@ def renamed_zones(zones, names):
     )
 
 
+@contextmanager
+def staged_path(spark, root, label):
+    """A fresh path below the warehouse, removed if the work on it succeeds.
+
+    Loads that run at the same time do not share it; after a failure it stays for inspection.
+    """
+    path = table_path(root, f"_staged_{label}_{uuid.uuid4().hex}")
+    yield path
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 # --- writes ------------------------------------------------------------------------------
 
 
-def _write(df, root, name, mode):
+def _write(df, root, name, mode, written=None):
     """Write rows of a table. Spark sizes the files, also those of very large days."""
     by_day = [FACT_PARTITION] if name == FACT else []
     rows = df.select(*[F.col(f.name).cast(f.dataType) for f in S.TABLES[name]])
     rows = rows.hint("rebalance", *[F.col(key) for key in by_day])
+    if written is not None:
+        # above the shuffle: tasks that write are counted once, also if a task before them runs again
+        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     rows.write.mode(mode).partitionBy(*by_day).parquet(table_path(root, name))
 
 
 def _counted(df, root, name, mode):
     """Write rows and return how many, counted during the write."""
     written = Observation()
-    _write(df.observe(written, F.count(F.lit(1)).alias("rows")), root, name, mode)
+    _write(df, root, name, mode, written)
     return observed(written, "rows")
 
 
 def rebuild_table(root, name, rows):
-    """Replace a table by rows that do not come from it, one per key; returns how many."""
+    """Replace a table by rows that do not come from it, one per key; returns how many.
+
+    Facts without a source id are left out.
+    """
     if name == FACT:
+        rows = with_source_id(rows)
         rows = _distinct_facts(rows, _id_range(rows)[2])
     return _counted(rows, root, name, "overwrite")
 
@@ -125,11 +156,12 @@ def insert_ignore_dimension(spark, root, name, rows):
 
 
 def append_facts(spark, root, facts):
-    """Append facts whose source id is new; returns how many.
+    """Append facts whose source id is new; returns how many. Facts without one are left out.
 
     Only the part of the table that can hold the batch's ids is compared: its id range is
     pushed into the scan, and files loaded in id order are skipped by their statistics.
     """
+    facts = with_source_id(facts)
     low, high, copies = _id_range(facts)
     if low is None:
         return 0
@@ -142,12 +174,10 @@ def append_facts(spark, root, facts):
 
 def _replace(spark, df, root, name):
     """Replace a small table that ``df`` may read from: stage first, then overwrite."""
-    staged = table_path(root, f"_staged_{name}")
     schema = S.TABLES[name]
-    df.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.mode("overwrite").parquet(
-        staged
-    )
-    _write(spark.read.schema(schema).parquet(staged), root, name, "overwrite")
+    with staged_path(spark, root, name) as staged:
+        df.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.parquet(staged)
+        _write(spark.read.schema(schema).parquet(staged), root, name, "overwrite")
 
 
 def upsert_zones(spark, root, zones):
@@ -198,8 +228,38 @@ def integrity_report(star):
             present = df.dropna(subset=list(key))
             repeated = present.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
             checks.append(violations(f"unique {name}({', '.join(key)})", repeated, F.count("*")))
+    small = {key: dim for key, dim in S.FOREIGN_KEYS.items() if dim not in LARGE_DIMENSIONS}
     for key, dim in S.FOREIGN_KEYS.items():
-        used = star.fact_mediciones.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        orphans = used.filter(F.col(key).isNotNull()).join(tables[dim], key, "left_anti")
-        checks.append(violations(f"fact_mediciones({key}) in {dim}", orphans, F.sum("n")))
-    return _stacked(checks)
+        if key not in small:
+            used = star.fact_mediciones.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+            orphans = used.filter(F.col(key).isNotNull()).join(tables[dim], key, "left_anti")
+            checks.append(violations(f"fact_mediciones({key}) in {dim}", orphans, F.sum("n")))
+    return _stacked([*checks, _small_key_violations(star, small)])
+
+
+def _small_key_violations(star, keys):
+    """Facts whose small keys are missing: one pass over the facts for all of them."""
+    tables = star.tables()
+
+    def label(key, dim):
+        return F.lit(f"fact_mediciones({key}) in {dim}").alias("constraint_name")
+
+    pairs = F.array(
+        *[F.struct(label(k, dim), F.col(k).cast("bigint").alias("member")) for k, dim in keys.items()]
+    )
+    used = (
+        star.fact_mediciones.select(F.explode(pairs).alias("pair"))
+        .groupBy("pair.constraint_name", "pair.member")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    known = _stacked(
+        tables[dim].select(label(key, dim), F.col(key).cast("bigint").alias("member"))
+        for key, dim in keys.items()
+    )
+    orphans = used.filter("member IS NOT NULL").join(known, ["constraint_name", "member"], "left_anti")
+    found = orphans.groupBy("constraint_name").agg(F.sum("n").alias("violations"))
+    # a line for each constraint, also without violations
+    names = known.select("constraint_name").distinct()
+    return names.join(found, "constraint_name", "left").select(
+        "constraint_name", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")
+    )

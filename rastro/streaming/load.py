@@ -12,7 +12,7 @@ def stream_load_warehouse(
 
     Repeated ids are ignored by the comparison with the fact table, whenever they arrive,
     so the stream keeps no state of its own. A batch that was cut off is loaded again by the
-    next run and adds only what is missing.
+    next run and adds only what is missing. Returns the report of every batch.
     """
     create_warehouse(spark, root)
     load_static_dimensions(spark, root, districts)
@@ -20,8 +20,11 @@ def stream_load_warehouse(
     if files:
         reader = reader.option("maxFilesPerTrigger", files)
 
-    def load(batch, _):
-        load_batch(batch.sparkSession, root, coerce_types(batch), districts)
+    reports = []
+
+    def load(batch, number):
+        report = load_batch(batch.sparkSession, root, coerce_types(batch), districts)
+        reports.append({"batch": number, **report})
 
     query = (
         reader.load(str(source))
@@ -31,4 +34,4 @@ def stream_load_warehouse(
         .start()
     )
     query.awaitTermination()
-    return query
+    return reports

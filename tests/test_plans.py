@@ -12,6 +12,7 @@ from rastro.plans import dashboard as D
 from rastro.plans import star as P
 from rastro.plans import views as V
 from rastro.plans.daily import daily_results
+from rastro.sources import warehouse as W
 
 
 def plan(df):
@@ -42,9 +43,9 @@ def test_daily_results_only_sort_for_anomalies(spark, sf_dir):
         assert "Window" not in plan(results[name]), name
 
 
-def test_anomalies_read_the_table_once(spark, sf_dir):
+def test_anomalies_read_the_table_for_readings_and_for_hours(spark, sf_dir):
     results = daily_results(locations(spark, sf_dir))
-    assert len(scans(results["anomalies"])) == 1
+    assert len(scans(results["anomalies"])) == 2
 
 
 def test_aggregates_combine_before_the_shuffle(spark, sf_dir):
@@ -106,7 +107,20 @@ def test_no_cross_joins(spark, sf_dir, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
-def test_hot_device_path_has_even_slices(spark, sf_dir):
+def test_previous_readings_are_sorted_per_device_and_hour(spark, sf_dir):
     df = add_temporal_features(clean_readings(locations(spark, sf_dir)))
-    moved = add_distance_from_previous(df, rows_per_task=40, share=0.0)
-    assert "CartesianProduct" not in plan(moved) and "NestedLoop" not in plan(moved)
+    text = plan(add_distance_from_previous(df))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+    assert "hashpartitioning(device_id" in text and "_bucket" in text
+
+
+def test_map_points_and_flags_read_newest_days_without_locations(spark, sf_dir):
+    tables = star(spark, sf_dir)
+    for result in (D.map_points(tables), D.flagged_measurements(tables)):
+        assert "dim_ubicacion" not in plan(result)
+        assert any("PartitionFilters" in s and "tiempo_id" in s and "Subquery" in s for s in scans(result))
+
+
+def test_integrity_report_reads_facts_few_times(spark, sf_dir):
+    text = [s for s in scans(W.integrity_report(star(spark, sf_dir))) if "fact_mediciones" in s]
+    assert len(text) <= 5

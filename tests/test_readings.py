@@ -69,37 +69,47 @@ def test_count_unparseable(spark):
 
 
 def test_temporal_features(spark):
-    rows = [(datetime(2024, 1, 15, 14, 30),), (datetime(2024, 6, 20, 9, 15),)]
+    # the last second of a leap day, the first of the next, and none at all
+    rows = [(datetime(2020, 2, 29, 23, 59, 59),), (datetime(2020, 3, 1),), (None,)]
     df = T.add_temporal_features(spark.createDataFrame(rows, "timestamp timestamp"))
-    first = df.first()
     assert {"date", "hour", "day_of_week", "weekday_name"} <= set(df.columns)
-    assert (first["hour"], first["day_of_week"], first["weekday_name"]) == (14, 2, "Monday")
+    found = [(str(r["date"]), r["hour"], r["day_of_week"], r["weekday_name"]) for r in df.collect()]
+    assert found[:2] == [("2020-02-29", 23, 7, "Saturday"), ("2020-03-01", 0, 1, "Sunday")]
+    assert found[2][:3] == ("None", None, None)
 
 
 def test_device_metrics(spark):
+    start = datetime(2023, 2, 28, 23, 30)
     rows = [
-        ("d1", 80.0, -75.0, 50.0, datetime(2024, 1, 1, 10), "phone1"),
-        ("d1", 70.0, -70.0, 60.0, datetime(2024, 1, 1, 11), "phone1"),
-        ("d2", 90.0, -80.0, 40.0, datetime(2024, 1, 1, 10), "phone2"),
+        ("left", 12.0, -99.5, None, start, "old name"),
+        ("left", None, -60.5, 7.25, start + timedelta(minutes=90), None),
+        ("left", 48.0, None, 3.75, start + timedelta(minutes=45), "new name"),
+        (None, 5.0, -51.0, 0.0, start, "nobody's"),
+        ("right", None, None, None, start, None),
     ]
     df = spark.createDataFrame(
         rows,
         "device_id string, battery double, signal double, speed double, timestamp timestamp, device_name string",
     )
     found = {r["device_id"]: r for r in A.device_metrics(df).collect()}
-    assert len(found) == 2
-    assert found["d1"]["total_records"] == 2 and found["d1"]["avg_battery"] == 75.0
-    assert found["d1"]["activity_window_hours"] == 1.0 and found["d1"]["device_name_count"] == 1
+    left, right = found["left"], found["right"]
+    assert set(found) == {"left", "right", None}
+    assert (left["total_records"], left["avg_battery"], left["min_battery"]) == (3, 30.0, 12.0)
+    assert (left["avg_signal"], left["avg_speed"], left["max_speed"]) == (-80.0, 5.5, 7.25)
+    assert (left["activity_window_hours"], left["device_name_count"]) == (1.5, 2)
+    assert (left["first_activity"], left["last_activity"]) == (start, start + timedelta(minutes=90))
+    assert (right["avg_battery"], right["device_name_count"], right["activity_window_hours"]) == (None, 0, 0.0)
 
 
 def test_network_distribution_sums_to_100(spark):
-    rows = [("Operator1", "4G"), ("Operator1", "4G"), ("Operator2", "5G"), (None, None), (None, None)]
+    rows = [("west", "LTE")] * 3 + [("east", "LTE"), ("west", None), (None, None), (None, None), ("east", "LTE")]
     found = A.network_distribution(
         spark.createDataFrame(rows, "sim_operator string, network_type string")
     ).collect()
     assert sum(r["percentage"] for r in found) == pytest.approx(100)
-    assert [r["record_count"] for r in found] == [2, 2, 1]
-    assert [r["sim_operator"] for r in found] == ["Operator1", None, "Operator2"]
+    assert [r["record_count"] for r in found] == [3, 2, 2, 1]
+    assert [r["sim_operator"] for r in found] == ["west", "east", None, "west"]
+    assert found[0]["percentage"] == pytest.approx(37.5)
 
 
 def _readings(spark, devices=5, rows=400, ties=False, seed=1):
@@ -125,10 +135,10 @@ def _previous(data):
 
 
 @pytest.mark.parametrize("ties", [False, True])
-@pytest.mark.parametrize("rows_per_task", [10**9, 60, 7])
-def test_previous_reading_with_hot_devices(spark, ties, rows_per_task):
+@pytest.mark.parametrize("bucket", ["minute", "hour", "day", "year"])
+def test_previous_reading_with_hot_devices(spark, ties, bucket):
     data, df = _readings(spark, ties=ties)
-    moved = V.add_distance_from_previous(df, rows_per_task=rows_per_task, share=0.01)
+    moved = V.add_distance_from_previous(df, bucket)
     found = {
         r["id"]: (r["prev_latitude"], r["prev_longitude"], r["prev_timestamp"]) for r in moved.collect()
     }
@@ -138,10 +148,30 @@ def test_previous_reading_with_hot_devices(spark, ties, rows_per_task):
     ]
 
 
-def test_hot_devices_are_few(spark):
+def test_previous_reading_over_gaps_and_missing_times(spark):
+    """Gaps of days, ties across the hour, readings without a time."""
+    moments = [None, None, NOON, NOON, NOON + timedelta(minutes=59, seconds=59), NOON + timedelta(hours=1)]
+    moments += [NOON + timedelta(hours=1), NOON + timedelta(days=9), NOON + timedelta(days=9, hours=1)]
+    data = [(i, "d", m, float(i), 0.0) for i, m in enumerate(moments)]
+    df = spark.createDataFrame(
+        data[::-1], "id long, device_id string, timestamp timestamp_ntz, latitude double, longitude double"
+    )
+    found = {r["id"]: r["prev_latitude"] for r in V.add_distance_from_previous(df).collect()}
+    assert found == {i: None if i == 0 else float(i - 1) for i in range(len(data))}
+
+
+def test_previous_reading_runs_no_job_when_built(spark):
     _, df = _readings(spark)
-    assert [name for name, _ in V.hot_devices(df, rows_per_task=1, share=0.25)] == ["hot"]
-    assert V.hot_devices(df) == []
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    V.add_distance_from_previous(df)
+    assert len(tracker.getJobIdsForGroup("build")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_similar_names_of_a_blank_name(spark):
+    df = spark.createDataFrame([(1, "a", "x")], "id long, device_name string, device_id string")
+    assert L.similar_device_names(df, "  ").isEmpty()
 
 
 def test_anomalies(spark):

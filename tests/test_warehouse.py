@@ -10,7 +10,7 @@ from checks.base import districts
 from rastro import schema as S
 from rastro.derived import locations_from_events
 from rastro.plans import star as P
-from rastro.plans.dashboard import Filters, activity_heatmap, filter_measurements, kpis, map_points, zone_distribution
+from rastro.plans.dashboard import Filters, activity_heatmap, filter_measurements, kpis, map_points, zone_counts, zone_distribution
 from rastro.plans.load import load_batch, load_static_dimensions, load_warehouse
 from rastro.session import scratch_path
 from rastro.sources import warehouse as W
@@ -54,6 +54,7 @@ def test_slices_give_the_single_load(spark, readings, single):
     last = counts[2]
     assert (last["records_inserted"], last["new_dates"], last["new_locations"], last["new_devices"]) == (0, 0, 0, 0)
     assert last["already_present"] + last["invalid_timestamps"] == 150
+    assert all(c["prepare_seconds"] > 0 and c["write_seconds"] > 0 for c in counts)
 
 
 def test_incremental_load_takes_new_ids_only(spark, readings, single):
@@ -147,7 +148,7 @@ def _reading(i, **changes):
     row = {
         "id": i, "device_name": "p", "latitude": -17.8, "longitude": -63.22, "altitude": 100.0, "speed": 5.0,
         "battery": 50, "signal": -60, "sim_operator": "tigo", "network_type": "4G",
-        "timestamp": datetime(2024, 1, 1, 1) + timedelta(hours=i), "device_id": "d",
+        "timestamp": datetime(2024, 1, 1, 1) + timedelta(hours=i or 0), "device_id": "d",
     }
     return tuple({**row, **changes}.values())
 
@@ -196,6 +197,92 @@ def test_lookup_join_gives_the_computed_keys(spark, readings, single):
     assert looked_up.count() == single.fact_mediciones.count()
 
 
+def _adds_up(report):
+    parts = ("invalid_ids", "invalid_timestamps", "already_present", "records_inserted")
+    return report["records_read"] == sum(report[p] for p in parts)
+
+
+def test_readings_without_an_id_are_counted_not_merged(spark):
+    rows = [_reading(None), _reading(None), _reading(None, timestamp=None), _reading(1), _reading(1), _reading(2, timestamp=None)]
+    df = spark.createDataFrame(rows, S.LOCATIONS)
+    for full in (True, False):
+        root = scratch_path(spark, "no-id")
+        report = load_warehouse(spark, root, df, districts(spark), full_reload=full).first()
+        assert _adds_up(report)
+        assert (report["records_read"], report["invalid_ids"], report["records_inserted"]) == (6, 3, 1)
+        assert [r["source_id"] for r in W.read_warehouse_table(spark, root, W.FACT).collect()] == [1]
+
+
+def test_late_ids_are_counted(spark):
+    root = scratch_path(spark, "late")
+    first = spark.createDataFrame([_reading(5), _reading(6)], S.LOCATIONS)
+    load_warehouse(spark, root, first, districts(spark))
+    later = spark.createDataFrame([_reading(4), _reading(6), _reading(7), _reading(None)], S.LOCATIONS)
+    report = load_warehouse(spark, root, later, districts(spark)).first()
+    assert _adds_up(report)
+    assert (report["late_ids"], report["records_read"], report["invalid_ids"], report["records_inserted"]) == (2, 2, 1, 1)
+
+
+def test_no_value_stops_a_load(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        _reading(1, signal=2147483647, battery=2147483647),
+        _reading(2, latitude=nan, longitude=nan, altitude=nan, speed=nan),
+        _reading(3, latitude=None, longitude=None, altitude=inf, speed=inf),
+        _reading(4, latitude=inf),
+    ]
+    df = spark.createDataFrame(rows, S.LOCATIONS)
+    root = scratch_path(spark, "values")
+    report = load_warehouse(spark, root, df, districts(spark), full_reload=True).first()
+    assert (report["records_inserted"], report["invalid_measures"]) == (4, 1)
+    fact = {r["source_id"]: r for r in W.read_warehouse_table(spark, root, W.FACT).collect()}
+    assert fact[1]["senal_dbm"] is None and fact[1]["bateria"] == 2147483647
+    # unreadable coordinates are missing ones, for the zone as for the place
+    assert fact[2]["zona_id"] == fact[3]["zona_id"] and fact[2]["ubicacion_id"] == fact[3]["ubicacion_id"]
+    assert all(r["violations"] == 0 for r in W.integrity_report(W.read_star(spark, root)).collect())
+
+
+def test_text_aliases(spark):
+    df = spark.createDataFrame([_reading(1), _reading(2)], S.LOCATIONS)
+    text = df.select(
+        "id", "device_name", "latitude", "longitude", "altitude", "sim_operator", "network_type", "timestamp", "device_id",
+        F.when(F.col("id") == 1, "-70.0").otherwise("none").alias("dbm"),
+        F.when(F.col("id") == 1, "55").otherwise("?").alias("battery_level"),
+        F.when(F.col("id") == 1, "2.5").otherwise("NaN").alias("velocidad"),
+    )
+    found = P.prepare_measurements(text).select("senal", "bateria", "velocidad_kmh").collect()
+    assert [tuple(r) for r in found] == [(-70, 55, 9.0), (None, None, 0.0)]
+
+
+def test_staged_rows_are_fresh_and_removed(spark):
+    root = scratch_path(spark, "staged")
+    df = spark.createDataFrame([_reading(1)], S.LOCATIONS)
+    load_warehouse(spark, root, df, districts(spark), full_reload=True)
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    assert not [f.getPath().getName() for f in files if f.getPath().getName().startswith("_staged")]
+    with pytest.raises(ZeroDivisionError):
+        with W.staged_path(spark, root, "x") as one, W.staged_path(spark, root, "x") as other:
+            assert one != other
+            raise ZeroDivisionError
+
+
+def test_query_parameters(spark, single, readings):
+    root = scratch_path(spark, "params")
+    load_warehouse(spark, root, readings, districts(spark))
+    sql = "SELECT count(*) FROM {dim_hora} WHERE hora >= :low AND nombre_hora <> :name"
+    assert W.execute_scalar(spark, root, sql, {"low": 20, "name": "x' OR '1'='1"}) == 4
+
+
+def test_stream_reports_batches(spark, readings):
+    folder = scratch_path(spark, "stream-report")
+    readings.filter("id < 50").write.parquet(f"{folder}/in")
+    (report,) = stream_load_warehouse(
+        spark, f"{folder}/in", f"{folder}/dw", f"{folder}/cp", readings.schema, districts(spark)
+    )
+    assert report["batch"] == 0 and report["records_read"] == 50 and _adds_up(report)
+
+
 # --- dashboard ----------------------------------------------------------------------------
 
 
@@ -235,5 +322,6 @@ def test_top_k_order(single):
     times = [r["timestamp_original"] for r in map_points(single, points=10).collect()]
     newest = single.fact_mediciones.orderBy(F.desc("timestamp_original")).limit(10).collect()
     assert times == [r["timestamp_original"] for r in newest]
+    assert zone_counts(single).agg(F.sum("count")).first()[0] == single.fact_mediciones.count()
     counts = [r["count"] for r in zone_distribution(single).collect()]
     assert counts == sorted(counts, reverse=True) and sum(counts) == single.fact_mediciones.count()

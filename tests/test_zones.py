@@ -198,3 +198,38 @@ def test_reference_points_get_a_district(spark):
     points = [(-17.7833, -63.1822), (-17.7650, -63.1950), (-17.8200, -63.1400)]
     df = spark.createDataFrame(points, "latitude double, longitude double")
     assert all(r["zona_id"] for r in Z.classify_point(df, districts(spark)).collect())
+
+
+def test_districts_without_a_polygon_are_named(spark):
+    features = [
+        {"id": "a", "properties": {"nombre": "good"}, "geometry": _polygon(SQUARE)},
+        {"id": "b", "properties": {"nombre": "a point"}, "geometry": {"type": "Point", "coordinates": [1, 2]}},
+        {"id": "c", "properties": {"nombre": "nothing"}, "geometry": None},
+    ]
+    found = read_districts_geojson(spark, _geojson(spark, features))
+    with pytest.raises(ValueError, match="a point, nothing"):
+        Z.assign_district_zone(spark.createDataFrame([(0.0, 0.0)], "latitude double, longitude double"), found)
+
+
+def test_no_districts_and_no_area(spark):
+    points = spark.createDataFrame([(2.0, 2.0), (None, 1.0)], "latitude double, longitude double")
+    none = districts(spark).limit(0)
+    assert [r["zona_id"] for r in Z.classify_point(points, none).collect()] == [None, None]
+    dot = [[2, 2], [2, 2], [2, 2], [2, 2]]
+    flat = read_districts_geojson(spark, _geojson(spark, [{"id": "p", "properties": {}, "geometry": _polygon(dot)}]))
+    assert Z.classify_point(points, flat).count() == 2
+    assert [r["zona_id"] for r in Z.point_in_district(points, flat).collect()] == [None, None]
+
+
+def test_grid_candidates_give_the_exact_district(spark):
+    """Inside, near and far points: the grid's districts against all districts."""
+    rng = random.Random(11)
+    data = [(rng.uniform(-18.2, -17.4), rng.uniform(-63.6, -62.8)) for _ in range(3000)] + [(None, -63.0), (50.0, 9.0)]
+    points = spark.createDataFrame(data, "latitude double, longitude double")
+    known = districts(spark)
+    shapes = Z.Shapes.of(known)
+    found = Z.nearest_district(Z.point_in_district(points, known, name="inside"), known, name="near")
+    exact = found.withColumns(
+        {"i": F.expr(shapes.containing("longitude", "latitude")), "n": F.expr(shapes.nearest("longitude", "latitude"))}
+    )
+    assert exact.filter("NOT (inside <=> i) OR NOT (near <=> n)").isEmpty()
