@@ -94,7 +94,11 @@ def _blocks(batches):
             last = min(max(last, first + 1), batch.num_rows)
             words = values[offsets[first] : offsets[last]].view(np.uint64)
             sizes = np.diff(offsets[first : last + 1])
-            dictionary, word_ids = np.unique(words, return_inverse=True)
+            dictionary, word_ids, counts = np.unique(words, return_inverse=True, return_counts=True)
+            # frequent words get small numbers, which take little room
+            frequent = np.argsort(-counts, kind="stable")
+            dictionary, numbers = dictionary[frequent], np.argsort(frequent)
+            word_ids = numbers[word_ids]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([uuid.uuid4().hex]),
@@ -233,7 +237,7 @@ def score_documents(docs, doc_id="doc_id", text="text", order=ORDER, backoff=BAC
     ).first()
     # as many ranges as blocks, so a range holds about as many entries as a block
     bits = max(int(n_blocks) - 1, 0).bit_length()
-    entries = blocks.repartition(max(int(n_blocks), 1), "block").mapInArrow(
+    entries = blocks.mapInArrow(
         _entries(order, bits), "hash_range bigint, block string, n bigint, hashes binary, counts binary"
     )
     counts = entries.groupBy("hash_range").applyInArrow(
