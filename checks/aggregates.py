@@ -57,18 +57,18 @@ def sort_by_count(spark, sf_dir):
     return A.sort_by_count(counted, "n", "network_type")
 
 
-_PATTERNS = """SELECT 'hourly' AS pattern_type, CAST(hour AS VARCHAR) AS dimension, count(*) AS record_count
+PATTERNS_SQL = """SELECT 'hourly' AS pattern_type, CAST(hour AS VARCHAR) AS dimension, count(*) AS record_count
  FROM features GROUP BY hour UNION ALL
  SELECT 'weekday', CAST(day_of_week AS VARCHAR) || '-' || weekday_name, count(*)
  FROM features GROUP BY day_of_week, weekday_name"""
 
 
-@query("temporal_patterns", _PATTERNS)
+@query("temporal_patterns", PATTERNS_SQL)
 def temporal_patterns(spark, sf_dir):
     return T.temporal_patterns(T.add_temporal_features(cleaned(spark, sf_dir)))
 
 
-@query("union_patterns", _PATTERNS)
+@query("union_patterns", PATTERNS_SQL)
 def union_patterns(spark, sf_dir):
     patterns = T.temporal_patterns(T.add_temporal_features(cleaned(spark, sf_dir)))
     kind = F.col("pattern_type")

@@ -104,7 +104,7 @@ _JUMPS = (
     " round(time_diff_hours, 6) AS time_diff_hours, latitude, longitude,"
     " 'geographic_jump' AS anomaly_type FROM moves WHERE time_diff_hours > 0 AND distance_km > 500"
 )
-_ALL = f"{_SPEED} UNION ALL BY NAME {_BATTERY} UNION ALL BY NAME {_JUMPS}"
+ANOMALIES_SQL = f"{_SPEED} UNION ALL BY NAME {_BATTERY} UNION ALL BY NAME {_JUMPS}"
 
 
 @query("speed_anomalies", _SPEED)
@@ -122,12 +122,12 @@ def geographic_jumps(spark, sf_dir):
     return rounded(A.geographic_jumps(_moved(spark, sf_dir)), distance_km=6, time_diff_hours=6)
 
 
-@query("all_anomalies", _ALL)
+@query("all_anomalies", ANOMALIES_SQL)
 def all_anomalies(spark, sf_dir):
     return rounded(A.all_anomalies(_moved(spark, sf_dir)), distance_km=6, time_diff_hours=6)
 
 
-@query("union_anomalies", _ALL)
+@query("union_anomalies", ANOMALIES_SQL)
 def union_anomalies(spark, sf_dir):
     moved = _moved(spark, sf_dir)
     stacked = A.union_anomalies(
@@ -141,7 +141,7 @@ def union_anomalies(spark, sf_dir):
     f"""SELECT (SELECT count(*) FROM locations) AS initial_records, (SELECT count(*) FROM cleaned) AS clean_records,
  (SELECT count(*) FROM locations) - (SELECT count(*) FROM cleaned) AS discarded_records,
  round(((SELECT count(*) FROM locations) - (SELECT count(*) FROM cleaned)) * 100.0::DOUBLE / (SELECT count(*) FROM locations), 6) AS discard_percent,
- (SELECT count(DISTINCT device_id) FROM cleaned) AS unique_devices, (SELECT count(*) FROM ({_ALL})) AS anomalies""",
+ (SELECT count(DISTINCT device_id) FROM cleaned) AS unique_devices, (SELECT count(*) FROM ({ANOMALIES_SQL})) AS anomalies""",
 )
 def daily(spark, sf_dir):
     out = scratch_path(spark, "daily")

@@ -2,14 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from checks.aggregates import METRICS_SQL, NETWORK_SQL
+from checks.aggregates import METRICS_SQL, NETWORK_SQL, PATTERNS_SQL
 from checks.base import cleaned, districts, locations, query, rounded, star, warehouse_root
+from checks.movement import ANOMALIES_SQL
 from rastro import schema as S
 from rastro.operators.aggregates import device_metrics, network_distribution
 from rastro.operators.anomalies import all_anomalies
 from rastro.operators.movement import add_distance_from_previous
 from rastro.operators.temporal import add_temporal_features, temporal_patterns
-from rastro.plans.daily import daily_results
+from rastro.plans.daily import daily_pipeline, daily_results
 from rastro.plans.load import load_batch, load_static_dimensions, load_warehouse
 from rastro.plans.star import build_fact, dim_date, dim_zone, prepare_measurements
 from rastro.session import scratch_path
@@ -184,18 +185,43 @@ def write_temporal_patterns(spark, sf_dir):
     return _read_csv(spark, shown.schema, path)
 
 
-@query(
-    "write_anomalies",
-    """SELECT id, 'impossible_speed' AS anomaly_type FROM cleaned WHERE speed > 200
- UNION ALL SELECT id, 'critical_battery' FROM cleaned WHERE battery < 10
- UNION ALL SELECT id, 'geographic_jump' FROM moves WHERE time_diff_hours > 0 AND distance_km > 500""",
-)
+@query("write_anomalies", ANOMALIES_SQL)
 def write_anomalies(spark, sf_dir):
     path = scratch_path(spark, "anomalies")
     found = all_anomalies(add_distance_from_previous(cleaned(spark, sf_dir)))
     sinks.write_anomalies(found, path)
-    read = spark.read.csv(path, header=True)
-    return read.select(F.col("id").cast("bigint").alias("id"), "anomaly_type")
+    # the folder names hold the type; the files have the other columns in order
+    read = _read_csv(spark, found.schema, path).select(*found.columns)
+    return rounded(read, distance_km=6, time_diff_hours=6)
+
+
+@query(
+    "daily_outputs",
+    f"""SELECT 'device_stats' AS result, * FROM ({METRICS_SQL})
+ UNION ALL BY NAME SELECT 'network_analysis' AS result, * FROM ({NETWORK_SQL})
+ UNION ALL BY NAME SELECT 'temporal_patterns' AS result, * FROM ({PATTERNS_SQL})
+ UNION ALL BY NAME SELECT 'anomalies' AS result, * FROM ({ANOMALIES_SQL})""",
+)
+def daily_outputs(spark, sf_dir):
+    """The rows of the four outputs of the daily run, read back from its files."""
+    out = scratch_path(spark, "daily-outputs")
+    readings = locations(spark, sf_dir)
+    daily_pipeline(spark, readings, out)
+    rows = None
+    for name, expected in daily_results(readings).items():
+        read = _read_csv(spark, expected.schema, f"{out}/{name}").select(*expected.columns)
+        part = read.withColumn("result", F.lit(name))
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    return rounded(
+        rows,
+        avg_battery=6,
+        avg_signal=6,
+        avg_speed=6,
+        activity_window_hours=6,
+        percentage=6,
+        distance_km=6,
+        time_diff_hours=6,
+    )
 
 
 # --- warehouse writes ------------------------------------------------------------------

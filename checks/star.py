@@ -65,22 +65,23 @@ def dim_device(spark, sf_dir):
 
 @query(
     "distinct_dimension_members",
-    """SELECT 'date' AS kind, count(*) AS n FROM (SELECT DISTINCT fecha FROM prepared)
- UNION ALL SELECT 'location', count(*) FROM (SELECT DISTINCT latitud, longitud, altitud, zona_id FROM prepared)
- UNION ALL SELECT 'device', count(*) FROM (SELECT DISTINCT device_hash, device_display_name, device_model FROM prepared)""",
+    """SELECT DISTINCT 'date' AS kind, fecha FROM prepared
+ UNION ALL BY NAME SELECT DISTINCT 'location' AS kind, latitud, longitud, altitud, zona_id FROM prepared
+ UNION ALL BY NAME SELECT DISTINCT 'device' AS kind, device_hash, device_display_name, device_model FROM prepared""",
 )
 def distinct_members(spark, sf_dir):
+    """The members of the three kinds, each with its own columns."""
     rows = prepared(spark, sf_dir)
     frames = {
         "date": P.distinct_dates(rows),
-        "location": P.distinct_locations(rows),
+        "location": rounded(P.distinct_locations(rows), latitud=7, longitud=7),
         "device": P.distinct_devices(rows),
     }
-    counted = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "n")
-        for kind, df in frames.items()
-    ]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    members = [df.withColumn("kind", F.lit(kind)) for kind, df in frames.items()]
+    first, *rest = members
+    for df in rest:
+        first = first.unionByName(df, allowMissingColumns=True)
+    return first
 
 
 _FACT = "SELECT * FROM fact"
@@ -198,14 +199,23 @@ def global_kpis(spark, sf_dir):
 
 @query(
     "create_views",
-    """SELECT 'v_mapa' AS view_name, count(*) AS n FROM fact
- UNION ALL SELECT 'v_calidad', count(*) FROM (SELECT DISTINCT calidad_id, operador_id FROM fact)
- UNION ALL SELECT 'v_temporal', count(*) FROM (SELECT DISTINCT tiempo_id, hora_id FROM fact)
- UNION ALL SELECT 'v_operador_zona', count(*) FROM (SELECT DISTINCT operador_id, zona_id FROM fact)
- UNION ALL SELECT 'v_kpis', 1""",
+    """SELECT 'v_mapa' AS view_name, CAST(operador_id AS VARCHAR) AS member, count(*) AS mediciones FROM fact GROUP BY operador_id
+ UNION ALL SELECT 'v_calidad', nivel || '/' || nombre, count(*) FROM fact JOIN dim_calidad USING (calidad_id)
+  JOIN dim_operador USING (operador_id) GROUP BY nivel, nombre
+ UNION ALL SELECT 'v_temporal', periodo || '/' || hora, count(*) FROM fact JOIN dim_hora USING (hora_id) GROUP BY periodo, hora
+ UNION ALL SELECT 'v_operador_zona', o.nombre || '/' || z.nombre, count(*) FROM fact JOIN dim_operador AS o USING (operador_id)
+  JOIN dim_zonas AS z ON fact.zona_id = z.zona_id GROUP BY o.nombre, z.nombre
+ UNION ALL SELECT 'v_kpis', 'all', count(*) FROM fact""",
 )
 def create_views(spark, sf_dir):
+    """Measurements per member of each view, by SQL over the views."""
     V.create_views(star(spark, sf_dir))
+    star(spark, sf_dir).dim_operador.createOrReplaceTempView("operators_of_the_check")
     return spark.sql(
-        " UNION ALL ".join(f"SELECT '{name}' AS view_name, count(*) AS n FROM {name}" for name in V.VIEWS)
+        """SELECT 'v_mapa' AS view_name, CAST(operador_id AS STRING) AS member, count(*) AS mediciones
+ FROM v_mapa JOIN operators_of_the_check ON operador = nombre GROUP BY operador_id
+ UNION ALL SELECT 'v_calidad', calidad || '/' || operador, mediciones FROM v_calidad
+ UNION ALL SELECT 'v_temporal', periodo || '/' || hora, sum(mediciones) FROM v_temporal GROUP BY periodo, hora
+ UNION ALL SELECT 'v_operador_zona', operador || '/' || zona, mediciones FROM v_operador_zona
+ UNION ALL SELECT 'v_kpis', 'all', total_mediciones FROM v_kpis"""
     )
