@@ -16,6 +16,7 @@ and null ids give a row each.
 """
 
 import base64
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ from rastro.llm.workers import find_package
 _SPACE = r"\t-\r\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 #: Pieces that a worker keeps with their ids.
 CACHE = 1 << 18
+#: Pairs of tokens that a worker keeps, with whether one may follow the other.
+PAIRS = 1 << 20
 
 
 class Vocabulary:
@@ -43,6 +46,7 @@ class Vocabulary:
             self.tokens[rank] = token
         self.longest = max(map(len, ranks))
         self.merged = {}
+        self.follows = {}
         self.left = list(range(size))
         self.right = list(range(size))
         #: tokens that merges can make; others only stand for a whole piece
@@ -57,6 +61,14 @@ class Vocabulary:
                     self.reachable[token] = rank
                     break
 
+        #: sizes of the tokens that end in given three (or fewer) bytes, and of those inside these
+        found = {}
+        for token in self.reachable:
+            found.setdefault(token[-3:], set()).add(len(token))
+        for end, known in found.items():
+            known |= {n for n in range(1, len(end)) if end[-n:] in self.reachable}
+        self.sizes = {end: tuple(sorted(known)) for end, known in found.items()}
+
     @classmethod
     def from_tiktoken(cls, data):
         """From the lines 'base64 rank' of a rank file."""
@@ -84,6 +96,44 @@ class Vocabulary:
                 return True
 
 
+def extend_last_tokens(vocabulary, data, last, offset=0):
+    """Append to ``last`` the last tokens of the prefixes that it does not reach yet.
+
+    ``data`` holds the bytes from ``offset`` on; at least the longest token's length before the new ones.
+    """
+    token_of, follows, sizes = vocabulary.reachable.get, vocabulary.follows, vocabulary.sizes
+    for end in range(len(last) - offset + 1, len(data) + 1):
+        for size in sizes.get(data[max(end - 3, 0) : end]) or sizes.get(data[max(end - 2, 0) : end], (1,)):
+            start = end - size
+            if start < 0:
+                continue
+            token = token_of(data[start:end])
+            if token is None:
+                continue
+            if start + offset == 0:
+                break
+            pair = last[start + offset - 1], token
+            fits = follows.get(pair)
+            if fits is None:
+                if len(follows) >= PAIRS:
+                    follows.clear()
+                fits = follows[pair] = vocabulary.may_follow(*pair)
+            if fits:
+                break
+        else:
+            raise ValueError("the vocabulary lacks a byte")
+        last.append(token)
+
+
+def tokens_of(vocabulary, last):
+    """The tokens of the longest prefix, found from its end."""
+    tokens, found, end = vocabulary.tokens, [], len(last)
+    while end:
+        found.append(last[end - 1])
+        end -= len(tokens[found[-1]])
+    return found[::-1]
+
+
 class PrefixEncoding:
     """Encoding of a byte string that can be extended and edited.
 
@@ -96,20 +146,13 @@ class PrefixEncoding:
         self.last = []
         self.append(data)
 
-    def _last_token(self, end):
-        v = self.vocabulary
-        reachable, data, last = v.reachable, self.data, self.last
-        for start in range(end - 1, max(end - v.longest, 0) - 1, -1):
-            token = reachable.get(bytes(data[start:end]))
-            if token is not None and (start == 0 or v.may_follow(last[start - 1], token)):
-                return token
-        raise ValueError("the vocabulary lacks a byte")
+    def _extend(self, stop):
+        offset = max(len(self.last) - self.vocabulary.longest, 0)
+        extend_last_tokens(self.vocabulary, bytes(self.data[offset:stop]), self.last, offset)
 
     def append(self, more):
-        begin = len(self.data)
         self.data += more
-        for end in range(begin + 1, len(self.data) + 1):
-            self.last.append(self._last_token(end))
+        self._extend(len(self.data))
 
     def replace(self, start, stop, new):
         """Put ``new`` in place of the bytes from ``start`` to ``stop``."""
@@ -123,21 +166,34 @@ class PrefixEncoding:
             if same == self.vocabulary.longest:
                 self.last += known[i:]
                 return
-            self.last.append(self._last_token(len(self.last) + 1))
+            self._extend(len(self.last) + 1)
             same = same + 1 if self.last[-1] == known[i] else 0
 
     def tokens(self):
-        found, end = [], len(self.data)
-        while end:
-            found.append(self.last[end - 1])
-            end -= len(self.vocabulary.tokens[found[-1]])
-        return found[::-1]
+        return tokens_of(self.vocabulary, self.last)
+
 
+def encode_pieces(vocabulary, pieces):
+    """Ids of each piece (bytes), in a dictionary; a piece that is a token is that token.
 
-def encode_piece(vocabulary, piece):
-    """Ids of one piece; a piece that is a token is that token."""
-    whole = vocabulary.ranks.get(piece)
-    return [whole] if whole is not None else PrefixEncoding(vocabulary, piece).tokens()
+    In sorted order, pieces share prefixes with the one before, and so the last tokens of these.
+    """
+    found, last, before = {}, [], b""
+    for piece in sorted(pieces):
+        whole = vocabulary.ranks.get(piece)
+        if whole is not None:
+            found[piece] = [whole]
+            continue
+        common = 0
+        for a, b in zip(before, piece):
+            if a != b:
+                break
+            common += 1
+        del last[common:]
+        extend_last_tokens(vocabulary, piece, last)
+        found[piece] = tokens_of(vocabulary, last)
+        before = piece
+    return found
 
 
 _workers = {}
@@ -169,14 +225,13 @@ def _encoder(shared, pattern, n_kept):
             offsets = rows.offsets.to_numpy().astype(np.int64)
             flat = rows.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
             offsets = offsets - offsets[0]
-            ids = []
-            for piece in flat.dictionary.to_pylist():
-                found = cache.get(piece)
-                if found is None:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    found = cache[piece] = encode_piece(vocabulary, piece.encode())
-                ids.append(found)
+            distinct = flat.dictionary.cast(pa.binary()).to_pylist()
+            missing = [piece for piece in distinct if piece not in cache]
+            new = encode_pieces(vocabulary, missing)
+            ids = [new[piece] if piece in new else cache[piece] for piece in distinct]
+            if len(cache) + len(new) > CACHE:
+                cache.clear()
+            cache.update(islice(new.items(), CACHE))
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             of_piece = pa.array(ids, pa.list_(pa.int32()))
             places = flat.indices.to_numpy(zero_copy_only=False)
