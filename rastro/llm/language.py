@@ -36,7 +36,6 @@ _CLASSES = np.zeros(256, np.uint8)
 _CLASSES[ord("a") : ord("z") + 1] = np.arange(1, 27)
 _CLASSES[ord("A") : ord("Z") + 1] = np.arange(1, 27)
 _CLASSES[128:] = np.arange(27, 27 + 128)
-N_CLASSES = 155
 
 
 def fold(data):
@@ -47,10 +46,10 @@ def fold(data):
     return classes[keep]
 
 
-def suffix_automaton(classes):
+def suffix_automaton(classes, n_classes):
     """Transition table of the automaton of all substrings; 0 is the start, -1 no transition.
 
-    The last row is a state without transitions.
+    ``classes`` are numbers below ``n_classes``. The last row is a state without transitions.
     """
     nexts, link, length = [{}], [-1], [0]
     last = 0
@@ -77,7 +76,7 @@ def suffix_automaton(classes):
                     p = link[p]
                 link[q] = link[current] = clone
         last = current
-    table = np.full((len(nexts) + 1, N_CLASSES), -1, np.int32)
+    table = np.full((len(nexts) + 1, n_classes), -1, np.int32)
     for state, moves in enumerate(nexts):
         for c, target in moves.items():
             table[state, c] = target
@@ -92,14 +91,14 @@ def count_phrases(table, segments, starts, sizes):
     dead = len(table) - 1
     state = np.full(len(starts), dead, np.int32)
     begin = starts[order]
-    flat = table.ravel()
+    flat, n_classes = table.ravel(), table.shape[1]
     # a byte unknown to the language is a phrase of its own
     start_row = np.where(table[0] < 0, dead, table[0])
     found = np.zeros(len(starts), np.int64)
     for step in range(int(sizes.max(initial=0))):
         active = len(sizes) - np.searchsorted(ends, step, side="right")
         c = segments[begin[:active] + step]
-        to = flat[state[:active] * N_CLASSES + c]
+        to = flat[state[:active] * n_classes + c]
         stops = to < 0
         found[:active] += stops
         # the byte that ends a phrase begins the next
@@ -115,14 +114,18 @@ class Languages:
     def __init__(self, samples):
         self.names = sorted(samples)
         folded = [fold(np.frombuffer(samples[n], np.uint8)) for n in self.names]
-        self.tables = [suffix_automaton(f) for f in folded]
+        # classes that occur in the samples are renumbered, to keep the tables small; the rest is one
+        present = np.unique(np.concatenate([np.zeros(1, np.uint8), *folded]))
+        self.number = np.full(256, len(present), np.uint8)
+        self.number[present] = np.arange(len(present))
+        self.tables = [suffix_automaton(self.number[f], len(present) + 1) for f in folded]
         self.costs = [np.log2(len(f) + 2) for f in folded]
 
     def predict(self, data, starts, stops):
         """Language index and score for each text ``data[start:stop]``; -1 without a letter."""
         texts = [fold(data[a:b]) for a, b in zip(starts, stops)]
         sizes = np.array([len(t) for t in texts], np.int64)
-        joined = np.concatenate([*texts, np.zeros(1, np.uint8)])
+        joined = self.number[np.concatenate([*texts, np.zeros(1, np.uint8)])]
         row_starts = np.cumsum(sizes) - sizes
         pieces = np.maximum(-(-sizes // SEGMENT), 1)
         rows = np.repeat(np.arange(len(sizes)), pieces)

@@ -23,7 +23,7 @@ def test_phrases_match_brute_force():
     rng = random.Random(4)
     sample = bytes(rng.choice(b"abcab c") for _ in range(400))
     folded = language.fold(np.frombuffer(sample, np.uint8))
-    table = language.suffix_automaton(folded)
+    table = language.suffix_automaton(folded, 155)
     texts = [bytes(rng.choice(b"abcd b") for _ in range(n)) for n in (0, 1, 2, 17, 300, 301)]
     folds = [language.fold(np.frombuffer(t, np.uint8)) for t in texts]
     sizes = np.array([len(f) for f in folds])
