@@ -27,6 +27,8 @@ from rastro.llm.workers import find_package
 
 SAMPLE_DOCUMENTS = 100
 SAMPLE_BYTES = 60_000
+#: Every language has an automaton in each worker.
+MAX_LANGUAGES = 500
 #: Bytes of one text that are parsed in one go; bounds the steps of a batch with one long text.
 SEGMENT = 4096
 
@@ -163,12 +165,17 @@ def training_samples(docs, doc_id="doc_id", text="text", lang="lang",
         .where(F.col("place") <= sample_documents)
         .groupBy("lang")
         .agg(F.max("rank").alias("limit"))
+        .limit(MAX_LANGUAGES + 1)
+        .collect()
     )
+    if len(limits) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages; is {lang!r} a language?")
+    if not limits:
+        return {}
+    limit_of = F.create_map(*[F.lit(x) for r in limits for x in (r.lang, r.limit)])
     chosen = (
-        labelled.select(F.col(lang).alias("lang"), rank.alias("rank"), F.col(text).alias("text"))
-        .join(limits, "lang")
-        .where(F.col("rank") <= F.col("limit"))
-        .select("lang", "rank", F.substring("text", 1, sample_bytes).alias("text"))
+        labelled.where(rank <= limit_of[F.col(lang)])
+        .select(F.col(lang).alias("lang"), rank.alias("rank"), F.substring(text, 1, sample_bytes).alias("text"))
         .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("rank", "text")))
         .where(F.col("place") <= sample_documents)
     )
