@@ -7,8 +7,8 @@ strings have equal anchors, whatever surrounds them, and strings that follow eac
 a *run* of them travels together as one stretch of text. Suffixes with equal heads hence meet in one bucket
 of anchors, and each bucket is sorted by itself:
 
+* first only anchors travel, six bytes or so each; runs whose anchor occurs nowhere else are done with;
 * equal runs are one entry; a task sends each run once, however often a passage occurs in its texts;
-* only suffixes from anchors that occur in several documents are sorted at all;
 * shallow: multikey quicksort by symbols of eight bytes. All groups that are equal so far are split by their next
   symbol in one array operation, down to ``SHALLOW`` bytes;
 * deep: the groups that remain have long common prefixes. A blind trie (a trie with only its branches, each with
@@ -36,12 +36,12 @@ from rastro.llm.lm import pack, unpack
 from rastro.llm.workers import find_package
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 SHALLOW = 16
 #: Bytes of a run at most: all its strings hold one anchor.
 STRETCH = 2 * LENGTH - GRAM
 #: Bytes of text that are hashed at once.
-CHUNK = 8 << 20
+CHUNK = 2 << 20
 #: Bytes of text per bucket of suffixes, and per part of texts.
 BUCKET_BYTES, PART_BYTES = 16 << 20, 8 << 20
 #: An anchor is hot if it occurs in this share of a sample of about so many documents; so the number of hot
@@ -68,8 +68,11 @@ def _mixed(h):
 def _gram_hashes(data):
     """A hash of the ``GRAM`` bytes from each place that has as many."""
     count = len(data) - GRAM + 1
-    words = _symbols(data, count + 8)
-    return _mixed(words[:count] * _MIX ^ _mixed(words[8 : count + 8]))
+    words = _symbols(data, len(data) - 7)
+    found = _mixed(words[:count])
+    for at in (*range(8, GRAM - 8, 8), GRAM - 8):
+        found = _mixed(found * _MIX ^ words[at : at + count])
+    return found
 
 
 def _sliding_least(values, width):
@@ -264,20 +267,81 @@ def removed_in_bucket(key, ids, sizes, stretches):
 
 # --- moving the runs ------------------------------------------------------------------------
 
-_PARTS = (
-    "bucket bigint, known boolean, n bigint, rows binary, ids binary, at binary, sizes binary, "
-    "keys binary, stretches binary"
+_TEXTS = "part bigint, n bigint, rows binary, ids binary, sizes binary, size bigint, data binary"
+_ANCHORS = "bucket bigint, part bigint, n bigint, keys binary, runs binary"
+_SHARED = "part bigint, n bigint, runs binary"
+_RUNS = (
+    "bucket bigint, part bigint, known boolean, n bigint, rows binary, ids binary, at binary, sizes binary, "
+    "keys binary, size bigint, stretches binary"
 )
 _REMOVED = "part bigint, n bigint, rows binary, at binary, sizes binary"
+_CLEANED = "doc_id bigint, n_bytes bigint, kept binary, removed array<struct<start:bigint,stop:bigint>>"
 
 
-def _texts(batch, column):
+def _batch_texts(batch, column):
     values = batch.column(column).cast(pa.large_binary())
     offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
     data = np.frombuffer(values.buffers()[2] or b"", np.uint8)
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def _numbers(batch, column):
+    return batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _compressed(data):
+    return pa.compress(data, codec="zstd", asbytes=True) if len(data) else b""
+
+
+def _decompressed(data, size):
+    return pa.decompress(data, size, codec="zstd", asbytes=True) if size else b""
+
+
+def _pack_texts(n_parts):
+    """Texts by part, compressed together."""
+
+    def run(batches):
+        for batch in batches:
+            rows, ids = _numbers(batch, 0), _numbers(batch, 1)
+            data, offsets = _batch_texts(batch, 2)
+            part = rows % n_parts
+            order = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1]))
+            for a, b in zip(cuts, np.append(cuts[1:], len(order))):
+                own = order[a:b]
+                joined = b"".join(data[offsets[i] : offsets[i + 1]].tobytes() for i in own)
+                arrays = (rows[own], ids[own], np.diff(offsets)[own])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([part[own[0]]], pa.int64()),
+                        pa.array([len(own)], pa.int64()),
+                        *(pa.array([pack(x)], pa.binary()) for x in arrays),
+                        pa.array([len(joined)], pa.int64()),
+                        pa.array([_compressed(joined)], pa.binary()),
+                    ],
+                    ["part", "n", "rows", "ids", "sizes", "size", "data"],
+                )
+
+    return run
+
+
+def _documents(table):
+    """Ids, bytes and places of the documents of a part, in an order that only they decide."""
+    rows, ids, texts = [], [], []
+    for p in table.to_pylist():
+        data = _decompressed(p["data"], p["size"])
+        sizes = unpack(p["sizes"], p["n"], np.int64)
+        ends = np.cumsum(sizes)
+        texts += [data[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
+        rows.append(unpack(p["rows"], p["n"], np.int64))
+        ids.append(unpack(p["ids"], p["n"], np.int64))
+    rows, ids = np.concatenate(rows), np.concatenate(ids)
+    order = np.lexsort((ids, rows))
+    texts = [texts[i] for i in order.tolist()]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    return ids[order], np.frombuffer(b"".join(texts), np.uint8), offsets
+
+
 def _groups_of_texts(offsets):
     """Consecutive documents of about ``CHUNK`` bytes together; places must fit into 24 bits."""
     first = 0
@@ -294,72 +358,134 @@ def _pieces(data, starts, stops):
         yield data, starts, stops, 0
         return
     for at in range(0, len(data) - LENGTH + 1, CHUNK):
-        # strings that start in [at, at + CHUNK); more bytes around them show their anchors
         end = min(at + CHUNK + LENGTH - 1, len(data))
         yield data[at:end], np.array([0]), np.array([end - at]), at
 
 
-def _numbers(batch, column):
-    return batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
+def _all_runs(data, offsets):
+    """``anchor_runs`` of all documents, hashed a chunk at a time."""
+    found = [tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64))]
+    for first, last in _groups_of_texts(offsets):
+        start = offsets[first]
+        texts = data[start : offsets[last]]
+        borders = offsets[first : last + 1] - start
+        for piece, begin, end, shift in _pieces(texts, borders[:-1], borders[1:]):
+            doc, at, sizes, key = anchor_runs(piece, begin, end)
+            found.append((doc + first, at + shift + start, sizes, key))
+    return tuple(np.concatenate(arrays) for arrays in zip(*found))
 
 
-def _send_runs(n_buckets, hot):
-    def run(batches):
-        known = np.sort(np.frombuffer(hot.value, np.uint64))
-        for batch in batches:
-            rows, ids = _numbers(batch, 0), _numbers(batch, 1)
-            data, offsets = _texts(batch, 2)
-            for first, last in _groups_of_texts(offsets):
-                part = data[offsets[first] : offsets[last]]
-                begin = offsets[first:last] - offsets[first]
-                end = offsets[first + 1 : last + 1] - offsets[first]
-                for piece, starts, stops, shift in _pieces(part, begin, end):
-                    yield from _parts_of(piece, starts, stops, shift, begin, rows[first:last], ids[first:last], known, n_buckets)
+def _is_hot(key, hot):
+    known = np.frombuffer(hot.value, np.uint64)
+    if not len(known):
+        return np.zeros(len(key), bool)
+    return known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
+
+
+def _table(schema, columns):
+    types = {"bigint": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
+    fields = [field.split() for field in schema.split(", ")]
+    arrays = [pa.array(columns.get(name, []), types[kind]) for name, kind in fields]
+    return pa.table(arrays, names=[name for name, _ in fields])
+
+
+def _cuts(numbers):
+    """Begin and end of the stretches of equal neighbours."""
+    begins = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])) if len(numbers) else []
+    return zip(begins, np.append(begins[1:], len(numbers)))
+
+
+#: Bits of an anchor that are compared to find out which occur twice; equal bits of others do no harm.
+_SEEN_BITS = np.uint64(16)
+
+
+def _send_anchors(n_buckets, hot):
+    """Of every run the anchor and the run's number in its part."""
+
+    def run(table):
+        _, data, offsets = _documents(table)
+        part = table.column("part")[0].as_py()
+        _, _, _, key = _all_runs(data, offsets)
+        runs = np.flatnonzero(~_is_hot(key, hot))
+        bucket = (_mixed(key[runs]) % np.uint64(n_buckets)).astype(np.int64)
+        seen = key[runs] >> _SEEN_BITS
+        order = np.lexsort((seen, bucket))
+        runs, bucket, seen = runs[order], bucket[order], seen[order]
+        found = {"bucket": [], "part": [], "n": [], "keys": [], "runs": []}
+        for a, b in _cuts(bucket):
+            gaps = np.diff(seen[a:b], prepend=np.uint64(0))
+            for name, value in zip(found, (bucket[a], part, b - a, pack(gaps), pack(runs[a:b].astype(np.uint32)))):
+                found[name].append(value)
+        return _table(_ANCHORS, found)
 
     return run
 
 
-def _parts_of(data, starts, stops, shift, begin, rows, ids, known, n_buckets):
-    doc, at, sizes, key = anchor_runs(data, starts, stops)
-    if not len(doc):
-        return
-    if len(known):
-        near = np.searchsorted(known, key)
-        is_hot = known[np.minimum(near, len(known) - 1)] == key
-        if is_hot.any():
-            # strings of hot anchors go by themselves, dealt by all their bytes
-            n = sizes[is_hot]
-            alone_at = np.repeat(at[is_hot], n) + _ranges(n)
-            ones = np.ones(len(alone_at), np.int64)
-            heads = _stretches(data, alone_at, ones)
-            doc = np.concatenate([doc[~is_hot], np.repeat(doc[is_hot], n)])
-            at = np.concatenate([at[~is_hot], alone_at])
-            sizes = np.concatenate([sizes[~is_hot], ones])
-            key = np.concatenate([key[~is_hot], _fingerprints(heads, ones)])
-    stretches = _stretches(data, at, sizes)
-    own_ids = ids[doc]
-    # of equal runs the one with the least id travels with its bytes; the others are named only
-    group = _equal_runs(stretches, sizes)
-    order = np.lexsort((own_ids, group))
-    leader = np.ones(len(order), bool)
-    leader[1:] = group[order][1:] != group[order][:-1]
-    lead_of = order[leader]
-    place = at + shift - begin[doc]
-    bucket = (_mixed(key) % np.uint64(n_buckets)).astype(np.int64)
-    # what has a copy with a smaller id right here goes, and need not be compared with anything
-    later = own_ids > own_ids[lead_of][group]
-    gone = _joined(rows[doc[later]], place[later], sizes[later])
-    if len(gone[0]):
-        none = np.empty(0, np.int64)
-        yield _part(int(rows[0]) % n_buckets, True, gone[0], none, gone[1], gone[2], none, stretches[:0])
-    kept = np.flatnonzero(~later)
-    kept = kept[np.lexsort((key[kept], bucket[kept]))]
-    cuts = np.flatnonzero(np.append(True, bucket[kept][1:] != bucket[kept][:-1]))
-    for a, b in zip(cuts, np.append(cuts[1:], len(kept))):
-        own = kept[a:b]
-        yield _part(
-            bucket[own[0]], False, rows[doc[own]], own_ids[own], place[own], sizes[own], key[own], stretches[own]
-        )
+def _find_shared(table):
+    """For each part the numbers of its runs whose anchor occurs again, there or elsewhere."""
+    parts = table.to_pylist()
+    seen = np.concatenate([np.cumsum(unpack(p["keys"], p["n"], np.uint64)) for p in parts])
+    order = np.argsort(seen, kind="stable")
+    same = np.append(False, seen[order][1:] == seen[order][:-1])
+    again = np.empty(len(seen), bool)
+    again[order] = same | np.append(same[1:], False)
+    found, begin = {"part": [], "n": [], "runs": []}, 0
+    for p in parts:
+        runs = np.sort(unpack(p["runs"], p["n"], np.uint32)[again[begin : begin + p["n"]]])
+        begin += p["n"]
+        for name, value in zip(found, (p["part"], len(runs), pack(np.diff(runs, prepend=np.uint32(0))))):
+            found[name].append(value)
+    return _table(_SHARED, found)
+
+
+def _send_runs(n_buckets, hot):
+    """The runs of shared anchors, with their bytes, to the bucket of their anchor."""
+
+    def run(texts, shared):
+        ids, data, offsets = _documents(texts)
+        part = texts.column("part")[0].as_py()
+        doc, at, sizes, key = _all_runs(data, offsets)
+        is_hot = _is_hot(key, hot)
+        chosen = np.zeros(len(key), bool)
+        for p in shared.to_pylist():
+            chosen[np.cumsum(unpack(p["runs"], p["n"], np.uint32))] = True
+        chosen &= ~is_hot
+        # strings of hot anchors go by themselves, dealt by all their bytes
+        n = sizes[is_hot]
+        alone = np.repeat(at[is_hot], n) + _ranges(n)
+        ones = np.ones(len(alone), np.int64)
+        alone_doc = np.repeat(doc[is_hot], n)
+        alone_key = _fingerprints(_stretches(data, alone, ones), ones)
+        doc, at = np.concatenate([doc[chosen], alone_doc]), np.concatenate([at[chosen], alone])
+        sizes, key = np.concatenate([sizes[chosen], ones]), np.concatenate([key[chosen], alone_key])
+        found = {name: [] for name in (f.split()[0] for f in _RUNS.split(", "))}
+
+        def add(bucket, known, own, stretches, joined=None):
+            rows, place, size = joined or (doc[own], at[own] - offsets[doc[own]], sizes[own])
+            bytes_ = stretches.tobytes()
+            values = (
+                bucket, part, known, len(rows), pack(rows), pack(ids[doc[own]]), pack(place), pack(size),
+                pack(np.diff(key[own], prepend=np.uint64(0))), len(bytes_), _compressed(bytes_),
+            )
+            for name, value in zip(found, values):
+                found[name].append(value)
+
+        stretches = _stretches(data, at, sizes)
+        group = _equal_runs(stretches, sizes)
+        later = ids[doc] > _least_of(group, ids[doc])[group]
+        # what has a copy with a smaller id right here goes, and need not be compared with anything
+        gone = np.flatnonzero(later)
+        if len(gone):
+            joined = _joined(doc[gone], at[gone] - offsets[doc[gone]], sizes[gone])
+            add(part % n_buckets, True, gone[:0], stretches[:0], joined)
+        bucket = (_mixed(key) % np.uint64(n_buckets)).astype(np.int64)
+        kept = np.flatnonzero(~later)
+        kept = kept[np.lexsort((key[kept], bucket[kept]))]
+        for a, b in _cuts(bucket[kept]):
+            add(bucket[kept[a]], False, kept[a:b], stretches[kept[a:b]])
+        return _table(_RUNS, found)
+
+    return run
 
 
 def _joined(rows, at, sizes):
@@ -372,90 +498,37 @@ def _joined(rows, at, sizes):
     return rows[first], at[first], np.add.reduceat(sizes, first) if len(first) else sizes
 
 
-def _part(bucket, known, rows, ids, at, sizes, keys, stretches):
-    arrays = [rows, ids, at.astype(np.int64), sizes.astype(np.int64), keys]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([bucket], pa.int64()),
-            pa.array([known]),
-            pa.array([len(rows)], pa.int64()),
-            *(pa.array([pack(a)], pa.binary()) for a in arrays),
-            pa.array([pa.compress(stretches.tobytes(), codec="zstd", asbytes=True)], pa.binary()),
-        ],
-        ["bucket", "known", "n", "rows", "ids", "at", "sizes", "keys", "stretches"],
-    )
+def _sort_bucket(table):
+    """The stretches of texts that go, by part."""
+    every = table.to_pylist()
+    parts = [p for p in every if not p["known"]]
+    empty = np.empty(0, np.int64)
 
+    def whole(name, parts):
+        return np.concatenate([empty, *(unpack(p[name], p["n"], np.int64) for p in parts)])
 
-def _removed(rows, at, sizes, n_parts):
-    """Stretches that go, packed by the part that the document belongs to."""
-    part = rows % n_parts
-    order = np.lexsort((at, rows, part))
-    part, rows, at, sizes = part[order], rows[order], at[order], sizes[order]
-    cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
-    found = {k: [] for k in ("part", "n", "rows", "at", "sizes")}
-    for a, b in zip(cuts, np.append(cuts[1:], len(part))):
-        for name, value in zip(found, (part[a], b - a, pack(rows[a:b]), pack(at[a:b]), pack(sizes[a:b]))):
-            found[name].append(value)
-    types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    return pa.table([pa.array(v, t) for v, t in zip(found.values(), types)], names=list(found))
-
-
-def _sort_bucket(n_parts):
-    def run(table):
-        every = table.to_pylist()
-        parts = [p for p in every if not p["known"]]
-
-        def whole(name, dtype, parts=parts):
-            arrays = [unpack(p[name], p["n"], dtype) for p in parts]
-            return np.concatenate([np.empty(0, dtype), *arrays])
-
-        stretches = np.concatenate(
-            [
-                np.empty(0, np.uint8),
-                *(
-                    np.frombuffer(pa.decompress(p["stretches"], p["n"] * STRETCH, codec="zstd"), np.uint8)
-                    for p in parts
-                ),
-            ]
-        ).reshape(-1, STRETCH)
-        rows, ids, at, sizes = (whole(name, np.int64) for name in ("rows", "ids", "at", "sizes"))
-        run, offset, strings = removed_in_bucket(whole("keys", np.uint64), ids, sizes, stretches)
-        known = [p for p in every if p["known"]]
-        own = [rows[run], at[run] + offset, strings]
-        names = ("rows", "at", "sizes")
-        joined = [np.concatenate([o, whole(name, np.int64, known)]) for o, name in zip(own, names)]
-        return _removed(*_joined(*joined), n_parts)
-
-    return run
+    stretches = [np.frombuffer(_decompressed(p["stretches"], p["size"]), np.uint8) for p in parts]
+    stretches = np.concatenate([np.empty(0, np.uint8), *stretches]).reshape(-1, STRETCH)
+    keys = [np.cumsum(unpack(p["keys"], p["n"], np.uint64)) for p in parts]
+    keys = np.concatenate([np.empty(0, np.uint64), *keys])
+    rows, ids, at, sizes = (whole(name, parts) for name in ("rows", "ids", "at", "sizes"))
+    part = np.repeat([p["part"] for p in parts], [p["n"] for p in parts]).astype(np.int64)
+    run, offset, strings = removed_in_bucket(keys, ids, sizes, stretches)
+    part, rows, at = part[run], rows[run], at[run] + offset
+    found = {"part": [], "n": [], "rows": [], "at": [], "sizes": []}
 
+    def add(number, joined):
+        for name, value in zip(found, (number, len(joined[0]), *map(pack, joined))):
+            found[name].append(value)
 
-_TEXTS = "part bigint, n bigint, rows binary, ids binary, sizes binary, size bigint, data binary"
-
-
-def _pack_texts(n_parts):
-    def run(batches):
-        for batch in batches:
-            rows, ids = _numbers(batch, 0), _numbers(batch, 1)
-            data, offsets = _texts(batch, 2)
-            part = rows % n_parts
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1]))
-            for a, b in zip(cuts, np.append(cuts[1:], len(order))):
-                own = order[a:b]
-                joined = b"".join(data[offsets[i] : offsets[i + 1]].tobytes() for i in own)
-                arrays = (rows[own], ids[own], np.diff(offsets)[own])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([part[own[0]]], pa.int64()),
-                        pa.array([len(own)], pa.int64()),
-                        *(pa.array([pack(x)], pa.binary()) for x in arrays),
-                        pa.array([len(joined)], pa.int64()),
-                        pa.array([pa.compress(joined, codec="zstd", asbytes=True)], pa.binary()),
-                    ],
-                    ["part", "n", "rows", "ids", "sizes", "size", "data"],
-                )
-
-    return run
+    order = np.argsort(part, kind="stable")
+    for a, b in _cuts(part[order]):
+        own = order[a:b]
+        add(part[own[0]], _joined(rows[own], at[own], strings[own]))
+    for p in every:
+        if p["known"]:
+            add(p["part"], [unpack(p[name], p["n"], np.int64) for name in ("rows", "at", "sizes")])
+    return _table(_REMOVED, found)
 
 
 def _without(data, spans):
@@ -477,53 +550,41 @@ def _clean(texts, removed):
     rows, at, sizes = whole("rows"), whole("at"), whole("sizes")
     order = np.lexsort((at, rows))
     rows, at, stops = rows[order], at[order], (at + sizes + LENGTH - 1)[order]
+    ids, data, offsets = _documents(texts)
+    borders = np.searchsorted(rows, np.arange(len(ids) + 1))
     found = [[], [], [], []]
-    for p in texts.to_pylist():
-        data = pa.decompress(p["data"], p["size"], codec="zstd", asbytes=True) if p["size"] else b""
-        arrays = [unpack(p[name], p["n"], np.int64).tolist() for name in ("rows", "ids", "sizes")]
-        begin = 0
-        for row, doc_id, size in zip(*arrays):
-            a, b = np.searchsorted(rows, row), np.searchsorted(rows, row, side="right")
-            spans = []
-            for start, stop in zip(at[a:b].tolist(), stops[a:b].tolist()):
-                if spans and start <= spans[-1][1]:
-                    spans[-1][1] = max(spans[-1][1], stop)
-                else:
-                    spans.append([start, stop])
-            text = data[begin : begin + size]
-            begin += size
-            found[0].append(None if doc_id == NULL_ID else doc_id)
-            found[1].append(size)
-            found[2].append(_without(text, spans))
-            found[3].append([{"start": start, "stop": stop} for start, stop in spans])
+    for i, doc_id in enumerate(ids.tolist()):
+        spans = []
+        a, b = borders[i], borders[i + 1]
+        for start, stop in zip(at[a:b].tolist(), stops[a:b].tolist()):
+            if spans and start <= spans[-1][1]:
+                spans[-1][1] = max(spans[-1][1], stop)
+            else:
+                spans.append([start, stop])
+        text = data[offsets[i] : offsets[i + 1]].tobytes()
+        found[0].append(None if doc_id == NULL_ID else doc_id)
+        found[1].append(len(text))
+        found[2].append(_without(text, spans))
+        found[3].append([{"start": start, "stop": stop} for start, stop in spans])
     spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     types = (pa.int64(), pa.int64(), pa.binary(), spans)
     return pa.table([pa.array(c, t) for c, t in zip(found, types)], names=["doc_id", "n_bytes", "kept", "removed"])
 
 
-_CLEANED = "doc_id bigint, n_bytes bigint, kept binary, removed array<struct<start:bigint,stop:bigint>>"
-
-
 def _hot_anchors(sample):
     """Anchors in a large share of a sample of the documents; bounded by that share."""
 
     def anchors(batches):
         for batch in batches:
-            data, offsets = _texts(batch, 0)
-            for first, last in _groups_of_texts(offsets):
-                part = data[offsets[first] : offsets[last]]
-                starts = offsets[first:last] - offsets[first]
-                for piece, begin, end, _ in _pieces(part, starts, offsets[first + 1 : last + 1] - offsets[first]):
-                    doc, _, _, key = anchor_runs(piece, begin, end)
-                    pairs = np.unique(np.stack([doc.astype(np.uint64), key], axis=1), axis=0)
-                    keys, counts = np.unique(pairs[:, 1], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.view(np.int64)), pa.array(counts)], ["anchor", "n"]
-                    )
+            data, offsets = _batch_texts(batch, 0)
+            doc, _, _, key = _all_runs(data, offsets)
+            pairs = np.unique(np.stack([doc.astype(np.uint64), key], axis=1), axis=0)
+            keys, counts = np.unique(pairs[:, 1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["anchor", "n"])
 
     counted = sample.mapInArrow(anchors, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n"))
     hot = counted.where(F.col("n") >= max(HOT_SHARE * HOT_SAMPLE, 2)).select("anchor").collect()
-    return np.array([r.anchor for r in hot], np.int64).view(np.uint64)
+    return np.sort(np.array([r.anchor for r in hot], np.int64).view(np.uint64))
 
 
 def remove_repeats(docs, doc_id="doc_id", text="text"):
@@ -544,13 +605,13 @@ def remove_repeats(docs, doc_id="doc_id", text="text"):
     every = max(int(n_docs) // HOT_SAMPLE, 1)
     sample = rows.where(F.pmod("row", F.lit(every)) == 0).select("data")
     hot = spark.sparkContext.broadcast(_hot_anchors(sample).tobytes())
-    removed = (
-        rows.mapInArrow(_send_runs(n_buckets, hot), _PARTS)
-        .groupBy("bucket")
-        .applyInArrow(_sort_bucket(n_parts), _REMOVED)
-    )
-    texts = rows.mapInArrow(_pack_texts(n_parts), _TEXTS)
-    return texts.groupBy("part").cogroup(removed.groupBy("part")).applyInArrow(_clean, _CLEANED)
+    # the shuffle by part is made once; all three steps that need texts read it
+    texts = rows.mapInArrow(_pack_texts(n_parts), _TEXTS).groupBy("part")
+    anchors = texts.applyInArrow(_send_anchors(n_buckets, hot), _ANCHORS)
+    shared = anchors.groupBy("bucket").applyInArrow(_find_shared, _SHARED)
+    runs = texts.cogroup(shared.groupBy("part")).applyInArrow(_send_runs(n_buckets, hot), _RUNS)
+    removed = runs.groupBy("bucket").applyInArrow(_sort_bucket, _REMOVED)
+    return texts.cogroup(removed.groupBy("part")).applyInArrow(_clean, _CLEANED)
 
 
 def repeat_report(docs, doc_id="doc_id", text="text"):
