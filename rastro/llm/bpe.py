@@ -30,9 +30,11 @@ from rastro.llm.workers import find_package
 #: White space as Unicode defines it, written out because Java's \s is ASCII.
 _SPACE = r"\t-\r\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 #: Pieces that a worker keeps with their ids.
-CACHE = 1 << 18
+CACHE = 1 << 16
 #: Pairs of tokens that a worker keeps, with whether one may follow the other.
-PAIRS = 1 << 20
+PAIRS = 1 << 17
+#: Documents whose pieces are encoded together.
+ROWS = 2000
 
 
 class Vocabulary:
@@ -102,6 +104,7 @@ def extend_last_tokens(vocabulary, data, last, offset=0):
     ``data`` holds the bytes from ``offset`` on; at least the longest token's length before the new ones.
     """
     token_of, follows, sizes = vocabulary.reachable.get, vocabulary.follows, vocabulary.sizes
+    size_of = len(vocabulary.tokens)
     for end in range(len(last) - offset + 1, len(data) + 1):
         for size in sizes.get(data[max(end - 3, 0) : end]) or sizes.get(data[max(end - 2, 0) : end], (1,)):
             start = end - size
@@ -112,12 +115,13 @@ def extend_last_tokens(vocabulary, data, last, offset=0):
                 continue
             if start + offset == 0:
                 break
-            pair = last[start + offset - 1], token
+            before = last[start + offset - 1]
+            pair = before * size_of + token
             fits = follows.get(pair)
             if fits is None:
                 if len(follows) >= PAIRS:
                     follows.clear()
-                fits = follows[pair] = vocabulary.may_follow(*pair)
+                fits = follows[pair] = vocabulary.may_follow(before, token)
             if fits:
                 break
         else:
@@ -212,11 +216,20 @@ def _lists(offsets, values):
     return pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), values)
 
 
+def _parts(batches):
+    """Batches of at most ``ROWS`` rows; memory of the ones before goes back to the system."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def _encoder(shared, pattern, n_kept):
     def run(batches):
         vocabulary, cache = _vocabulary(shared)
         split = regex.compile(pattern)
-        for batch in batches:
+        for batch in _parts(batches):
             pieces, texts = batch.column(n_kept), batch.column(n_kept + 1)
             rows = pieces
             if texts.null_count < len(texts):
@@ -273,7 +286,7 @@ def _decoder(shared, at):
     def run(batches):
         vocabulary, _ = _vocabulary(shared)
         tokens = pa.array(vocabulary.tokens, pa.large_binary())
-        for batch in batches:
+        for batch in _parts(batches):
             ids = batch.column(at)
             offsets = ids.offsets.to_numpy().astype(np.int64)
             values = ids.values.slice(offsets[0], offsets[-1] - offsets[0])

@@ -4,48 +4,36 @@ A word's score is the share of its context's occurrences that it follows, at the
 each shorter order costs a factor. A document is scored by the rest of the corpus: its own occurrences are
 taken off every count, else each of its n-grams would be known.
 
-The counting is a join by hash. Documents are packed into blocks. A block lists its distinct n-grams with
+The counting is a join by hash. Texts are dealt into parts. A part lists its distinct n-grams with
 their counts, which is the aggregation before the shuffle: an n-gram that fills a third of the corpus is one
-entry per block. The lists are cut by ranges of the hash; each range is summed over all blocks
-(the count table of that range) and joined back to the entries it came from. Every block then has the
-corpus counts of its n-grams, and scores and sums per document. Lists travel as compressed arrays, not as a
-row per n-gram, which is what keeps the shuffle small. Words and n-grams are compared by 64-bit hashes.
+entry per part. The lists are cut by ranges of the hash; each range is summed over all parts
+(the count table of that range) and joined back to the entries it came from. Every part then has the
+corpus counts of its n-grams, and scores and sums per document. Orders above two are asked for after
+the order below: an n-gram that occurs elsewhere has parts that do, so all others are known to be unseen.
+Lists travel as compressed arrays, not as a row per n-gram, which is what keeps the shuffle small. Words and
+n-grams are compared by 64-bit hashes.
 
 Defined results: words are runs of anything but ASCII white space. Null, empty and blank texts have no
 words and a null score. Rows are documents: repeated rows score each other. Null ids are kept. A corpus of one
 document scores it as unseen throughout.
 """
 
-import uuid
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import functions as F
 
+from rastro.llm.packing import TEXTS, columns_of, documents_of, pack, pack_texts, unpack
 from rastro.llm.quality import words_of
 from rastro.llm.workers import find_package
-from rastro.session import scratch_path
 
 ORDER = 3
 BACKOFF = 0.4
-#: Words in a block; a longer document is a block of its own.
-BLOCK_WORDS = 1 << 20
-
-_CODEC = "zstd"
-
-
-def pack(values):
-    """Bytes of an integer array: planes of equal bytes, compressed."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T
-    return pa.compress(planes.tobytes(), codec=_CODEC, asbytes=True)
-
-
-def unpack(data, size, dtype):
-    width = np.dtype(dtype).itemsize
-    if not size:
-        return np.empty(0, dtype)
-    planes = np.frombuffer(pa.decompress(data, size * width, codec=_CODEC), np.uint8)
-    return np.ascontiguousarray(planes.reshape(width, size).T).view(dtype).ravel()
+#: Bytes of text in a part.
+PART_BYTES = 6 << 20
 
 
 def _mixed(h):
@@ -67,186 +55,178 @@ def ngrams(words, sizes, order):
     return hashes
 
 
-def _distinct(words, sizes, order):
-    """Sorted distinct n-grams of a block, their counts, and per order the entry at each word (-1: none)."""
-    found = ngrams(words, sizes, order)
-    every = np.concatenate([h[ends] for h, ends in found])
-    distinct, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
-    places, start = [], 0
-    for _, ends in found:
-        place = np.full(len(words), -1, np.int64)
-        n = int(ends.sum())
-        place[ends] = inverse[start : start + n]
-        places.append(place)
-        start += n
-    return distinct, counts, places
-
-
-def _blocks(batches):
-    names = ["block", "ids", "sizes", "dictionary", "n_dictionary", "words"]
-    for batch in batches:
-        ids, lists = batch.column(0), batch.column(1)
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        values = lists.values.to_numpy(zero_copy_only=False)
-        first = 0
-        while first < batch.num_rows:
-            last = int(np.searchsorted(offsets, offsets[first] + BLOCK_WORDS, side="right")) - 1
-            last = min(max(last, first + 1), batch.num_rows)
-            words = values[offsets[first] : offsets[last]].view(np.uint64)
-            sizes = np.diff(offsets[first : last + 1])
-            dictionary, word_ids, counts = np.unique(words, return_inverse=True, return_counts=True)
-            # frequent words get small numbers, which take little room
-            frequent = np.argsort(-counts, kind="stable")
-            dictionary, numbers = dictionary[frequent], np.argsort(frequent)
-            word_ids = numbers[word_ids]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([uuid.uuid4().hex]),
-                    pa.array([ids.slice(first, last - first).to_pylist()], pa.list_(pa.int64())),
-                    pa.array([sizes], pa.list_(pa.int64())),
-                    pa.array([pack(dictionary)], pa.binary()),
-                    pa.array([len(dictionary)], pa.int64()),
-                    pa.array([pack(word_ids.astype(np.uint32))], pa.binary()),
-                ],
-                names,
+def _words(data, offsets):
+    """Hash of every word of the documents, and the number of words of each."""
+    texts = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data))
+    lists = pc.ascii_split_whitespace(texts)
+    coded = lists.values.dictionary_encode()
+    words = coded.dictionary.cast(pa.large_binary()).to_pylist()
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    is_word = np.array([len(w) > 0 for w in words], bool)
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    kept = is_word[codes]
+    upto = np.concatenate([[0], np.cumsum(kept)])[lists.offsets.to_numpy()]
+    return hashes[codes[kept]], np.diff(upto)
+
+
+def stages_of(order):
+    """Orders that are asked for together."""
+    return [tuple(range(1, min(order, 2) + 1)), *((n,) for n in range(3, order + 1))]
+
+
+class Part:
+    """The n-grams of some documents, and in how many places outside its document each occurs."""
+
+    def __init__(self, words, sizes, order):
+        self.words, self.sizes = words, sizes
+        self.rows = np.repeat(np.arange(len(sizes)), sizes)
+        self.grams = ngrams(words, sizes, order)
+        self.others = []
+
+    def ask(self, orders):
+        """Distinct n-grams of ``orders`` that may occur elsewhere, sorted, and their counts."""
+        self.asked = []
+        for n in orders:
+            may = self.grams[n - 1][1]
+            if n > 2:
+                seen = self.others[n - 2] > 0
+                may = may & seen & np.append(False, seen[:-1])
+            self.asked.append(may)
+        hashes = [self.grams[n - 1][0][may] for n, may in zip(orders, self.asked)]
+        distinct, self.places, counts = np.unique(
+            np.concatenate(hashes), return_inverse=True, return_counts=True
+        )
+        self.n_distinct = len(distinct)
+        return distinct, counts
+
+    def hear(self, corpus):
+        """Take in the corpus counts of what was asked for."""
+        corpus, begin = corpus.astype(np.int64), 0
+        for may in self.asked:
+            place = self.places[begin : begin + int(may.sum())]
+            begin += len(place)
+            _, inverse, own = np.unique(
+                self.rows[may] * self.n_distinct + place, return_inverse=True, return_counts=True
             )
-            first = last
-
-
-_BLOCKS = (
-    "block string, ids array<bigint>, sizes array<bigint>, dictionary binary, n_dictionary bigint, words binary"
-)
-
-
-def _words_of_block(row):
-    sizes = np.array(row["sizes"], np.int64)
-    dictionary = unpack(row["dictionary"], row["n_dictionary"], np.uint64)
-    return dictionary[unpack(row["words"], int(sizes.sum()), np.uint32)], sizes
-
-
-def _range_of(hashes, bits):
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
-
-
-def _cuts(distinct, bits):
-    """Borders of the ranges in the sorted hashes."""
-    return np.searchsorted(_range_of(distinct, bits), np.arange((1 << bits) + 1))
-
-
-def _entries(order, bits):
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                distinct, counts, _ = _distinct(*_words_of_block(row), order)
-                cuts = _cuts(distinct, bits)
-                parts = [(r, a, b) for r, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-                for at in range(0, len(parts), 256):
-                    some = parts[at : at + 256]
-                    gaps = [np.diff(distinct[a:b], prepend=np.uint64(0)) for _, a, b in some]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([r for r, _, _ in some], pa.int64()),
-                            pa.array([row["block"]] * len(some)),
-                            pa.array([int(b - a) for _, a, b in some], pa.int64()),
-                            pa.array([pack(g) for g in gaps], pa.binary()),
-                            pa.array([pack(counts[a:b].astype(np.uint32)) for _, a, b in some], pa.binary()),
-                        ],
-                        ["hash_range", "block", "n", "hashes", "counts"],
-                    )
+            rest = np.zeros(len(self.words), np.int64)
+            rest[may] = corpus[place] - own[inverse]
+            self.others.append(rest)
+
+    def scores(self, total, backoff):
+        """Logarithm of each word's stupid-backoff score."""
+        left = (total - self.sizes)[self.rows]  # words of all other documents
+        orders = reduce(np.add, [ends.astype(np.int64) for _, ends in self.grams])
+        score = np.log(backoff) * orders - np.log(left + 1.0)  # never seen elsewhere
+        for n, rest in enumerate(self.others, 1):
+            seen = rest > 0
+            context = left if n == 1 else np.append(0, self.others[n - 2][:-1])
+            score[seen] = np.log(rest[seen] / context[seen]) + np.log(backoff) * (orders[seen] - n)
+        return score
+
+
+_ENTRIES = "hash_range bigint, part bigint, n bigint, hashes binary, counts binary"
+_COUNTS = "part bigint, stage bigint, hash_range bigint, n bigint, counts binary"
+
+
+def _part(texts, replies, order, stage):
+    """A part's documents with the replies to the stages before ``stage``."""
+    ids, data, offsets = documents_of(texts)
+    part = Part(*_words(data, offsets), order)
+    heard = sorted(replies, key=lambda r: (r["stage"], r["hash_range"]))
+    for number, orders in enumerate(stages_of(order)[:stage]):
+        part.ask(orders)
+        counts = [unpack(r["counts"], r["n"], np.uint64) for r in heard if r["stage"] == number]
+        part.hear(np.concatenate([np.empty(0, np.uint64), *counts]))
+    return ids, part
+
+
+def _entries(order, stage, bits):
+    """A part's n-grams of a stage, by range of the hash."""
+
+    def listed(texts, replies):
+        _, part = _part(texts, replies, order, stage)
+        distinct, counts = part.ask(stages_of(order)[stage])
+        ranges = (distinct >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(distinct), np.int64)
+        borders = np.searchsorted(ranges, np.arange((1 << bits) + 1))
+        number = texts.column("part")[0].as_py()
+        found = {"hash_range": [], "part": [], "n": [], "hashes": [], "counts": []}
+        for r, (a, b) in enumerate(zip(borders, borders[1:])):
+            if b > a:
+                gaps = np.diff(distinct[a:b], prepend=np.uint64(0))
+                for name, value in zip(found, (r, number, b - a, pack(gaps), pack(counts[a:b].astype(np.uint32)))):
+                    found[name].append(value)
+        return columns_of(_ENTRIES, found)
+
+    def first(texts):
+        return listed(texts, [])
+
+    def later(texts, replies):
+        return listed(texts, replies.to_pylist())
+
+    return later if stage else first
+
+
+def _summed(stage):
+    """Corpus counts for the entries of one range, as asked for by each part."""
+
+    def run(table):
+        rows = table.to_pylist()
+        hashes = np.concatenate([np.cumsum(unpack(r["hashes"], r["n"], np.uint64)) for r in rows])
+        counts = np.concatenate([unpack(r["counts"], r["n"], np.uint32) for r in rows]).astype(np.float64)
+        _, inverse = np.unique(hashes, return_inverse=True)
+        totals = np.bincount(inverse, counts).astype(np.uint64)[inverse]
+        ends = np.cumsum([r["n"] for r in rows])
+        found = {"stage": [stage] * len(rows)} | {k: [r[k] for r in rows] for k in ("part", "hash_range", "n")}
+        found["counts"] = [pack(totals[e - r["n"] : e]) for e, r in zip(ends, rows)]
+        return columns_of(_COUNTS, found)
 
     return run
 
 
-def _summed(table):
-    """Corpus counts for the entries of one range, as asked for by each block."""
-    rows = table.to_pylist()
-    hashes = np.concatenate([np.cumsum(unpack(r["hashes"], r["n"], np.uint64)) for r in rows])
-    counts = np.concatenate([unpack(r["counts"], r["n"], np.uint32) for r in rows]).astype(np.float64)
-    _, inverse = np.unique(hashes, return_inverse=True)
-    totals = np.bincount(inverse, counts).astype(np.uint64)[inverse]
-    ends = np.cumsum([r["n"] for r in rows])
-    return pa.table(
-        {
-            "block": pa.array([r["block"] for r in rows]),
-            "hash_range": pa.array([r["hash_range"] for r in rows], pa.int64()),
-            "n": pa.array([r["n"] for r in rows], pa.int64()),
-            "counts": pa.array(
-                [pack(totals[e - r["n"] : e]) for e, r in zip(ends, rows)], pa.binary()
-            ),
-        }
-    )
-
-
-def word_scores(words, sizes, counts_of, total, order, backoff):
-    """Logarithm of each word's stupid-backoff score; ``counts_of`` gives counts of the distinct n-grams."""
-    distinct, _, places = _distinct(words, sizes, order)
-    corpus = counts_of(distinct)
-    rows = np.repeat(np.arange(len(sizes)), sizes)
-    others = []
-    for place in places:
-        ends = place >= 0
-        _, inverse, own = np.unique(
-            rows[ends] * len(distinct) + place[ends], return_inverse=True, return_counts=True
-        )
-        rest = np.zeros(len(words), np.int64)
-        rest[ends] = corpus[place[ends]].astype(np.int64) - own[inverse]
-        others.append(rest)
-    left = (total - sizes)[rows]  # words of all other documents
-    orders = np.sum([p >= 0 for p in places], axis=0) if len(words) else np.zeros(0, int)
-    score = np.log(backoff) * orders - np.log(left + 1.0)  # never seen elsewhere
-    for n in range(1, order + 1):
-        seen = others[n - 1] > 0
-        context = left if n == 1 else np.concatenate([[0], others[n - 2][:-1]])
-        score[seen] = (
-            np.log(others[n - 1][seen] / context[seen]) + np.log(backoff) * (orders[seen] - n)
+def _scorer(total, order, backoff, null_id):
+    def run(texts, replies):
+        ids, part = _part(texts, replies.to_pylist(), order, len(stages_of(order)))
+        sizes = part.sizes
+        sums = np.bincount(part.rows, part.scores(total, backoff), len(sizes))
+        return pa.table(
+            {
+                "doc_id": pa.array(ids, pa.int64(), mask=ids == null_id),
+                "n_tokens": pa.array(sizes, pa.int64()),
+                "score": pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0),
+            }
         )
-    return score
 
-
-def _scorer(total, order, backoff):
-    def score(blocks, counts):
-        (row,) = blocks.to_pylist()
-        words, sizes = _words_of_block(row)
-        parts = sorted(counts.select(["hash_range", "n", "counts"]).to_pylist(), key=lambda r: r["hash_range"])
-        corpus = np.concatenate(
-            [np.zeros(0, np.uint64), *(unpack(r["counts"], r["n"], np.uint64) for r in parts)]
-        )
-        scores = word_scores(words, sizes, lambda _: corpus, total, order, backoff)
-        sums = np.bincount(np.repeat(np.arange(len(sizes)), sizes), scores, len(sizes))
-        mean = pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)
-        return pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "n_tokens": pa.array(sizes), "score": mean})
-
-    return score
+    return run
 
 
 def score_documents(docs, doc_id="doc_id", text="text", order=ORDER, backoff=BACKOFF):
     """One row per document: ``n_tokens`` and ``score``, the mean log score of its words.
 
-    Packs the documents into blocks, in the shared folder, when called.
+    Counts the words of the corpus when called. The id 2^63 - 1 is taken for null.
     """
     spark = docs.sparkSession
     find_package(spark)
-    words = words_of(F.coalesce(F.col(text), F.lit("")))
-    hashed = F.transform(words, lambda w: F.xxhash64(w))
-    folder = scratch_path(spark, "lm-blocks")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), hashed.alias("words"))
-    rows.mapInArrow(_blocks, _BLOCKS).write.parquet(folder)
-    blocks = spark.read.parquet(folder)
-    n_blocks, total = blocks.agg(
-        F.count("*"), F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda t, n: t + n)), F.lit(0))
+    null_id = int(np.iinfo(np.int64).max)
+    whole = F.coalesce(F.col(text), F.lit(""))
+    ids = F.coalesce(F.col(doc_id).cast("long"), F.lit(null_id))
+    rows = docs.select(F.xxhash64(ids, whole).alias("row"), ids.alias("id"), whole.cast("binary").alias("data"))
+    n_bytes, total = docs.agg(
+        F.coalesce(F.sum(F.octet_length(whole)), F.lit(0)),
+        F.coalesce(F.sum(F.size(words_of(whole)).cast("long")), F.lit(0)),
     ).first()
-    # as many ranges as blocks, so a range holds about as many entries as a block
-    bits = max(int(n_blocks) - 1, 0).bit_length()
-    entries = blocks.mapInArrow(
-        _entries(order, bits), "hash_range bigint, block string, n bigint, hashes binary, counts binary"
-    )
-    counts = entries.groupBy("hash_range").applyInArrow(
-        _summed, "block string, hash_range bigint, n bigint, counts binary"
-    )
-    return (
-        blocks.groupBy("block")
-        .cogroup(counts.groupBy("block"))
-        .applyInArrow(_scorer(total, order, backoff), "doc_id bigint, n_tokens bigint, score double")
+    n_parts = int(n_bytes) // PART_BYTES + 1
+    # as many ranges as parts, so a range holds about as many entries as a part
+    bits = (n_parts - 1).bit_length()
+    # the shuffle by part is made once; every stage reads it
+    texts = rows.mapInArrow(pack_texts(n_parts), TEXTS).groupBy("part")
+    replies = None
+    for stage in range(len(stages_of(order))):
+        asked = texts if replies is None else texts.cogroup(replies.groupBy("part"))
+        entries = asked.applyInArrow(_entries(order, stage, bits), _ENTRIES)
+        counts = entries.groupBy("hash_range").applyInArrow(_summed(stage), _COUNTS)
+        replies = counts if replies is None else replies.unionByName(counts)
+    return texts.cogroup(replies.groupBy("part")).applyInArrow(
+        _scorer(total, order, backoff, null_id), "doc_id bigint, n_tokens bigint, score double"
     )
 
 

@@ -32,7 +32,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from rastro.llm.lm import pack, unpack
+from rastro.llm.packing import (
+    TEXTS,
+    batch_texts,
+    columns_of,
+    compressed,
+    cuts,
+    decompressed,
+    documents_of,
+    pack,
+    pack_texts,
+    unpack,
+)
 from rastro.llm.workers import find_package
 
 LENGTH = 50
@@ -267,7 +278,6 @@ def removed_in_bucket(key, ids, sizes, stretches):
 
 # --- moving the runs ------------------------------------------------------------------------
 
-_TEXTS = "part bigint, n bigint, rows binary, ids binary, sizes binary, size bigint, data binary"
 _ANCHORS = "bucket bigint, part bigint, n bigint, keys binary, runs binary"
 _SHARED = "part bigint, n bigint, runs binary"
 _RUNS = (
@@ -278,70 +288,6 @@ _REMOVED = "part bigint, n bigint, rows binary, at binary, sizes binary"
 _CLEANED = "doc_id bigint, n_bytes bigint, kept binary, removed array<struct<start:bigint,stop:bigint>>"
 
 
-def _batch_texts(batch, column):
-    values = batch.column(column).cast(pa.large_binary())
-    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
-    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)
-    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
-def _numbers(batch, column):
-    return batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
-
-
-def _compressed(data):
-    return pa.compress(data, codec="zstd", asbytes=True) if len(data) else b""
-
-
-def _decompressed(data, size):
-    return pa.decompress(data, size, codec="zstd", asbytes=True) if size else b""
-
-
-def _pack_texts(n_parts):
-    """Texts by part, compressed together."""
-
-    def run(batches):
-        for batch in batches:
-            rows, ids = _numbers(batch, 0), _numbers(batch, 1)
-            data, offsets = _batch_texts(batch, 2)
-            part = rows % n_parts
-            order = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1]))
-            for a, b in zip(cuts, np.append(cuts[1:], len(order))):
-                own = order[a:b]
-                joined = b"".join(data[offsets[i] : offsets[i + 1]].tobytes() for i in own)
-                arrays = (rows[own], ids[own], np.diff(offsets)[own])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([part[own[0]]], pa.int64()),
-                        pa.array([len(own)], pa.int64()),
-                        *(pa.array([pack(x)], pa.binary()) for x in arrays),
-                        pa.array([len(joined)], pa.int64()),
-                        pa.array([_compressed(joined)], pa.binary()),
-                    ],
-                    ["part", "n", "rows", "ids", "sizes", "size", "data"],
-                )
-
-    return run
-
-
-def _documents(table):
-    """Ids, bytes and places of the documents of a part, in an order that only they decide."""
-    rows, ids, texts = [], [], []
-    for p in table.to_pylist():
-        data = _decompressed(p["data"], p["size"])
-        sizes = unpack(p["sizes"], p["n"], np.int64)
-        ends = np.cumsum(sizes)
-        texts += [data[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
-        rows.append(unpack(p["rows"], p["n"], np.int64))
-        ids.append(unpack(p["ids"], p["n"], np.int64))
-    rows, ids = np.concatenate(rows), np.concatenate(ids)
-    order = np.lexsort((ids, rows))
-    texts = [texts[i] for i in order.tolist()]
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    return ids[order], np.frombuffer(b"".join(texts), np.uint8), offsets
-
-
 def _groups_of_texts(offsets):
     """Consecutive documents of about ``CHUNK`` bytes together; places must fit into 24 bits."""
     first = 0
@@ -382,19 +328,6 @@ def _is_hot(key, hot):
     return known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
 
 
-def _table(schema, columns):
-    types = {"bigint": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary()}
-    fields = [field.split() for field in schema.split(", ")]
-    arrays = [pa.array(columns.get(name, []), types[kind]) for name, kind in fields]
-    return pa.table(arrays, names=[name for name, _ in fields])
-
-
-def _cuts(numbers):
-    """Begin and end of the stretches of equal neighbours."""
-    begins = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])) if len(numbers) else []
-    return zip(begins, np.append(begins[1:], len(numbers)))
-
-
 #: Bits of an anchor that are compared to find out which occur twice; equal bits of others do no harm.
 _SEEN_BITS = np.uint64(16)
 
@@ -403,7 +336,7 @@ def _send_anchors(n_buckets, hot):
     """Of every run the anchor and the run's number in its part."""
 
     def run(table):
-        _, data, offsets = _documents(table)
+        _, data, offsets = documents_of(table)
         part = table.column("part")[0].as_py()
         _, _, _, key = _all_runs(data, offsets)
         runs = np.flatnonzero(~_is_hot(key, hot))
@@ -412,11 +345,11 @@ def _send_anchors(n_buckets, hot):
         order = np.lexsort((seen, bucket))
         runs, bucket, seen = runs[order], bucket[order], seen[order]
         found = {"bucket": [], "part": [], "n": [], "keys": [], "runs": []}
-        for a, b in _cuts(bucket):
+        for a, b in cuts(bucket):
             gaps = np.diff(seen[a:b], prepend=np.uint64(0))
             for name, value in zip(found, (bucket[a], part, b - a, pack(gaps), pack(runs[a:b].astype(np.uint32)))):
                 found[name].append(value)
-        return _table(_ANCHORS, found)
+        return columns_of(_ANCHORS, found)
 
     return run
 
@@ -435,14 +368,14 @@ def _find_shared(table):
         begin += p["n"]
         for name, value in zip(found, (p["part"], len(runs), pack(np.diff(runs, prepend=np.uint32(0))))):
             found[name].append(value)
-    return _table(_SHARED, found)
+    return columns_of(_SHARED, found)
 
 
 def _send_runs(n_buckets, hot):
     """The runs of shared anchors, with their bytes, to the bucket of their anchor."""
 
     def run(texts, shared):
-        ids, data, offsets = _documents(texts)
+        ids, data, offsets = documents_of(texts)
         part = texts.column("part")[0].as_py()
         doc, at, sizes, key = _all_runs(data, offsets)
         is_hot = _is_hot(key, hot)
@@ -465,7 +398,7 @@ def _send_runs(n_buckets, hot):
             bytes_ = stretches.tobytes()
             values = (
                 bucket, part, known, len(rows), pack(rows), pack(ids[doc[own]]), pack(place), pack(size),
-                pack(np.diff(key[own], prepend=np.uint64(0))), len(bytes_), _compressed(bytes_),
+                pack(np.diff(key[own], prepend=np.uint64(0))), len(bytes_), compressed(bytes_),
             )
             for name, value in zip(found, values):
                 found[name].append(value)
@@ -481,9 +414,9 @@ def _send_runs(n_buckets, hot):
         bucket = (_mixed(key) % np.uint64(n_buckets)).astype(np.int64)
         kept = np.flatnonzero(~later)
         kept = kept[np.lexsort((key[kept], bucket[kept]))]
-        for a, b in _cuts(bucket[kept]):
+        for a, b in cuts(bucket[kept]):
             add(bucket[kept[a]], False, kept[a:b], stretches[kept[a:b]])
-        return _table(_RUNS, found)
+        return columns_of(_RUNS, found)
 
     return run
 
@@ -507,7 +440,7 @@ def _sort_bucket(table):
     def whole(name, parts):
         return np.concatenate([empty, *(unpack(p[name], p["n"], np.int64) for p in parts)])
 
-    stretches = [np.frombuffer(_decompressed(p["stretches"], p["size"]), np.uint8) for p in parts]
+    stretches = [np.frombuffer(decompressed(p["stretches"], p["size"]), np.uint8) for p in parts]
     stretches = np.concatenate([np.empty(0, np.uint8), *stretches]).reshape(-1, STRETCH)
     keys = [np.cumsum(unpack(p["keys"], p["n"], np.uint64)) for p in parts]
     keys = np.concatenate([np.empty(0, np.uint64), *keys])
@@ -522,13 +455,13 @@ def _sort_bucket(table):
             found[name].append(value)
 
     order = np.argsort(part, kind="stable")
-    for a, b in _cuts(part[order]):
+    for a, b in cuts(part[order]):
         own = order[a:b]
         add(part[own[0]], _joined(rows[own], at[own], strings[own]))
     for p in every:
         if p["known"]:
             add(p["part"], [unpack(p[name], p["n"], np.int64) for name in ("rows", "at", "sizes")])
-    return _table(_REMOVED, found)
+    return columns_of(_REMOVED, found)
 
 
 def _without(data, spans):
@@ -550,7 +483,7 @@ def _clean(texts, removed):
     rows, at, sizes = whole("rows"), whole("at"), whole("sizes")
     order = np.lexsort((at, rows))
     rows, at, stops = rows[order], at[order], (at + sizes + LENGTH - 1)[order]
-    ids, data, offsets = _documents(texts)
+    ids, data, offsets = documents_of(texts)
     borders = np.searchsorted(rows, np.arange(len(ids) + 1))
     found = [[], [], [], []]
     for i, doc_id in enumerate(ids.tolist()):
@@ -576,7 +509,7 @@ def _hot_anchors(sample):
 
     def anchors(batches):
         for batch in batches:
-            data, offsets = _batch_texts(batch, 0)
+            data, offsets = batch_texts(batch, 0)
             doc, _, _, key = _all_runs(data, offsets)
             pairs = np.unique(np.stack([doc.astype(np.uint64), key], axis=1), axis=0)
             keys, counts = np.unique(pairs[:, 1], return_counts=True)
@@ -606,7 +539,7 @@ def remove_repeats(docs, doc_id="doc_id", text="text"):
     sample = rows.where(F.pmod("row", F.lit(every)) == 0).select("data")
     hot = spark.sparkContext.broadcast(_hot_anchors(sample).tobytes())
     # the shuffle by part is made once; all three steps that need texts read it
-    texts = rows.mapInArrow(_pack_texts(n_parts), _TEXTS).groupBy("part")
+    texts = rows.mapInArrow(pack_texts(n_parts), TEXTS).groupBy("part")
     anchors = texts.applyInArrow(_send_anchors(n_buckets, hot), _ANCHORS)
     shared = anchors.groupBy("bucket").applyInArrow(_find_shared, _SHARED)
     runs = texts.cogroup(shared.groupBy("part")).applyInArrow(_send_runs(n_buckets, hot), _RUNS)

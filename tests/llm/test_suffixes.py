@@ -87,10 +87,10 @@ def test_settings_do_not_change_results(make_docs, monkeypatch, setting):
         for number in table.column(name).unique().to_pylist():
             yield number, table.filter(pa.compute.equal(table.column(name), number))
 
-    texts = dict(grouped(pa.Table.from_batches(list(suffixes._pack_texts(4)([batch]))), "part"))
+    texts = dict(grouped(pa.Table.from_batches(list(suffixes.pack_texts(4)([batch]))), "part"))
     anchors = pa.concat_tables([suffixes._send_anchors(3, Shared)(t) for t in texts.values()])
     shared = [suffixes._find_shared(t) for _, t in grouped(anchors, "bucket")]
-    shared = pa.concat_tables([suffixes._table(suffixes._SHARED, {}), *shared])
+    shared = pa.concat_tables([suffixes.columns_of(suffixes._SHARED, {}), *shared])
     runs = []
     for part, t in texts.items():
         own = shared.filter(pa.compute.equal(shared.column("part"), part))
