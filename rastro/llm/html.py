@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from rastro.llm.workers import find_package
 
 GROUP_PAGES = 128
+#: The pages per host are broadcast if there are no more hosts than this: a name and a number each.
+BROADCAST_HOSTS = 500_000
 REPEAT = 8
 
 _TOKEN = re.compile(
@@ -216,8 +218,13 @@ def extract_main_text(pages, html="html", url="url", keys=("page_id", "url")):
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(*keys, F.col(html).alias("_html"), host.alias("_host"))
     sizes = rows.groupBy("_host").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("_groups"))
+    few = sizes.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
     salt = F.pmod(F.xxhash64(*keys), F.col("_groups"))
-    grouped = rows.join(sizes, "_host").withColumn("_salt", salt).drop("_groups")
+    grouped = rows.join(F.broadcast(sizes) if few else sizes, "_host")
+    grouped = grouped.withColumn("_salt", salt).drop("_groups")
+    if not few:
+        # a join by host leaves a host in one place; its groups must leave it
+        grouped = grouped.repartition("_host", "_salt")
     schema = pages.select(*keys).withColumns(
         {"text": F.lit(""), "n_repeated": F.lit(0).cast("long")}
     ).schema

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from rastro.llm import html
 
@@ -72,7 +73,9 @@ def test_rows(spark):
     assert html.page_report(spark.createDataFrame([], schema)).count() == 0
 
 
-def test_large_hosts_are_split(spark):
+@pytest.mark.parametrize("broadcast_hosts", [0, 500_000])
+def test_large_hosts_are_split(spark, monkeypatch, broadcast_hosts):
+    monkeypatch.setattr(html, "BROADCAST_HOSTS", broadcast_hosts)
     rows = [(i, f"http://h/{i}", f"<body><p>page number {i} of many</p><div>one two three four five six seven eight nine</div>") for i in range(1000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     texts = {r.page_id: r.text for r in html.page_report(pages).collect()}
