@@ -52,9 +52,9 @@ SHALLOW = 16
 #: Bytes of a run at most: all its strings hold one anchor.
 STRETCH = 2 * LENGTH - GRAM
 #: Bytes of text that are hashed at once.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Bytes of text per bucket of suffixes, and per part of texts.
-BUCKET_BYTES, PART_BYTES = 16 << 20, 8 << 20
+BUCKET_BYTES, PART_BYTES = 16 << 20, 4 << 20
 #: An anchor is hot if it occurs in this share of a sample of about so many documents; so the number of hot
 #: anchors is at most 1 / share times the anchors of a document.
 HOT_SHARE = 0.01
@@ -382,15 +382,22 @@ def _send_runs(n_buckets, hot):
         chosen = np.zeros(len(key), bool)
         for p in shared.to_pylist():
             chosen[np.cumsum(unpack(p["runs"], p["n"], np.uint32))] = True
-        chosen &= ~is_hot
+        chosen |= is_hot
+        doc, at, sizes, key, is_hot = (x[chosen] for x in (doc, at, sizes, key, is_hot))
+        later = _has_copy_before(data, ids, doc, at, sizes)
+        gone = [(doc[later], at[later], sizes[later])]
+        doc, at, sizes, key, is_hot = (x[~later] for x in (doc, at, sizes, key, is_hot))
         # strings of hot anchors go by themselves, dealt by all their bytes
         n = sizes[is_hot]
         alone = np.repeat(at[is_hot], n) + _ranges(n)
         ones = np.ones(len(alone), np.int64)
         alone_doc = np.repeat(doc[is_hot], n)
+        later = _has_copy_before(data, ids, alone_doc, alone, ones)
+        gone.append((alone_doc[later], alone[later], ones[later]))
+        alone, alone_doc, ones = alone[~later], alone_doc[~later], ones[~later]
         alone_key = _fingerprints(_stretches(data, alone, ones), ones)
-        doc, at = np.concatenate([doc[chosen], alone_doc]), np.concatenate([at[chosen], alone])
-        sizes, key = np.concatenate([sizes[chosen], ones]), np.concatenate([key[chosen], alone_key])
+        doc, at = np.concatenate([doc[~is_hot], alone_doc]), np.concatenate([at[~is_hot], alone])
+        sizes, key = np.concatenate([sizes[~is_hot], ones]), np.concatenate([key[~is_hot], alone_key])
         found = {name: [] for name in (f.split()[0] for f in _RUNS.split(", "))}
 
         def add(bucket, known, own, stretches, joined=None):
@@ -403,24 +410,28 @@ def _send_runs(n_buckets, hot):
             for name, value in zip(found, values):
                 found[name].append(value)
 
-        stretches = _stretches(data, at, sizes)
-        group = _equal_runs(stretches, sizes)
-        later = ids[doc] > _least_of(group, ids[doc])[group]
         # what has a copy with a smaller id right here goes, and need not be compared with anything
-        gone = np.flatnonzero(later)
-        if len(gone):
-            joined = _joined(doc[gone], at[gone] - offsets[doc[gone]], sizes[gone])
-            add(part % n_buckets, True, gone[:0], stretches[:0], joined)
+        gone_doc, gone_at, gone_sizes = (np.concatenate(x) for x in zip(*gone))
+        if len(gone_doc):
+            joined = _joined(gone_doc, gone_at - offsets[gone_doc], gone_sizes)
+            add(part % n_buckets, True, gone_doc[:0], np.empty(0, np.uint8), joined)
         bucket = (_mixed(key) % np.uint64(n_buckets)).astype(np.int64)
-        kept = np.flatnonzero(~later)
-        kept = kept[np.lexsort((key[kept], bucket[kept]))]
+        kept = np.lexsort((key, bucket))
         for a, b in cuts(bucket[kept]):
-            add(bucket[kept[a]], False, kept[a:b], stretches[kept[a:b]])
+            own = kept[a:b]
+            add(bucket[own[0]], False, own, _stretches(data, at[own], sizes[own]))
+        pa.default_memory_pool().release_unused()
         return columns_of(_RUNS, found)
 
     return run
 
 
+def _has_copy_before(data, ids, doc, at, sizes):
+    """Runs that a document of the same part with a smaller id has too."""
+    group = _equal_runs(_stretches(data, at, sizes), sizes)
+    return ids[doc] > _least_of(group, ids[doc])[group]
+
+
 def _joined(rows, at, sizes):
     """Runs of strings that follow each other in one document as one."""
     order = np.lexsort((at, rows))
