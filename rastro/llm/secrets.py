@@ -32,11 +32,12 @@ ASSIGN_LONG = rf"{_KEY}{_SIGN}[A-Za-z0-9+/_.=-]{{8}}"
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 
-#: Strings of this many characters that hold a letter and a digit are candidates of the entropy scan.
+#: Strings of this many characters that hold a letter and a digit are candidates of the entropy scan, after
+#: '=' too; '=' belongs to a candidate only as padding, not as the sign between a name and a value.
 WINDOW = 20
 CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])"
-    rf"[A-Za-z0-9+/_-]{{{WINDOW},}}={{0,2}}"
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])"
+    rf"[A-Za-z0-9+/_-]{{{WINDOW},}}+(?:={{1,2}}+(?![A-Za-z0-9+/_=-]))?"
 )
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 #: (class, pattern, bits per character that a window must reach); the first class that fits counts.
@@ -45,12 +46,13 @@ CLASSES = (
     ("alphanumeric", "^[A-Za-z0-9]+$", 3.7),
     ("base64", "^.*$", 3.85),
 )
-#: Allow-list: strings that look random and are no secrets.
+#: Allow-list: strings that look random and are no secrets. Lower-case strings in parts are let through if every part is
+#: letters or digits, or a word with a short number (python3, 64bit); a key behind a prefix has a part that is neither.
 ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|changeme|x{6,}",
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"(?i)0123456789|123456789|abcdefghij",
-    r"^[a-z]+([_/+-][a-z0-9]+)+$",
+    r"^[a-z]+[0-9]{0,4}([_/+-]([a-z]+[0-9]{0,4}|[0-9]+[a-z]{0,3}))+$",
     r"(.)\1{7}",
 )
 
