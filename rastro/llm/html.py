@@ -7,7 +7,7 @@ its boilerplate. Outside an article element, covered tokens go and unique runs s
 By itself the repetition cannot tell an article that was published twice from a notice, nor a menu with links
 of its own from text. So markup comes first: an article (or main) element is the text; menus,
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments never are, wherever they
-stand. Repetition decides on the pages, and the parts of pages, that markup says nothing about.
+stand. An article in a wrapper that only its class or id calls one of these opens a scope of its own. Repetition decides on the pages, and the parts of pages, that markup says nothing about.
 
 Pages are grouped by host, and a host with many pages into groups of about ``GROUP_PAGES``: any of them shows the
 template. So no task holds a whole large host. Each page is one result row.
@@ -52,37 +52,60 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
 )
-#: Class, id or role names of menus, notices, adverts, sidebars, forms and comments.
-_CHROME_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|sidebar"
-    r"|comments?|disqus|respond|share|sharing|social|related|newsletter|subscribe|signup|breadcrumbs?|menu|nav\w*"
-    r"|footer|popup|modal|widgets?|pagination|pager|toolbar|login|search|complementary|contentinfo)(?=$|[\s_-])",
-    re.I,
+#: Class, id or role names of menus, notices, adverts, sidebars, forms and comments: a name as a whole or its first part,
+#: also behind a word for the place. Other parts say nothing: has-sidebar and with-menu are wrappers of the article.
+_PLACE = r"(?:^|\s)(?:(?:site|main|top|bottom|left|right|global|primary|secondary|mobile)[_-])?"
+_TELLING = (
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|gdpr|sidebar|comments?|disqus|share|sharing|newsletter|subscribe"
+    r"|signup|breadcrumbs?|nav|navbar|navigation|footer|popup|modal|widgets?|pagination|pager"
 )
-_HEADER_NAME = re.compile(r"(?:^|[\s_-])(?:header|masthead)(?=$|[\s_-])", re.I)
+#: Names that a section of an article can have as its first part.
+_LOOSE = r"banner|consent|notices?|respond|social|related|menu|toolbar|login|search|complementary|contentinfo"
+_CHROME_NAME = re.compile(rf"{_PLACE}(?:{_TELLING}|{_LOOSE}|alert|nav\w*)(?=$|[\s_-])", re.I)
+_CHROME_IN_MAIN = re.compile(
+    rf"{_PLACE}(?:{_TELLING}|(?:{_LOOSE})(?=$|\s)|related[_-](?:posts?|articles?|links?|stories|content|news))(?=$|[\s_-])", re.I
+)
+_HEADER_NAME = re.compile(rf"{_PLACE}(?:header|masthead)(?=$|[\s_-])", re.I)
 
 
 def _kind(name, attributes, in_main):
-    """'main', 'chrome' or '' for an element that opens."""
+    """'main', 'chrome' by its element, 'named' as chrome by class, id or role only, or '' for an element that opens."""
     if name in MAIN:
         return "main"
     if name in CHROME or (name == "header" and not in_main):
         return "chrome"
     names = " ".join(a or b or c for _, a, b, c in _ATTRIBUTE.findall(attributes)) if "=" in attributes else ""
-    if names and (_CHROME_NAME.search(names) or (not in_main and _HEADER_NAME.search(names))):
-        return "chrome"
-    return ""
+    if not names:
+        return ""
+    if in_main:
+        return "named" if _CHROME_IN_MAIN.search(names) else ""
+    return "named" if _CHROME_NAME.search(names) or _HEADER_NAME.search(names) else ""
+
+
+def _inside(scope, kind):
+    """Scope (in chrome, in chrome by name, main) within an element of ``kind`` that opens in ``scope``.
+
+    ``main`` is 0, 1, or 2 in a main element that stands in chrome by name only; that opens a scope of its own.
+    """
+    chrome, named, main = scope
+    if kind == "chrome":
+        return True, named, main
+    if kind == "named":
+        return chrome, True, main
+    if kind == "main" and not chrome and not main:
+        return False, False, 2 if named else 1
+    return scope
 
 
 def parse(html):
     """Tokens of a page and its blocks.
 
-    Returns the tags and words in order, and for each block outside chrome: whether it is in a main element, its
-    words, and the place of each word among the tokens.
+    Returns the tags and words in order, and for each block outside chrome: 1 if it is in a main element, 2 if that
+    stands in chrome by name, else 0; its words, and the place of each word among the tokens.
     """
     tokens, blocks, stack = [], [], []
     words, places = [], []
-    n_main = n_chrome = 0
+    scope = (False, False, 0)
     glued = False  # the next word continues the last one
 
     def flush(main):
@@ -97,11 +120,11 @@ def parse(html):
             text = match[0]
             if raw is not None or text.startswith(("<!", "<?")):
                 if raw is not None and raw.lower() == "title":
-                    flush(n_main > 0)
+                    flush(scope[2])
                 continue
             text = unescape(text)
             found = text.split()
-            if n_chrome:
+            if scope[0] or scope[1]:
                 tokens += found
                 continue
             if found and glued and words and not text[0].isspace():
@@ -117,26 +140,22 @@ def parse(html):
         name = name.lower()
         tokens.append(f"<{closing}{name}>")
         if name not in INLINE:
-            flush(n_main > 0)
+            flush(scope[2])
             glued = False
         if name not in CONTAINERS:
             continue
         if not closing:
             if name == "p":
                 continue
-            kind = _kind(name, match[4], n_main > 0)
             if not match[4].rstrip().endswith("/"):
-                stack.append((name, kind))
-                n_main += kind == "main"
-                n_chrome += kind == "chrome"
+                stack.append((name, scope))
+                scope = _inside(scope, _kind(name, match[4], scope[2] > 0))
         elif any(open_name == name for open_name, _ in stack):
             while True:
-                open_name, kind = stack.pop()
-                n_main -= kind == "main"
-                n_chrome -= kind == "chrome"
+                open_name, scope = stack.pop()
                 if open_name == name:
                     break
-    flush(n_main > 0)
+    flush(scope[2])
     return tokens, blocks
 
 
@@ -197,10 +216,12 @@ def main_texts(pages):
     for html, (_, blocks) in zip(pages, parsed):
         template = covered[distinct[html]]
         repeated.append(int(template.sum()))
-        marked = any(main for main, _, _ in blocks)
+        size = [sum(len(words) for main, words, _ in blocks if main == level) for level in (0, 1, 2)]
+        # an article in a wrapper named like chrome counts unless the page has another, or more text elsewhere
+        marked = 1 if size[1] else 2 if size[2] > size[0] else None
         kept = []
         for main, words, places in blocks:
-            kept.append(words if main else [] if marked else _unique_runs(words, template[places]))
+            kept.append(words if main == marked else [] if marked else _unique_runs(words, template[places]))
         texts.append("\n".join(" ".join(words) for words in kept if words))
     return texts, repeated
 

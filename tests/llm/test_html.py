@@ -38,6 +38,22 @@ def test_markup():
     assert text_of(page) == "A & B\nOne twothree.\nCafé <x> 1 < 2\nfirst\nsecond\nLast"
 
 
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-sidebar", "with-menu", "page-widget", "sidebar-right", "social", "menu"])
+def test_wrappers_named_like_chrome(name):
+    article = """<article><p>The text.</p><section class="related-work"><p>Work.</p></section><div class="alert">Mind it.</div>
+      <div id="comments"><article>Nice!</article></div><div class="ad">Buy</div></article>"""
+    page = f"""<div id="top">Up</div><div class="{name}"><nav>Home</nav>{article}<div class="sidebar">More</div></div>"""
+    assert text_of(page) == "The text.\nWork.\nMind it."
+    assert text_of(f"<main>Own</main><div class='{name}'><aside>{article}</aside></div>") == "Own"
+
+
+def test_cards_in_chrome_are_no_article():
+    cards = '<div class="related-posts"><article>Read this too</article></div>'
+    assert text_of(f"<article>The text.</article>{cards}") == "The text."
+    assert "The longer text of the page." in text_of(f"<div>The longer text of the page.</div>{cards}")
+    assert text_of("<div class='has-sidebar'>The text.<div class='site-footer'>(c)</div></div>") == "The text."
+
+
 def test_broken_pages():
     assert text_of("") == ""
     assert text_of("just text\nin  a line") == "just text in a line"
