@@ -9,26 +9,32 @@ of its own from text. So markup comes first: an article (or main) element is the
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments never are, wherever they
 stand. An article in a wrapper that only its class or id calls one of these opens a scope of its own. Repetition decides on the pages, and the parts of pages, that markup says nothing about.
 
-Pages are grouped by host, and a host with many pages into groups of about ``GROUP_PAGES``: any of them shows the
-template. So no task holds a whole large host. Each page is one result row.
+Pages are grouped by host, and a host with many pages into groups of about ``GROUP_PAGES``, so no task holds a whole
+large host. Groups of one host list the 64-bit hashes of their token runs by ranges of the hash; a range tells each group which
+of its runs another page has. Short hashes go first, so that most runs, which no other group has, need no full one.
+Each page is one result row, and its text does not depend on the groups.
 
 Defined results: null or empty html has empty text, a null url is a host of its own. Repeated rows give a row
 each; they count as one page where repetition is looked for. Unclosed elements end with the page.
 """
 
 import re
+from hashlib import blake2b
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from rastro.llm.packing import cuts, pack, unpack
 from rastro.llm.workers import find_package
 
 GROUP_PAGES = 128
 #: The pages per host are broadcast if there are no more hosts than this: a name and a number each.
 BROADCAST_HOSTS = 500_000
 REPEAT = 8
+#: Runs of a host with several groups are dealt by their hash to a range for every so many groups.
+RANGE_GROUPS = 8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -159,8 +165,28 @@ def parse(html):
     return tokens, blocks
 
 
-def repeated_tokens(streams, width=REPEAT):
-    """For each stream, which tokens lie in a run of ``width`` tokens that another stream has too."""
+def run_hashes(streams, width=REPEAT):
+    """Where a run of ``width`` tokens begins in the row of all streams, its stream, and its 64-bit hash."""
+    numbers = {}
+    for token in set().union(*streams):
+        numbers[token] = int.from_bytes(blake2b(token.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    sizes = np.array([len(s) for s in streams], np.int64)
+    flat = np.array([numbers[t] for s in streams for t in s], np.uint64)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(flat))
+    whole = np.flatnonzero(left >= width)
+    hashes = np.zeros(len(whole), np.uint64)
+    for k in range(width):
+        hashes = (hashes ^ flat[whole + k]) * np.uint64(0x9E3779B97F4A7C15)
+        hashes ^= hashes >> np.uint64(29)
+    hashes *= np.uint64(0xBF58476D1CE4E5B9)
+    return whole, np.repeat(np.arange(len(streams)), sizes)[whole], hashes ^ (hashes >> np.uint64(32))
+
+
+def repeated_tokens(streams, width=REPEAT, elsewhere=None):
+    """For each stream, which tokens lie in a run of ``width`` tokens that another stream has too.
+
+    ``elsewhere`` has hashes of runs that streams of other groups have.
+    """
     numbers = {}
     sizes = np.array([len(s) for s in streams], np.int64)
     pages = np.repeat(np.arange(len(streams)), sizes)
@@ -182,6 +208,9 @@ def repeated_tokens(streams, width=REPEAT):
     np.minimum.at(low, rank[whole], pages[whole])
     np.maximum.at(high, rank[whole], pages[whole])
     starts = whole[(low < high)[rank[whole]]]
+    if elsewhere is not None and len(elsewhere):
+        places, _, hashes = run_hashes(streams, width)
+        starts = np.union1d(starts, places[np.isin(hashes, elsewhere)])
     edges = np.zeros(len(rank) + 1, np.int64)
     np.add.at(edges, starts, 1)
     np.add.at(edges, starts + width, -1)
@@ -199,9 +228,11 @@ def _unique_runs(words, covered):
     return kept
 
 
-def main_texts(pages):
+def main_texts(pages, elsewhere=None):
     """Main text of each html of one group of a host, and how many of its tokens are boilerplate.
 
+    ``elsewhere`` has the hashes of runs that pages of the host's other groups have too.
+
     The runs that no other page has are the text, but for two checks by markup: in pages with a main
     element, its blocks are whole and others go; and chrome goes in all.
     """
@@ -211,7 +242,7 @@ def main_texts(pages):
     for i, html in enumerate(pages):
         distinct.setdefault(html, i)
     firsts = list(distinct.values())
-    covered = dict(zip(firsts, repeated_tokens([parsed[i][0] for i in firsts])))
+    covered = dict(zip(firsts, repeated_tokens([parsed[i][0] for i in firsts], elsewhere=elsewhere)))
     texts, repeated = [], []
     for html, (_, blocks) in zip(pages, parsed):
         template = covered[distinct[html]]
@@ -226,9 +257,82 @@ def main_texts(pages):
     return texts, repeated
 
 
-def _extract(table):
-    texts, repeated = main_texts([h or "" for h in table.column("_html").to_pylist()])
-    kept = table.drop_columns(["_html", "_host", "_salt"])
+_RUNS = "_host string, _salt bigint, _range bigint, stage int, n bigint, runs binary, low binary, high binary"
+_REPLIES = "_host string, _salt bigint, stage int, n bigint, runs binary"
+
+
+def _table(schema, rows):
+    types = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = pa.schema([(name, types[kind]) for name, kind in (f.split() for f in schema.split(", "))])
+    return pa.Table.from_pylist([dict(zip(fields.names, row)) for row in rows], fields)
+
+
+def _packed(runs):
+    """Bytes of increasing hashes, by their differences."""
+    return pack(np.diff(runs, prepend=np.uint64(0)))
+
+
+def _unpacked(rows):
+    """The hashes of rows with ``n`` and ``runs``, joined."""
+    found = [np.cumsum(unpack(r["runs"], r["n"], np.uint64), dtype=np.uint64) for r in rows]
+    return np.concatenate([np.empty(0, np.uint64), *found])
+
+
+def _extremes(runs, low, high):
+    """The distinct runs in order, with the least of ``low`` and the greatest of ``high``."""
+    order = np.argsort(runs, kind="stable")
+    begins = np.array([a for a, _ in cuts(runs[order])], np.int64)
+    if not len(begins):
+        return runs, low, high
+    return runs[order][begins], np.minimum.reduceat(low[order], begins), np.maximum.reduceat(high[order], begins)
+
+
+def _list_runs(stage):
+    """The runs of a group for the ranges of its host: first by short hashes, then in full where another group has the short one."""
+
+    def run(pages, replies=None):
+        groups = pages.column("_groups")[0].as_py() if len(pages) else 1
+        if groups <= 1:
+            return _table(_RUNS, [])
+        host, salt = pages.column("_host")[0].as_py(), pages.column("_salt")[0].as_py()
+        htmls = list(dict.fromkeys(h or "" for h in pages.column("_html").to_pylist()))
+        _, page, hashes = run_hashes([parse(html)[0] for html in htmls])
+        # about 2^16 runs a group: a run meets another's short hash by chance in less than 1 of 100 cases
+        short = hashes >> np.uint64(max(64 - 23 - (groups - 1).bit_length(), 0))
+        if stage == 0:
+            runs, low, high = _extremes(short, page, page)
+            low, high = np.full(len(runs), 2 * salt), 2 * salt + (low < high)
+        else:
+            asked = np.isin(short, _unpacked(replies.to_pylist()))
+            digests = [blake2b(h.encode("utf-8", "surrogatepass"), digest_size=8).digest() for h in htmls]
+            names = np.frombuffer(b"".join(digests), np.int64)[page[asked]]
+            runs, low, high = _extremes(hashes[asked], names, names)
+        ranges = (runs % np.uint64(-(-groups // RANGE_GROUPS))).astype(np.int64)
+        order = np.argsort(ranges, kind="stable")
+        rows = []
+        for a, b in cuts(ranges[order]):
+            own = order[a:b]
+            arrays = _packed(runs[own]), pack(low[own].astype(np.int64)), pack(high[own].astype(np.int64))
+            rows.append((host, salt, int(ranges[own[0]]), stage, len(own), *arrays))
+        return _table(_RUNS, rows)
+
+    return run
+
+
+def _find_repeated(table):
+    """For each group, its runs in one range of its host that two different pages have."""
+    rows = table.to_pylist()
+    listed = [_unpacked([r]) for r in rows]
+    low, high = (np.concatenate([unpack(r[name], r["n"], np.int64) for r in rows]) for name in ("low", "high"))
+    runs, low, high = _extremes(np.concatenate(listed), low, high)
+    repeated = runs[low < high]
+    found = [(r, own[np.isin(own, repeated)]) for r, own in zip(rows, listed)]
+    return _table(_REPLIES, [(r["_host"], r["_salt"], r["stage"], len(x), _packed(x)) for r, x in found if len(x)])
+
+
+def _extract(pages, replies):
+    texts, repeated = main_texts([h or "" for h in pages.column("_html").to_pylist()], _unpacked(replies.to_pylist()))
+    kept = pages.drop_columns(["_html", "_host", "_salt", "_groups"])
     kept = kept.append_column("text", pa.array(texts, pa.string()))
     return kept.append_column("n_repeated", pa.array(repeated, pa.int64()))
 
@@ -242,14 +346,21 @@ def extract_main_text(pages, html="html", url="url", keys=("page_id", "url")):
     few = sizes.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
     salt = F.pmod(F.xxhash64(*keys), F.col("_groups"))
     grouped = rows.join(F.broadcast(sizes) if few else sizes, "_host")
-    grouped = grouped.withColumn("_salt", salt).drop("_groups")
+    grouped = grouped.withColumn("_salt", salt)
     if not few:
         # a join by host leaves a host in one place; its groups must leave it
         grouped = grouped.repartition("_host", "_salt")
     schema = pages.select(*keys).withColumns(
         {"text": F.lit(""), "n_repeated": F.lit(0).cast("long")}
     ).schema
-    return grouped.groupBy("_host", "_salt").applyInArrow(_extract, schema)
+    groups = grouped.groupBy("_host", "_salt")
+    replies = None
+    for stage in (0, 1):
+        asked = groups if replies is None else groups.cogroup(replies.groupBy("_host", "_salt"))
+        listing = _list_runs(stage)
+        runs = asked.applyInArrow((lambda pages: listing(pages)) if replies is None else (lambda a, b: listing(a, b)), _RUNS)
+        replies = runs.groupBy("_host", "_range").applyInArrow(_find_repeated, _REPLIES)
+    return groups.cogroup(replies.groupBy("_host", "_salt")).applyInArrow(_extract, schema)
 
 
 def page_report(pages):

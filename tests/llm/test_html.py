@@ -97,3 +97,17 @@ def test_large_hosts_are_split(spark, monkeypatch, broadcast_hosts):
     texts = {r.page_id: r.text for r in html.page_report(pages).collect()}
     assert texts == {i: f"page number {i} of many" for i in range(1000)}
     assert re.match("page", texts[0])
+
+
+def test_groups_find_what_few_pages_share(spark):
+    """A notice on 12 pages of 1,500 is found wherever they are, and equal pages show nothing about each other."""
+    notice = "<div>a notice of nine words that few pages have</div>"
+    rows = [(i, f"http://h/{i}", f"<body><p>page number {i} of many</p>{notice if i % 125 == 0 else ''}</body>") for i in range(1500)]
+    rows += [(i, f"http://h/{i}", "<body>one text that stands on equal pages only so it is not repeated</body>") for i in range(2000, 2010)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in html.page_report(pages).collect()}
+    assert len(found) == len(rows)
+    assert all(found[i].text == f"page number {i} of many" for i in range(1500))
+    assert all(found[i].n_repeated == 0 and found[i].text.startswith("one text") for i in range(2000, 2010))
+    tokens = [html.parse(h)[0] for _, _, h in rows[:1500]]
+    assert [found[i].n_repeated for i in range(1500)] == [int(c.sum()) for c in html.repeated_tokens(tokens)]
