@@ -1,4 +1,4 @@
-"""The ten operators and the pipeline as registered queries, with SQL where SQL can express them."""
+"""The operators and the pipeline as registered queries, with SQL where SQL can express them."""
 
 import corpus_pipeline
 import public_tokenizers
@@ -12,6 +12,10 @@ from rastro.llm.lm import REPORT_SQL as LM_SQL
 from rastro.llm.lm import score_report
 from rastro.llm.pii import personal_data_report
 from rastro.llm.quality import quality_report
+from rastro.llm.resampling import REPORT_SQL as RESAMPLING_SQL
+from rastro.llm.resampling import resampling_report
+from rastro.llm.search import REPORT_SQL as SEARCH_SQL
+from rastro.llm.search import search
 from rastro.llm.secrets import secret_report
 from rastro.llm.simhash import near_duplicate_report
 from rastro.llm.suffixes import repeat_report
@@ -85,4 +89,14 @@ def op10_quality_rules(spark, sf_dir):
     return quality_report(_read(spark, sf_dir, "documents"))
 
 
+@query("op12_ranked_search", SEARCH_SQL)
+def op12_ranked_search(spark, sf_dir):
+    return search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+@query("op13_importance_resampling", RESAMPLING_SQL)
+def op13_importance_resampling(spark, sf_dir):
+    return resampling_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
