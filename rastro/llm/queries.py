@@ -10,6 +10,7 @@ from rastro.llm.html import page_report
 from rastro.llm.language import language_report
 from rastro.llm.lm import REPORT_SQL as LM_SQL
 from rastro.llm.lm import score_report
+from rastro.llm.mixing import mixing_report
 from rastro.llm.pii import personal_data_report
 from rastro.llm.quality import quality_report
 from rastro.llm.resampling import REPORT_SQL as RESAMPLING_SQL
@@ -89,6 +90,11 @@ def op10_quality_rules(spark, sf_dir):
     return quality_report(_read(spark, sf_dir, "documents"))
 
 
+@query("op11_source_mixing")
+def op11_source_mixing(spark, sf_dir):
+    return mixing_report(_read(spark, sf_dir, "documents"))
+
+
 @query("op12_ranked_search", SEARCH_SQL)
 def op12_ranked_search(spark, sf_dir):
     return search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
