@@ -17,6 +17,7 @@ from rastro.session import scratch_path
 from rastro.sources import locations as L
 from rastro.sources import sinks
 from rastro.sources import warehouse as W
+from rastro.sources.versions import read_ledger
 from rastro.streaming.load import stream_load_warehouse
 
 _COLUMNS = ", ".join(S.REQUIRED_COLUMNS)
@@ -341,7 +342,7 @@ def full_reload(spark, sf_dir):
     "load_warehouse",
     """SELECT 0::BIGINT AS late_ids, (SELECT count(*) FROM locations) AS records_read, 0::BIGINT AS invalid_ids,
  (SELECT count(*) FROM locations) - (SELECT count(*) FROM timed) AS invalid_timestamps,
- 0::BIGINT AS invalid_measures, 0::BIGINT AS already_present,
+ 0::BIGINT AS invalid_measures, 0::BIGINT AS already_present, 0::BIGINT AS repeated_in_batch,
  (SELECT count(*) FROM timed) AS records_inserted, (SELECT count(*) FROM dim_tiempo) AS new_dates,
  (SELECT count(*) FROM dim_ubicacion) AS new_locations, (SELECT count(*) FROM dim_dispositivo) AS new_devices""",
 )
@@ -370,6 +371,82 @@ def load_in_slices(spark, sf_dir):
     return _fact_shown(W.read_warehouse_table(spark, root, "fact_mediciones"))
 
 
+# --- exact ids, ledger, errors -------------------------------------------------------------
+
+_BIG = 2**53 + 1
+
+
+@query("coerce_types_large_ids", f"SELECT id + {_BIG} AS id, battery FROM locations")
+def coerce_large_ids(spark, sf_dir):
+    """Ids beyond a double's precision, as digits, with a zero fraction, with an exponent, and as decimals."""
+    large = locations(spark, sf_dir).select(
+        (F.col("id") + _BIG).alias("id"), F.concat(F.col("battery").cast("string"), F.lit(".00")).alias("battery")
+    )
+    digits = F.col("id").cast("string")
+    kind = F.col("id") % 3
+    text = F.when(kind == 0, digits).when(kind == 1, F.concat(digits, F.lit(".0"))).otherwise(F.concat(digits, F.lit("e0")))
+    as_text = large.where(F.col("id") % 2 == 0).withColumn("id", text)
+    as_decimal = large.where(F.col("id") % 2 == 1).withColumn("id", F.col("id").cast("decimal(38,3)"))
+    return L.coerce_types(as_text).unionByName(L.coerce_types(as_decimal))
+
+
+@query("load_large_ids", f"SELECT source_id + {_BIG} AS source_id, tiempo_id, bateria FROM fact")
+def load_large_ids(spark, sf_dir):
+    """Every other reading, then all of them, from CSV files; neighbours beyond a double's precision stay two."""
+    root, path = scratch_path(spark, "large"), scratch_path(spark, "large-csv")
+    time = F.coalesce("timestamp", "created_at")
+    large = locations(spark, sf_dir).withColumns({"id": F.col("id") + _BIG, "timestamp": time})
+    sinks.write_csv(large.select(*S.REQUIRED_COLUMNS), path)
+    readings = L.read_locations_csv(spark, path)
+    load_warehouse(spark, root, readings.where(F.col("id") % 2 == 0), districts(spark))
+    load_warehouse(spark, root, readings, districts(spark), take_late=True)
+    return W.read_warehouse_table(spark, root, "fact_mediciones").select("source_id", "tiempo_id", "bateria")
+
+
+@query(
+    "read_ledger",
+    """SELECT 'later' AS batch, 'committed' AS state, count_if(later)::BIGINT AS records_inserted, 0::BIGINT AS already_present,
+ 0::BIGINT AS repeated_in_batch, 0::BIGINT AS invalid_timestamps, min(id) FILTER (later) AS low_id, max(id) FILTER (later) AS high_id FROM (SELECT *, ts >= CAST('2024-01-16' AS TIMESTAMP) AS later FROM timed)
+ UNION ALL SELECT 'all', 'committed', count_if(NOT later)::BIGINT, (count_if(later) + count_if(later AND id < 100))::BIGINT,
+ count_if(NOT later AND id < 100)::BIGINT,
+ (SELECT (count(*) + count_if(id < 100))::BIGINT FROM locations WHERE coalesce(timestamp, created_at) IS NULL),
+ min(id) FILTER (NOT later), max(id) FILTER (NOT later) FROM (SELECT *, ts >= CAST('2024-01-16' AS TIMESTAMP) AS later FROM timed)""",
+)
+def ledger(spark, sf_dir):
+    """What two loads counted: the later readings, then all of them with the first hundred ids twice."""
+    root = scratch_path(spark, "ledger")
+    everything = locations(spark, sf_dir)
+    later = everything.filter(F.coalesce("timestamp", "created_at") >= "2024-01-16")
+    load_warehouse(spark, root, later, districts(spark), take_late=True, batch="later")
+    repeated = everything.unionByName(everything.filter("id < 100"))
+    load_warehouse(spark, root, repeated, districts(spark), take_late=True, batch="all")
+    names = ("records_inserted", "already_present", "repeated_in_batch", "invalid_timestamps")
+    counts = [F.col("counts")[name].alias(name) for name in names]
+    return read_ledger(spark, root).select("batch", "state", *counts, "low_id", "high_id")
+
+
+@query(
+    "load_errors",
+    "SELECT id AS source_id, 'no readable time' AS reason, device_id FROM locations WHERE coalesce(timestamp, created_at) IS NULL",
+)
+def load_errors(spark, sf_dir):
+    """Readings that the load left out, read back from their JSON."""
+    rows = W.read_warehouse_table(spark, warehouse_root(spark, sf_dir), W.LOAD_ERRORS)
+    device = F.from_json("reading", "device_id string")["device_id"]
+    return rows.select("source_id", "reason", device.alias("device_id"))
+
+
+@query(
+    "stored_id_runs",
+    """SELECT source_id >> 15 AS bucket, min(source_id) AS low, max(source_id) AS high
+ FROM (SELECT source_id, source_id - row_number() OVER (PARTITION BY source_id >> 15 ORDER BY source_id) AS run FROM fact)
+ GROUP BY source_id >> 15, run""",
+)
+def stored_id_runs(spark, sf_dir):
+    """The table of stored ids, which a load compares its ids with."""
+    return W.read_warehouse_table(spark, warehouse_root(spark, sf_dir), W.ID_RANGES)
+
+
 @query("stream_load_warehouse", f"SELECT {_FACT_COLUMNS} FROM fact")
 def stream_load(spark, sf_dir):
     """Files that arrive in two portions with common rows; the second run resumes."""

@@ -3,6 +3,9 @@
 All take an optional filter. Counts are taken per key before names are joined, and top-k
 queries pick their rows from the fact table before joining: every key of a fact row exists in
 its dimension (``integrity_report``), so the result is the same and the join stays small.
+
+A warehouse keeps rollups of its facts. Unless the filter has a range of battery or speed, which the rollups do not tell apart,
+counts and means come from them, and so does the choice of the newest days; facts are read for single measurements only.
 """
 
 from dataclasses import dataclass
@@ -15,6 +18,7 @@ from rastro.functions.keys import location_from_key
 from rastro.functions.measures import classify_anomaly
 from rastro.operators.aggregates import sort_by_count
 from rastro.operators.cleaning import moving_only
+from rastro.plans.rollup import is_flagged, is_placed
 
 
 @dataclass(frozen=True)
@@ -47,6 +51,11 @@ def filter_measurements(star, filters=NO_FILTERS):
     ):
         if condition is not None:
             rows = rows.filter(condition)
+    return _of_members(rows, star, filters)
+
+
+def _of_members(rows, star, filters):
+    """Rows whose hour, operator and zone pass the filter."""
     hours = _range("hora", filters.hora_min, filters.hora_max)
     if hours is not None:
         rows = rows.join(star.dim_hora.filter(hours), "hora_id", "left_semi")
@@ -59,8 +68,24 @@ def filter_measurements(star, filters=NO_FILTERS):
     return rows
 
 
-def _count_by(rows, *keys):
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+def _rollup(star, filters, table="rollup_diario"):
+    """Rows of a rollup that pass the filter; None if facts are needed."""
+    rows = getattr(star, table)
+    ranges = (
+        _range("bateria", filters.bateria_min, filters.bateria_max),
+        _range("velocidad", filters.velocidad_min, filters.velocidad_max),
+    )
+    if rows is None or any(condition is not None for condition in ranges):
+        return None
+    return _of_members(rows, star, filters)
+
+
+def _counts(star, filters, *keys):
+    """Measurements per key, from the rollup if it can tell."""
+    rows = _rollup(star, filters)
+    if rows is None:
+        return filter_measurements(star, filters).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
 def _operators(star):
@@ -77,9 +102,34 @@ def _rounded_mean(column, digits):
 
 
 def kpis(star, filters=NO_FILTERS):
-    """One row of counts and rounded means; zeros if no measurement passes.
+    """One row of counts and rounded means; zeros if no measurement passes."""
+    rows = _rollup(star, filters)
+    if rows is None:
+        return _kpis_of_facts(star, filters)
+
+    def mean(name, digits, count=None):
+        total, n = F.sum(f"{name}_sum").cast("double"), F.sum(count or f"{name}_n")
+        return F.coalesce(F.round(F.try_divide(total, n), digits), F.lit(0.0)).alias(f"{name}_mean")
+
+    devices = _rollup(star, filters, "rollup_dispositivos").agg(F.count_distinct("dispositivo_id"))
+    return rows.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_mediciones"),
+        mean("bateria", 1),
+        mean("senal_dbm", 0),
+        mean("velocidad", 1),
+        mean("altitud", 0, "n"),
+    ).select(
+        "total_mediciones",
+        devices.scalar().alias("dispositivos_unicos"),
+        F.col("bateria_mean").alias("bateria_promedio"),
+        F.col("senal_dbm_mean").alias("senal_promedio"),
+        F.col("velocidad_mean").alias("velocidad_promedio"),
+        F.col("altitud_mean").alias("altitud_promedio"),
+    )
+
 
-    The mean altitude needs the location table. Measurements are counted per location
+def _kpis_of_facts(star, filters):
+    """The mean altitude needs the location table. Measurements are counted per location
     first, so a busy place joins as one row.
     """
     rows = filter_measurements(star, filters)
@@ -91,9 +141,9 @@ def kpis(star, filters=NO_FILTERS):
         _rounded_mean("velocidad", 1).alias("velocidad_promedio"),
     )
     height = F.coalesce(F.col("altitud").cast("double"), F.lit(0.0))
+    per_place = rows.groupBy("ubicacion_id").agg(F.count(F.lit(1)).alias("n"))
     mean_altitude = (
-        _count_by(rows, "ubicacion_id")
-        .join(star.dim_ubicacion.select("ubicacion_id", "altitud"), "ubicacion_id", "left")
+        per_place.join(star.dim_ubicacion.select("ubicacion_id", "altitud"), "ubicacion_id", "left")
         .agg(F.try_divide(F.sum(height * F.col("n")), F.sum("n")).alias("mean"))
     )
     return figures.withColumn(
@@ -103,14 +153,14 @@ def kpis(star, filters=NO_FILTERS):
 
 def operator_distribution(star, filters=NO_FILTERS):
     """Measurements per operator, largest first."""
-    counted = _count_by(filter_measurements(star, filters), "operador_id")
+    counted = _counts(star, filters, "operador_id")
     named = counted.join(_operators(star), "operador_id").groupBy("operador")
     return sort_by_count(named.agg(F.sum("n").alias("count")), "count", "operador")
 
 
 def zone_counts(star, filters=NO_FILTERS):
     """Measurements of every zone that has any."""
-    counted = _count_by(filter_measurements(star, filters), "zona_id")
+    counted = _counts(star, filters, "zona_id")
     return counted.join(_zones(star), "zona_id").groupBy("zona").agg(F.sum("n").alias("count"))
 
 
@@ -121,7 +171,7 @@ def zone_distribution(star, filters=NO_FILTERS, top=S.TOP_ZONES):
 
 def hourly_pattern(star, filters=NO_FILTERS):
     """Measurements per hour, by hour."""
-    counted = _count_by(filter_measurements(star, filters), "hora_id")
+    counted = _counts(star, filters, "hora_id")
     return (
         counted.join(star.dim_hora, "hora_id")
         .select("hora", F.col("n").alias("count"))
@@ -131,7 +181,7 @@ def hourly_pattern(star, filters=NO_FILTERS):
 
 def quality_by_operator(star, filters=NO_FILTERS):
     """Measurements per quality level and operator, largest first."""
-    counted = _count_by(filter_measurements(star, filters), "calidad_id", "operador_id")
+    counted = _counts(star, filters, "calidad_id", "operador_id")
     named = (
         counted.join(star.dim_calidad, "calidad_id")
         .join(_operators(star), "operador_id")
@@ -158,7 +208,7 @@ def speed_altitude(star, filters=NO_FILTERS, points=S.SCATTER_POINTS):
 
 def hour_day_counts(star, filters=NO_FILTERS):
     """Measurements per hour and weekday."""
-    counted = _count_by(filter_measurements(star, filters), "tiempo_id", "hora_id")
+    counted = _counts(star, filters, "tiempo_id", "hora_id")
     return (
         counted.join(star.dim_hora, "hora_id")
         .join(star.dim_tiempo, "tiempo_id")
@@ -181,12 +231,17 @@ def activity_heatmap(star, filters=NO_FILTERS):
     )
 
 
-def _of_newest_days(rows, enough):
+def _of_newest_days(rows, enough, star, filters, counted):
     """The rows of the newest days that together hold ``enough`` rows, or all.
 
-    The rows per day are counted from few columns; what is read after that are those days' folders.
+    The rows per day are the sum of ``counted`` in the rollup, or else counted from few columns; what is read of the
+    facts after that are those days' folders.
     """
-    per_day = rows.groupBy("tiempo_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = _rollup(star, filters)
+    if kept is None:
+        per_day = rows.groupBy("tiempo_id").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        per_day = kept.groupBy("tiempo_id").agg(F.sum(counted).alias("n")).filter("n > 0")
     # one row per day
     newer = Window.orderBy(F.col("tiempo_id").desc()).rowsBetween(Window.unboundedPreceding, -1)
     before = per_day.withColumn("before", F.coalesce(F.sum("n").over(newer), F.lit(0)))
@@ -197,10 +252,8 @@ def _of_newest_days(rows, enough):
 def map_points(star, filters=NO_FILTERS, points=S.MAP_POINTS):
     """The newest measurements with place and names."""
     newest = [F.col("timestamp_original").desc_nulls_first(), F.col("source_id")]
-    placed = filter_measurements(star, filters).filter(
-        F.col("ubicacion_id").isNotNull() & F.col("operador_id").isNotNull()
-    )
-    chosen = _of_newest_days(placed, points).orderBy(*newest).limit(points)
+    placed = filter_measurements(star, filters).filter(is_placed())
+    chosen = _of_newest_days(placed, points, star, filters, "n_placed").orderBy(*newest).limit(points)
     devices = star.dim_dispositivo.select("dispositivo_id", "nombre_dispositivo")
     # the key holds the coordinates; the location table, as large as the facts, is not needed
     latitude, longitude = location_from_key(F.col("ubicacion_id"))
@@ -233,17 +286,8 @@ def flagged_measurements(star, filters=NO_FILTERS, rows=S.FLAGGED_ROWS):
     """
     newest = [F.col("tiempo_id").desc(), F.col("hora_id").desc(), F.col("source_id")]
     measures = (F.col("velocidad"), F.col("bateria"), F.col("senal_dbm"))
-    speed, battery, signal = measures
-    flagged = (
-        filter_measurements(star, filters)
-        .filter(
-            (speed > S.FLAG_SPEED_KMH)
-            | (battery < S.FLAG_BATTERY)
-            | (signal < S.FLAG_SIGNAL_DBM)
-        )
-        .dropna(subset=["tiempo_id", "hora_id", "operador_id"])
-    )
-    chosen = _of_newest_days(flagged, rows).orderBy(*newest).limit(rows)
+    flagged = filter_measurements(star, filters).filter(is_flagged())
+    chosen = _of_newest_days(flagged, rows, star, filters, "n_flagged").orderBy(*newest).limit(rows)
     devices = star.dim_dispositivo.select(
         "dispositivo_id", F.col("nombre_dispositivo").alias("dispositivo")
     )

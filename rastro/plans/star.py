@@ -17,7 +17,7 @@ from rastro.operators.zones import assign_district_zone, district_centers
 
 @dataclass(frozen=True)
 class Star:
-    """The nine tables of the warehouse."""
+    """The nine tables of the warehouse, and its rollups if it keeps some."""
 
     dim_tiempo: DataFrame
     dim_hora: DataFrame
@@ -28,6 +28,8 @@ class Star:
     dim_dispositivo: DataFrame
     dim_zonas: DataFrame
     fact_mediciones: DataFrame
+    rollup_diario: DataFrame | None = None
+    rollup_dispositivos: DataFrame | None = None
 
     def tables(self):
         return {name: getattr(self, name) for name in S.TABLES}

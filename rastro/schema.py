@@ -136,6 +136,36 @@ TABLES = {
     "dim_zonas": DIM_ZONAS,
     "fact_mediciones": FACT_MEDICIONES,
 }
+# beside the nine tables: the stored source ids as runs, and what a load could not take as it was
+ID_RANGES = T.StructType([T.StructField(name, T.LongType()) for name in ("bucket", "low", "high")])
+LOAD_ERRORS = T.StructType(
+    [
+        T.StructField("batch", T.StringType()),
+        T.StructField("source_id", T.LongType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("reading", T.StringType()),  # as JSON
+    ]
+)
+# sums of facts per key, and the devices behind them
+ROLLUP_DIARIO = T.StructType(
+    [
+        *[T.StructField(f"{name}_id", T.IntegerType()) for name in ("tiempo", "hora", "operador", "calidad", "zona")],
+        *[T.StructField(name, T.LongType()) for name in ("n", "n_placed", "n_flagged")],
+        T.StructField("bateria_sum", T.LongType()),
+        T.StructField("bateria_n", T.LongType()),
+        T.StructField("senal_dbm_sum", T.DecimalType(38, 2)),
+        T.StructField("senal_dbm_n", T.LongType()),
+        T.StructField("velocidad_sum", T.DecimalType(38, 2)),
+        T.StructField("velocidad_n", T.LongType()),
+        T.StructField("altitud_sum", T.DecimalType(38, 2)),
+    ]
+)
+ROLLUP_DISPOSITIVOS = T.StructType(
+    [
+        T.StructField("dispositivo_id", T.LongType()),
+        *[T.StructField(f"{name}_id", T.IntegerType()) for name in ("hora", "operador", "zona")],
+    ]
+)
 NATURAL_KEYS = {
     "dim_tiempo": ("fecha",),
     "dim_hora": ("hora",),

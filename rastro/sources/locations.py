@@ -55,6 +55,24 @@ def read_locations_csv(spark, path, infer_schema=False):
     return raw if infer_schema else coerce_types(raw)
 
 
+def _whole_number(column, kind, target):
+    """A column as whole numbers without loss; '7.0' and '1e3' are whole numbers too, '7.5' is none.
+
+    Plain digits are read as they stand, other text as a decimal that a double agrees is whole, so that neither digits
+    beyond a double's precision nor tiny fractions are lost.
+    """
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return column.try_cast(target)
+    if isinstance(kind, T.DecimalType):
+        return F.when(column == F.floor(column), column).try_cast(target)
+    near = column.try_cast("double")
+    if not isinstance(kind, T.StringType):
+        return F.when(near == F.floor(near), near).try_cast(target)
+    exact = column.try_cast("decimal(38,18)")
+    whole = F.when((exact == F.floor(exact)) & (near == F.floor(near)), exact)
+    return F.coalesce(column.try_cast(target), whole.try_cast(target))
+
+
 def coerce_types(df):
     """Convert each known column to its type; unreadable numbers and times become null."""
     types = {field.name: field.dataType for field in (*S.LOCATIONS, *S.OPTIONAL_COLUMNS)}
@@ -71,9 +89,7 @@ def coerce_types(df):
         if isinstance(target, T.StringType):
             return column.cast(target).alias(field.name)
         if isinstance(target, (T.IntegerType, T.LongType)):
-            # '7.0' is a whole number too
-            number = column.try_cast("double")
-            column = F.when(number == F.floor(number), number)
+            return _whole_number(column, field.dataType, target).alias(field.name)
         return column.try_cast(target).alias(field.name)
 
     return df.select(*[convert(field) for field in df.schema])

@@ -1,42 +1,66 @@
-"""The warehouse: one folder of parquet files per table.
+"""The warehouse: tables of parquet segments, all switched together by versions (``versions.py``).
 
-The fact table is split by tiempo_id (the day), so date filters prune folders.
+The fact table is split by tiempo_id (the day), so date filters prune folders. Beside the nine tables lie
+
+* ``id_ranges``: the source ids that the fact table holds, as runs of consecutive ids within buckets. What a batch
+  has to be compared with is this table alone, whichever ids it brings;
+* ``rollup_diario`` and ``rollup_dispositivos``: sums of the facts, and the devices behind them (``plans/rollup.py``);
+* ``load_errors``: readings that were left out or stored without a measure, with the reason.
+
+Every function that writes is a change of its own, or part of the ``change`` that it is given.
 """
 
 import uuid
-from contextlib import contextmanager
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager, nullcontext
 from functools import reduce
 
-from pyspark.sql import Observation
+from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
 from rastro import schema as S
+from rastro.plans.rollup import KEYS, SUMS, daily_rollup, device_rollup
 from rastro.plans.star import Star
 from rastro.session import observed
+from rastro.sources.versions import Version, changing, read_version
 
 FACT = "fact_mediciones"
 FACT_PARTITION = "tiempo_id"
+ID_RANGES, LOAD_ERRORS = "id_ranges", "load_errors"
+ROLLUPS = {"rollup_diario": S.ROLLUP_DIARIO, "rollup_dispositivos": S.ROLLUP_DISPOSITIVOS}
 #: Dimensions that grow with the facts.
 LARGE_DIMENSIONS = ("dim_ubicacion", "dim_dispositivo")
+#: Ids whose upper bits are equal share a bucket of this many bits.
+BUCKET_BITS = 15
 
-
-def table_path(root, name):
-    return f"{str(root).rstrip('/')}/{name}"
+SCHEMAS = {**S.TABLES, **ROLLUPS, ID_RANGES: S.ID_RANGES, LOAD_ERRORS: S.LOAD_ERRORS}
 
 
 def create_warehouse(spark, root):
-    """Create the tables that do not exist, empty."""
-    for name, schema in S.TABLES.items():
-        _write(spark.createDataFrame([], schema), root, name, "ignore")
+    """Make the first version, without rows, if there is none."""
+    if read_version(spark, root).number == 0:
+        with changing(spark, root, "create"):
+            pass
+
 
+def _read(spark, root, name, version):
+    schema = SCHEMAS[name]
+    paths = version.paths(root, name)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    base = f"{str(root).rstrip('/')}/{name}"
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths).select(*schema.names)
 
-def read_warehouse_table(spark, root, name):
-    schema = S.TABLES[name]
-    return spark.read.schema(schema).parquet(table_path(root, name)).select(*schema.names)
 
+def read_warehouse_table(spark, root, name, version=None):
+    """A table as of the newest version, or of the one with that number."""
+    return _read(spark, root, name, read_version(spark, root, version))
 
-def read_star(spark, root):
-    return Star(**{name: read_warehouse_table(spark, root, name) for name in S.TABLES})
+
+def read_star(spark, root, version=None):
+    """All nine tables and the rollups as of one version."""
+    known = read_version(spark, root, version)
+    return Star(**{name: _read(spark, root, name, known) for name in (*S.TABLES, *ROLLUPS)})
 
 
 def execute_query(spark, root, sql, params=None):
@@ -78,15 +102,28 @@ def one_per_source_id(facts):
     return smallest.select("source_id", "kept.*").select(*facts.columns)
 
 
-def _id_range(facts):
-    """(smallest source id, largest one, most copies of one), from the id column alone."""
-    copies = facts.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
-    return copies.agg(F.min("source_id"), F.max("source_id"), F.max("n")).first()
+def id_bucket(column):
+    return F.shiftright(column, BUCKET_BITS)
+
+
+def id_runs(ids):
+    """(bucket, low, high): distinct ``source_id`` values as runs of consecutive ids, none across buckets."""
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("source_id"))
+    within = F.col("source_id").bitwiseAND((1 << BUCKET_BITS) - 1)
+    runs = ids.select("bucket", "source_id", (within - place).alias("run"))
+    ends = runs.groupBy("bucket", "run").agg(F.min("source_id").alias("low"), F.max("source_id").alias("high"))
+    return ends.select("bucket", "low", "high")
 
 
-def _distinct_facts(facts, copies):
-    """One row per source id; whole rows are only shuffled if some id is repeated."""
-    return facts if copies in (None, 1) else one_per_source_id(facts)
+def classified_ids(facts, ranges):
+    """One row per source id: its bucket, how often it occurs (``n``), and whether ``ranges`` holds it (``stored``)."""
+    counted = facts.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
+    counted = counted.withColumn("bucket", id_bucket("source_id"))
+    known = ranges.select(F.col("bucket").alias("_bucket"), "low", "high")
+    held = (F.col("bucket") == F.col("_bucket")) & F.col("source_id").between(F.col("low"), F.col("high"))
+    return counted.join(known, held, "left").select(
+        "source_id", "bucket", "n", F.col("low").isNotNull().alias("stored")
+    )
 
 
 def upserted(old, new, key):
@@ -111,7 +148,7 @@ def staged_path(spark, root, label):
 
     Loads that run at the same time do not share it; after a failure it stays for inspection.
     """
-    path = table_path(root, f"_staged_{label}_{uuid.uuid4().hex}")
+    path = f"{str(root).rstrip('/')}/_staged_{label}_{uuid.uuid4().hex}"
     yield path
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
@@ -120,76 +157,172 @@ def staged_path(spark, root, label):
 # --- writes ------------------------------------------------------------------------------
 
 
-def _write(df, root, name, mode, written=None):
-    """Write rows of a table. Spark sizes the files, also those of very large days."""
-    by_day = [FACT_PARTITION] if name == FACT else []
-    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in S.TABLES[name]])
-    rows = rows.hint("rebalance", *[F.col(key) for key in by_day])
-    if written is not None:
-        # above the shuffle: tasks that write are counted once, also if a task before them runs again
-        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode(mode).partitionBy(*by_day).parquet(table_path(root, name))
+def together(*writes):
+    """Run writes of one change at the same time, so small ones do not wait for each other; their results in order.
+
+    An error of one is raised when all have ended.
+    """
+    with ThreadPoolExecutor(len(writes)) as pool:
+        running = [pool.submit(write) for write in writes]
+    return [write.result() for write in running]
 
 
-def _counted(df, root, name, mode):
-    """Write rows and return how many, counted during the write."""
+def _part_of(spark, root, kind, change):
+    """The given change, whose owner commits it, or a new one."""
+    return nullcontext(change) if change is not None else changing(spark, root, kind)
+
+
+def _written(change, name, rows):
+    """Write rows as a new segment of a table and return how many; Spark sizes the files, also those of very large days."""
+    by_day = [FACT_PARTITION] if name == FACT else []
+    typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name]])
     written = Observation()
-    _write(df, root, name, mode, written)
-    return observed(written, "rows")
+    # above the shuffle: tasks that write are counted once, also if a task before them runs again
+    typed = typed.hint("rebalance", *[F.col(key) for key in by_day]).observe(written, F.count(F.lit(1)).alias("rows"))
+    segment, path = change.new_segment(name)
+    typed.write.partitionBy(*by_day).parquet(path)
+    count = observed(written, "rows")
+    if count:
+        change.add(name, segment)
+    return count
 
 
-def rebuild_table(root, name, rows):
-    """Replace a table by rows that do not come from it, one per key; returns how many.
+def read_changed(change, name):
+    """A table as the change will leave it."""
+    return _read(change.spark, change.root, name, change.version())
 
-    Facts without a source id are left out.
-    """
-    if name == FACT:
-        rows = with_source_id(rows)
-        rows = _distinct_facts(rows, _id_range(rows)[2])
-    return _counted(rows, root, name, "overwrite")
+
+def insert_rows(change, name, rows):
+    """Add rows to a table that has no key; returns how many."""
+    return _written(change, name, rows)
+
+
+def rebuild_table(change, name, rows):
+    """Replace a table by rows, one per key, which may come from it; returns how many."""
+    change.clear(name)
+    return _written(change, name, rows)
 
 
-def insert_ignore_dimension(spark, root, name, rows):
+def insert_ignore_dimension(spark, root, name, rows, change=None):
     """Append the members whose natural key is new; returns how many."""
-    existing = read_warehouse_table(spark, root, name)
-    return _counted(new_members(rows, existing, S.NATURAL_KEYS[name]), root, name, "append")
+    with _part_of(spark, root, f"insert {name}", change) as change:
+        existing = read_changed(change, name)
+        return _written(change, name, new_members(rows, existing, S.NATURAL_KEYS[name]))
+
+
+def tables_that_lack(change, tables):
+    """Names of those small tables that lack a natural key of the rows given for them; one job for all."""
+    empty = {name for name in tables if not change.tables.get(name)}
+    filled = tables.keys() - empty
+    if not filled:
+        return empty
+
+    def keys(name, rows):
+        key = F.struct(*S.NATURAL_KEYS[name])
+        return rows.select(F.lit(name).alias("name"), F.to_json(key).alias("key"))
 
+    wanted = _stacked(keys(name, tables[name]) for name in filled)
+    present = _stacked(keys(name, read_changed(change, name)) for name in filled)
+    missing = wanted.join(present, ["name", "key"], "left_anti").select("name").distinct()
+    return empty | {row["name"] for row in missing.collect()}
 
-def append_facts(spark, root, facts):
-    """Append facts whose source id is new; returns how many. Facts without one are left out.
 
-    Only the part of the table that can hold the batch's ids is compared: its id range is
-    pushed into the scan, and files loaded in id order are skipped by their statistics.
+def store_facts(spark, root, facts, change, anew=False):
+    """Add facts whose source id is new, one per id; with ``anew`` they replace those stored.
+
+    Returns counts of rows: ``inserted``, ``already_present`` (their id is stored) and ``repeated_in_batch`` (further
+    copies of an id that is not). Ids are counted in one aggregation, and the table of ids decides what is new; no fact is
+    read. Whole rows are shuffled only if their id is repeated.
     """
     facts = with_source_id(facts)
-    low, high, copies = _id_range(facts)
-    if low is None:
-        return 0
-    existing = read_warehouse_table(spark, root, FACT).filter(
-        F.col("source_id").between(low, high)
-    )
-    fresh = new_members(_distinct_facts(facts, copies), existing, ["source_id"])
-    return _counted(fresh, root, FACT, "append")
+    if anew:
+        for name in (FACT, ID_RANGES):
+            change.clear(name)
+    ranges = read_changed(change, ID_RANGES)
+    with staged_path(spark, root, "ids") as staged:
+        classified_ids(facts, ranges).write.parquet(staged)
+        ids = spark.read.schema("source_id bigint, bucket bigint, n bigint, stored boolean").parquet(staged)
+        stored, new = F.col("stored"), ~F.col("stored")
+        low, high, n_new, n_stored, n_repeated = ids.agg(
+            F.min(F.when(new, F.col("source_id"))),
+            F.max(F.when(new, F.col("source_id"))),
+            F.count_if(new),
+            F.coalesce(F.sum(F.when(stored, F.col("n"))), F.lit(0)),
+            F.coalesce(F.sum(F.when(new, F.col("n") - 1)), F.lit(0)),
+        ).first()
+        counts = {"inserted": 0, "already_present": n_stored, "repeated_in_batch": n_repeated}
+        if not n_new:
+            return counts
+        if n_stored:
+            facts = facts.join(ids.where(stored).select("source_id"), "source_id", "left_anti").select(*facts.columns)
+        if n_repeated:
+            several = ids.where(new & (F.col("n") > 1)).select("source_id")
+            once = facts.join(several, "source_id", "left_anti").select(*facts.columns)
+            copies = facts.join(several, "source_id", "left_semi").select(*facts.columns)
+            facts = once.unionByName(one_per_source_id(copies))
+        counts["inserted"], _ = together(
+            lambda: _written(change, FACT, facts),
+            lambda: _written(change, ID_RANGES, id_runs(ids.where(new))),
+        )
+    known = [x for x in (change.entry["low_id"], change.entry["high_id"], low, high) if x is not None]
+    change.entry["low_id"], change.entry["high_id"] = min(known), max(known)
+    return counts
+
+
+def store_rollups(change, anew=False):
+    """Add the rollups of the facts that the change has inserted; its dimensions are written before."""
+    if anew:
+        for name in ROLLUPS:
+            change.clear(name)
+    old = set() if anew else set(change.base.tables.get(FACT, []))
+    added = [segment for segment in change.tables.get(FACT, []) if segment not in old]
+    if added:
+        inserted = _read(change.spark, change.root, FACT, Version(tables={FACT: added}))
+        together(
+            lambda: _written(change, "rollup_diario", daily_rollup(inserted, read_changed(change, "dim_ubicacion"))),
+            lambda: _written(change, "rollup_dispositivos", device_rollup(inserted)),
+        )
+
+
+def append_facts(spark, root, facts, change=None):
+    """Append facts whose source id is new; returns how many. Facts without one are left out."""
+    with _part_of(spark, root, "append facts", change) as change:
+        inserted = store_facts(spark, root, facts, change)["inserted"]
+        store_rollups(change)
+        return inserted
 
 
-def _replace(spark, df, root, name):
-    """Replace a small table that ``df`` may read from: stage first, then overwrite."""
-    schema = S.TABLES[name]
-    with staged_path(spark, root, name) as staged:
-        df.select(*[F.col(f.name).cast(f.dataType) for f in schema]).write.parquet(staged)
-        _write(spark.read.schema(schema).parquet(staged), root, name, "overwrite")
+def last_stored_id(spark, root):
+    """The largest source id in the fact table, 0 if it is empty; reads the table of ids."""
+    ranges = read_warehouse_table(spark, root, ID_RANGES)
+    return ranges.agg(F.coalesce(F.max("high"), F.lit(0))).first()[0]
 
 
-def upsert_zones(spark, root, zones):
-    """Insert zones; a zone that exists is overwritten."""
-    old = read_warehouse_table(spark, root, "dim_zonas")
-    _replace(spark, upserted(old, zones, ["zona_id"]), root, "dim_zonas")
+def upsert_zones(spark, root, zones, change=None):
+    """Insert zones; a zone that exists is overwritten. The old rows stay visible until the commit."""
+    with _part_of(spark, root, "upsert zones", change) as change:
+        old = read_changed(change, "dim_zonas")
+        typed = zones.select(*[F.col(f.name).cast(f.dataType) for f in S.DIM_ZONAS])
+        if not typed.subtract(old).isEmpty():
+            rebuild_table(change, "dim_zonas", upserted(old, zones, ["zona_id"]))
 
 
-def update_zone_names(spark, root, names):
+def update_zone_names(spark, root, names, change=None):
     """Rename the zones given in ``names`` (zona_id, nombre)."""
-    old = read_warehouse_table(spark, root, "dim_zonas")
-    _replace(spark, renamed_zones(old, names), root, "dim_zonas")
+    with _part_of(spark, root, "rename zones", change) as change:
+        old = read_changed(change, "dim_zonas")
+        rebuild_table(change, "dim_zonas", renamed_zones(old, names))
+
+
+def compact_table(spark, root, name):
+    """Write the segments of a table as one; returns how many rows it has."""
+    with changing(spark, root, f"compact {name}") as change:
+        rows = _read(spark, root, name, change.base)
+        if name == "rollup_diario":
+            rows = rows.groupBy(*KEYS).agg(*[F.sum(column).alias(column) for column in SUMS])
+        if name == "rollup_dispositivos":
+            rows = rows.distinct()
+        return rebuild_table(change, name, rows)
 
 
 # --- checks --------------------------------------------------------------------------------

@@ -198,7 +198,7 @@ def test_lookup_join_gives_the_computed_keys(spark, readings, single):
 
 
 def _adds_up(report):
-    parts = ("invalid_ids", "invalid_timestamps", "already_present", "records_inserted")
+    parts = ("invalid_ids", "invalid_timestamps", "already_present", "repeated_in_batch", "records_inserted")
     return report["records_read"] == sum(report[p] for p in parts)
 
 
