@@ -125,13 +125,12 @@ def among(districts, candidates):
 
 
 def zone_array(rows):
-    """Array of structs (zona_id, lat, lon, radio_km)."""
+    """Array of structs (zona_id, lat, lon, radio_km), as one constant."""
     zones = [
-        f"named_struct('zona_id', {zid}, 'lat', {number(lat)}, 'lon', {number(lon)},"
-        f" 'radio_km', {number(radius)})"
+        f'{{"zona_id":{zid},"lat":{float(lat)!r},"lon":{float(lon)!r},"radio_km":{float(radius)!r}}}'
         for zid, lat, lon, radius in rows
     ]
-    return f"array({', '.join(zones)})"
+    return f"from_json('[{','.join(zones)}]', 'array<struct<zona_id:int,lat:double,lon:double,radio_km:double>>')"
 
 
 def _centers(zones, lat, lon):
@@ -145,6 +144,15 @@ def nearest_center(zones, lat, lon):
     return f"array_min({_centers(zones, lat, lon)}).zona_id"
 
 
+def centers_within(zones, lat, lon, reach):
+    """The centres that are farther from the point than the nearest one by ``reach`` at most."""
+    distance = f"sqrt(pow({lat} - zone_.lat, 2D) + pow({lon} - zone_.lon, 2D))"
+    best = f"array_min(transform({zones}, zone_ -> {distance}))"
+    # the nearest distance is the argument of a function, so it is found once
+    near = f"filter({zones}, zone_ -> {distance} <= best_ + {reach})"
+    return f"flatten(transform(array({best}), best_ -> {near}))"
+
+
 def center_within_radius(zones, lat, lon, degrees_per_km):
     """Id of the nearest centre that has the point within its radius, else null."""
     reaches = f"reached_.d <= reached_.radio_km * {number(degrees_per_km)}"

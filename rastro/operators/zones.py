@@ -8,10 +8,13 @@ points share a place. A grid over the city settles most points without looking a
 from dataclasses import dataclass
 from math import ceil, sqrt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rastro import schema as S
 from rastro.functions import geometry as G
+from rastro.operators.skew import salted_left_join
+from rastro.session import scratch_path
 
 EDGES_PER_CONSTANT = 50_000
 # The geometry is part of the plan; more than this is no district table.
@@ -21,6 +24,14 @@ GRID_CELLS = 128  # along the longer side of the districts' envelope
 GRID_MARGIN = 1  # envelopes around it
 GRID_SPLIT = 8  # cells are first made 8 times as wide; those not settled are measured again
 
+# A zone table of more rows is none; above the smaller number, points look only at centres near their cell.
+MAX_ZONES = 10_000
+FEW_ZONES = 64
+# Cells along each side of the envelope of district boxes, and the bytes of their lists that are broadcast at most.
+BOX_CELLS = 256
+BROADCAST_BYTES = 64 << 20
+SHOWN = 20  # names in an error
+
 _NO_ZONE = "int(NULL)"
 
 
@@ -35,6 +46,17 @@ def district_shapes(districts):
     )
 
 
+def _check_districts(shapes):
+    """Raise if a district has no polygon, or all have more edges than a plan should hold; reads a row of counts."""
+    missing = F.col("minx").isNull() | F.col("miny").isNull() | F.col("maxx").isNull() | F.col("maxy").isNull()
+    edges, n = shapes.agg(F.coalesce(F.sum(F.size("edges")), F.lit(0)), F.count_if(missing)).first()
+    if n:
+        names = [row[0] for row in shapes.where(missing).select("nombre").orderBy("nombre").limit(SHOWN).collect()]
+        raise ValueError("districts without a polygon: " + ", ".join(map(str, names)))
+    if edges > MAX_EDGES:
+        raise ValueError(f"{edges} district edges; the geometry of a city has at most {MAX_EDGES}")
+
+
 @dataclass(frozen=True)
 class Shapes:
     """District geometry as constants of bounded size, in file order; names and envelope."""
@@ -47,19 +69,13 @@ class Shapes:
     def of(cls, districts):
         """Read the reference table: the districts of one file (one job)."""
         shapes = district_shapes(districts)
+        _check_districts(shapes)
         plain = F.to_json(F.struct(*[c for c in shapes.columns if c != "nombre"]))
         rows = shapes.select(
             "zona_id", "nombre", "minx", "miny", "maxx", "maxy", F.size("edges"), plain
         )
         names, boxes, texts, size = {}, [], [[]], 0
-        found = rows.collect()
-        shapeless = sorted(str(row[1]) for row in found if None in row[2:6])
-        if shapeless:
-            raise ValueError("districts without a polygon: " + ", ".join(shapeless))
-        edges = sum(row[6] for row in found)
-        if edges > MAX_EDGES:
-            raise ValueError(f"{edges} district edges; the geometry of a city has at most {MAX_EDGES}")
-        for zone, name, *box, edges, text in sorted(found):
+        for zone, name, *box, edges, text in sorted(rows.collect()):
             if texts[-1] and size + edges > EDGES_PER_CONSTANT:
                 texts.append([])
                 size = 0
@@ -91,10 +107,6 @@ class Shapes:
             return _NO_ZONE
         return (f"least({', '.join(best)})" if len(best) > 1 else best[0]) + ".zona_id"
 
-    def first_box(self, x, y):
-        found = [G.first_box(c, x, y) for c in self.constants]
-        return f"coalesce({', '.join([_NO_ZONE, *found])})"
-
     def classify(self, x, y):
         """Containing district, else the nearest; null for a point without coordinates."""
         found = f"coalesce({self.containing(x, y)}, {self.nearest(x, y)})"
@@ -146,13 +158,11 @@ def _settle(cells, shapes, origin, size):
 
 
 def _split(cells):
+    rest = [name for name in cells.columns if name not in ("ix", "iy")]
     return cells.selectExpr(
         "*", f"explode(sequence(0, {GRID_SPLIT**2 - 1})) AS part"
     ).selectExpr(
-        f"ix * {GRID_SPLIT} + part % {GRID_SPLIT} AS ix",
-        f"iy * {GRID_SPLIT} + part div {GRID_SPLIT} AS iy",
-        "zone",
-        "candidates",
+        f"ix * {GRID_SPLIT} + part % {GRID_SPLIT} AS ix", f"iy * {GRID_SPLIT} + part div {GRID_SPLIT} AS iy", *rest
     )
 
 
@@ -182,7 +192,10 @@ def _zone_rows(zones=None):
     if zones is None:
         return [(zid, lat, lon, radius, name) for zid, name, lat, lon, radius in S.ZONES]
     columns = ("zona_id", "latitud_centro", "longitud_centro", "radio_km", "nombre")
-    return sorted(map(tuple, zones.select(*columns).collect()))
+    rows = zones.select(*columns).limit(MAX_ZONES + 1).collect()
+    if len(rows) > MAX_ZONES:
+        raise ValueError(f"more than {MAX_ZONES} zones")
+    return sorted(map(tuple, rows))
 
 
 def _zone_array(rows):
@@ -197,10 +210,51 @@ def zone_within_radius(df, lat="latitude", lon="longitude", name="zona_id"):
     return df.withColumn(name, F.expr(f"coalesce({found}, 1)"))
 
 
+def _center_grid(spark, rows):
+    """(grid, origin, size): cells (ix, iy, candidates) with the centres that can be nearest to a point of the cell.
+
+    The distance to a centre changes by no more than the way one goes, so a centre that is farther from the middle
+    than the nearest one by the width of a cell is nearest nowhere in it.
+    """
+    lats, lons = [float(row[1]) for row in rows], [float(row[2]) for row in rows]
+    width, height = max(lons) - min(lons), max(lats) - min(lats)
+    size = max(width, height) / GRID_CELLS
+    origin = (min(lons) - GRID_MARGIN * width, min(lats) - GRID_MARGIN * height)
+
+    def among(cells, candidates, step):
+        x = f"({G.number(origin[0])} + (ix + 0.5D) * {G.number(step)})"
+        y = f"({G.number(origin[1])} + (iy + 0.5D) * {G.number(step)})"
+        near = G.centers_within(candidates, y, x, G.number(step * sqrt(2) + 10 * G.BOUNDARY))
+        return cells.select("ix", "iy", F.expr(near).alias("candidates"))
+
+    # all centres for wide cells, then only theirs for the cells within
+    wide = size * GRID_SPLIT
+    across, up = (max(1, ceil((1 + 2 * GRID_MARGIN) * side / wide)) for side in (width, height))
+    cells = spark.range(across * up).selectExpr(f"id % {across} AS ix", f"id div {across} AS iy")
+    return among(_split(among(cells, _zone_array(rows), wide)), "candidates", size), origin, size
+
+
+def _nearest_center(df, rows, lat, lon, name):
+    """Add the nearest centre; among many centres, only those that a grid lists for the point's cell are measured."""
+    rows = [row for row in rows if row[1] is not None and row[2] is not None]
+    zones, y, x = _zone_array(rows), _name(lat), _name(lon)
+    if len(rows) <= FEW_ZONES or len({row[1:3] for row in rows}) == 1:
+        return df.withColumn(name, F.expr(G.nearest_center(zones, y, x) if rows else _NO_ZONE))
+    cells, origin, size = _center_grid(df.sparkSession, rows)
+    cells = cells.selectExpr("ix AS _ix", "iy AS _iy", "candidates AS _centers")
+    located = df.withColumns(
+        {
+            "_ix": F.expr(f"floor(({x} - {G.number(origin[0])}) / {G.number(size)})"),
+            "_iy": F.expr(f"floor(({y} - {G.number(origin[1])}) / {G.number(size)})"),
+        }
+    )
+    joined = located.join(F.broadcast(cells), ["_ix", "_iy"], "left")
+    return joined.withColumn(name, F.expr(G.nearest_center(f"coalesce(_centers, {zones})", y, x))).drop("_ix", "_iy", "_centers")
+
+
 def zone_nearest_center(df, lat="latitude", lon="longitude", name="zona_id", zones=None):
     """Add the zone with the nearest centre, the lowest id on ties."""
-    found = G.nearest_center(_zone_array(_zone_rows(zones)), _name(lat), _name(lon))
-    return df.withColumn(name, F.expr(found))
+    return _nearest_center(df, _zone_rows(zones), lat, lon, name)
 
 
 def point_in_district(df, districts, lat="latitude", lon="longitude", name="zona_id"):
@@ -279,13 +333,62 @@ def assign_district_zone(
     pairs = [(zone, ids[text]) for zone, text in shapes.names.items() if text in ids]
     mapped = " ".join(f"WHEN {zone} THEN {found}" for zone, found in pairs)
     by_name = f"CASE `{name}` {mapped} END" if pairs else _NO_ZONE
-    fallback = G.nearest_center(_zone_array(rows), _name(lat), _name(lon))
-    return placed.withColumn(name, F.expr(f"coalesce({by_name}, {fallback})"))
+    placed = _nearest_center(placed, rows, lat, lon, "_fallback")
+    return placed.withColumn(name, F.expr(f"coalesce({by_name}, _fallback)")).drop("_fallback")
+
+
+def _box_cells(boxes):
+    """(cells, cell): cells (ix, iy, boxes) with the boxes that a point of the cell can lie in, in file order up to the
+    first that holds the whole cell; and a function from an axis and a value to the number of its cell.
+
+    None if there are no boxes. Numbers of cells grow with the value, so a point of a box lies in a cell of the box, exactly.
+    """
+    minx, miny, maxx, maxy = boxes.agg(F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy")).first()
+    if minx is None:
+        return None
+    limits = {"x": (minx, (maxx - minx) / BOX_CELLS or 1.0), "y": (miny, (maxy - miny) / BOX_CELLS or 1.0)}
+
+    def cell(axis, value):
+        low, step = limits[axis]
+        return F.floor((value - F.lit(low)) / F.lit(step))
+
+    ends = {f"{end}_{a}": cell(a, F.col(f"{end}{a}")) for end in ("min", "max") for a in "xy"}
+    spread = (
+        boxes.withColumns(ends)
+        .withColumn("ix", F.explode(F.sequence("min_x", "max_x")))
+        .withColumn("iy", F.explode(F.sequence("min_y", "max_y")))
+    )
+    within = [(F.col(f"i{a}") > F.col(f"min_{a}")) & (F.col(f"i{a}") < F.col(f"max_{a}")) for a in "xy"]
+    whole = F.min(F.when(within[0] & within[1], F.col("zona_id"))).over(Window.partitionBy("ix", "iy"))
+    needed = spread.withColumn("whole", whole).where(F.col("whole").isNull() | (F.col("zona_id") <= F.col("whole")))
+    box = F.struct("zona_id", "minx", "miny", "maxx", "maxy")
+    return needed.groupBy("ix", "iy").agg(F.sort_array(F.collect_list(box)).alias("boxes")), cell
 
 
 def district_bbox_match(df, districts, lat="latitude", lon="longitude", name="zona_id"):
-    """Add the first district whose outer ring's bounding box holds the point, else null."""
-    return df.withColumn(name, F.expr(Shapes.of(districts).first_box(_name(lon), _name(lat))))
+    """Add the first district whose outer ring's bounding box holds the point, else null.
+
+    A point looks at the boxes that reach into its cell of a grid. The grid is a table made by Spark; it is broadcast up to
+    a checked size, and joined beyond that with busy cells dealt over many tasks.
+    """
+    shapes = district_shapes(districts)
+    _check_districts(shapes)
+    found = _box_cells(shapes.select("zona_id", "minx", "miny", "maxx", "maxy"))
+    if found is None:
+        return df.withColumn(name, F.expr(_NO_ZONE))
+    spark = df.sparkSession
+    cells, cell = found
+    folder = scratch_path(spark, "box-cells")
+    cells.select(F.col("ix").alias("_ix"), F.col("iy").alias("_iy"), F.col("boxes").alias("_boxes")).write.parquet(folder)
+    cells = spark.read.parquet(folder)
+    size = cells.agg(F.coalesce(F.sum(F.size("_boxes") * 48 + 48), F.lit(0))).first()[0]
+    located = df.withColumns({"_ix": cell("x", F.col(lon)), "_iy": cell("y", F.col(lat))})
+    if size <= BROADCAST_BYTES:
+        joined = located.join(F.broadcast(cells), ["_ix", "_iy"], "left")
+    else:
+        numbered = located.withColumn("_row", F.monotonically_increasing_id())
+        joined = salted_left_join(numbered, cells, ["_ix", "_iy"], ["_row"]).drop("_row")
+    return joined.withColumn(name, F.expr(G.first_box("_boxes", _name(lon), _name(lat)))).drop("_ix", "_iy", "_boxes")
 
 
 def district_by_id(districts, distrito_id):

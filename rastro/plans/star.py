@@ -12,6 +12,7 @@ from rastro.functions import measures as M
 from rastro.functions import text as X
 from rastro.functions.calendar import calendar_attributes, day_period
 from rastro.operators.cleaning import drop_unparseable_timestamps
+from rastro.operators.skew import salted_left_join
 from rastro.operators.zones import assign_district_zone, district_centers
 
 
@@ -272,13 +273,12 @@ def fact_lookup(prepared, star):
         .join(ids(star.dim_operador, "operador_id", "nombre", "operador"), "operador", "left")
         .join(ids(star.dim_red, "red_id", "tipo_red", "red"), "red", "left")
         .join(ids(star.dim_calidad, "calidad_id", "rango_senal", "calidad"), "calidad", "left")
-        .join(
-            star.dim_ubicacion.select("ubicacion_id", "latitud", "longitud"),
-            ["latitud", "longitud"],
-            "left",
-        )
-        .join(star.dim_dispositivo.select("dispositivo_id", "device_hash"), "device_hash", "left")
     )
+    # the place of readings without coordinates, or one device, may have a third of the rows
+    places = star.dim_ubicacion.select("ubicacion_id", "latitud", "longitud")
+    joined = salted_left_join(joined, places, ["latitud", "longitud"], ["source_id"])
+    devices = star.dim_dispositivo.select("dispositivo_id", "device_hash")
+    joined = salted_left_join(joined, devices, ["device_hash"], ["source_id"])
     defaults = {
         "operador_id": unknown(star.dim_operador, "operador_id", "nombre", S.UNKNOWN_OPERATOR),
         "red_id": unknown(star.dim_red, "red_id", "tipo_red", S.UNKNOWN_NETWORK),

@@ -233,3 +233,71 @@ def test_grid_candidates_give_the_exact_district(spark):
         {"i": F.expr(shapes.containing("longitude", "latitude")), "n": F.expr(shapes.nearest("longitude", "latitude"))}
     )
     assert exact.filter("NOT (inside <=> i) OR NOT (near <=> n)").isEmpty()
+
+
+def _boxes(seed, n):
+    """Boxes of all sizes, some of them repeated, some without width."""
+    rng = random.Random(seed)
+    found = []
+    for _ in range(n):
+        x, y = rng.choice([rng.uniform(0, 10), float(rng.randint(0, 10))]), rng.uniform(0, 5)
+        w, h = rng.choice([0.0, 0.01, 1.0, 6.0]), rng.choice([0.01, 2.0, 4.0])
+        found.append((x, y, x + w, y + h))
+    return found + found[:5]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [Z.BROADCAST_BYTES, 0])
+def test_boxes_agree_with_brute_force(spark, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(Z, "BROADCAST_BYTES", broadcast_bytes)
+    boxes = _boxes(4, 40)
+    rings = [(i, f"b{i}", [[(a, b), (c, b), (c, d), (a, d), (a, b)]]) for i, (a, b, c, d) in enumerate(boxes, 1)]
+    rng = random.Random(9)
+    points = [(rng.uniform(-1, 18), rng.uniform(-1, 10)) for _ in range(1500)]
+    points += [(box[i], box[j]) for box in boxes for i in (0, 2) for j in (1, 3)]
+    points += [(boxes[3][0], boxes[3][1])] * 800 + [(None, 1.0), (1.0, None), (float("nan"), 2.0), (float("inf"), 2.0)]
+    df = spark.createDataFrame([(i, y, x) for i, (x, y) in enumerate(points)], "id int, latitude double, longitude double")
+    found = {r["id"]: r["zona_id"] for r in Z.district_bbox_match(df, _frame(spark, rings)).select("id", "zona_id").collect()}
+
+    def first(x, y):
+        if x is None or y is None:
+            return None
+        return next((i for i, (a, b, c, d) in enumerate(boxes, 1) if a <= x <= c and b <= y <= d), None)
+
+    assert found == {i: first(x, y) for i, (x, y) in enumerate(points)}
+
+
+def test_no_boxes(spark):
+    df = spark.createDataFrame([(1.0, 1.0)], "latitude double, longitude double")
+    assert Z.district_bbox_match(df, districts(spark).limit(0)).first()["zona_id"] is None
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_nearest_centre_agrees_with_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(Z, "FEW_ZONES", few)
+    rng = random.Random(6)
+    # many on a lattice, so that points between them have ties
+    centers = [(i, float(rng.randint(0, 12)), float(rng.randint(0, 12))) for i in range(200, 320)]
+    centers += [(i, rng.uniform(0, 12), rng.uniform(0, 12)) for i in range(1, 60)]
+    zones = spark.createDataFrame(
+        [(i, f"z{i}", y, x, 1.0) for i, y, x in centers],
+        "zona_id int, nombre string, latitud_centro double, longitud_centro double, radio_km double",
+    )
+    points = [(rng.uniform(-30, 40), rng.uniform(-30, 40)) for _ in range(400)]
+    points += [(rng.randint(0, 24) / 2, rng.randint(0, 24) / 2) for _ in range(600)] + [(1e6, -1e6)]
+    df = spark.createDataFrame([(i, y, x) for i, (y, x) in enumerate(points)], "id int, latitude double, longitude double")
+    found = {r["id"]: r["zona_id"] for r in Z.zone_nearest_center(df, zones=zones).collect()}
+    wanted = {
+        i: min((math.sqrt((y - b) ** 2 + (x - a) ** 2), zid) for zid, b, a in centers)[1] for i, (y, x) in enumerate(points)
+    }
+    assert found == wanted
+
+
+def test_zones_and_edges_are_counted_before_they_are_collected(spark, monkeypatch):
+    df = spark.createDataFrame([(1.0, 1.0)], "latitude double, longitude double")
+    monkeypatch.setattr(Z, "MAX_ZONES", 3)
+    with pytest.raises(ValueError, match="more than 3 zones"):
+        Z.zone_nearest_center(df, zones=Z.district_centers(districts(spark)))
+    monkeypatch.setattr(Z, "MAX_EDGES", 5)
+    monkeypatch.setattr(Z.F, "to_json", None)
+    with pytest.raises(ValueError, match="district edges"):
+        Z.classify_point(df, districts(spark))
