@@ -67,16 +67,21 @@ def _repeat_words(words):
         )
     )
     nobody = F.array(F.lit(None).cast("struct<gram:string,at:int>"))
-    beside = F.arrays_zip(
-        ordered.alias("own"),
-        F.concat(nobody, ordered).alias("before"),
-        F.slice(ordered, 2, F.size(words)).alias("after"),
-    )
-    repeated = F.filter(
-        beside,
-        lambda x: (x["own"]["gram"] == x["before"]["gram"]) | (x["own"]["gram"] == x["after"]["gram"]),
-    )
-    repeated = F.sort_array(F.transform(repeated, lambda x: x["own"]["at"]))
+
+    def places(windows):
+        beside = F.arrays_zip(
+            windows.alias("own"),
+            F.concat(nobody, windows).alias("before"),
+            F.slice(windows, 2, F.size(words)).alias("after"),
+        )
+        repeated = F.filter(
+            beside,
+            lambda x: (x["own"]["gram"] == x["before"]["gram"]) | (x["own"]["gram"] == x["after"]["gram"]),
+        )
+        return F.sort_array(F.transform(repeated, lambda x: x["own"]["at"]))
+
+    # the sorted windows are used several times; as the argument of a function they are made once
+    repeated = F.flatten(F.transform(F.array(ordered), places))
     covered = F.aggregate(
         repeated,
         F.struct(F.lit(0).alias("upto"), F.lit(0).alias("n")),
@@ -110,9 +115,9 @@ def document_counts(docs, text="text"):
             "n_dup_lines": long(F.size("_lines") - F.size(F.array_distinct("_lines"))),
             "n_repeat_words": long(_repeat_words(words)),
             "_n_lines": long(F.size("_lines")),
-            "_n_marked": long(F.size(F.split(whole, r"[#*$%&|<>!]+", -1)) - 1),
+            "_n_marked": long(F.regexp_count(whole, F.lit(r"[#*$%&|<>!]+"))),
             "_n_exclaim": long(F.length(whole) - length_without("!")),
-            "_n_upper": long(F.length(F.regexp_replace(whole, r"[^\p{Lu}]+", ""))),
+            "_n_upper": long(F.regexp_count(whole, F.lit(r"\p{Lu}"))),
             "_n_ended": long(F.size(F.filter(F.col("_lines"), lambda s: s.rlike(r"[.?!\"'”»)]\s*$")))),
             "_n_common": long(F.size(F.array_intersect(words, F.array(*map(F.lit, COMMON))))),
         }
