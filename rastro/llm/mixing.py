@@ -32,6 +32,8 @@ PERCENT = 150
 MOST = 2
 BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
+#: Tables of one row per source are broadcast up to this number of sources.
+FEW_SOURCES = 10_000
 ROUNDS = 24
 SEED = 11
 
@@ -148,7 +150,9 @@ def draw_slots(spark, sources, shard_slots=SHARD_SLOTS, seed=SEED):
         _sums_before(totals, ["number"], beyond_before=F.col("beyond"), lacking_before=F.col("lacking")), "totals"
     )
     n_beyond = totals.agg(F.coalesce(F.sum("beyond"), F.lit(0))).first()[0]
-    numbered = numbered.join(totals.select("number", "slots", "beyond_before"), "number")
+    # a count stands for up to a shard of slots, so few bytes here are many rows after the next step
+    numbered = numbered.repartition(parallel, "shard", "number")
+    numbered = numbered.join(F.broadcast(totals) if n_sources <= FEW_SOURCES else totals, "number")
     end, own_end = F.col("first") + F.col("n"), F.least(F.col("first") + F.col("n"), "slots")
     kept = numbered.where(F.col("first") < F.col("slots")).select(
         "shard", "number", F.explode(F.sequence(F.col("first"), own_end - 1)).alias("j")
