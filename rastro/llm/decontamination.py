@@ -5,8 +5,9 @@ by hash, are the table that training windows are looked up in. Every window of e
 is hashed in the scan that reads it; only windows whose hash occurs are compared word by word, so the
 result is exact. Only hits are shuffled.
 
-The table of windows is broadcast if its measured size stays below ``broadcast_bytes``; beyond that it is
-joined by Spark's shuffled joins, whose skew handling splits windows that many texts share.
+The table of windows is broadcast if its measured size stays below ``broadcast_bytes``. Beyond that, hashes and places of
+windows alone are shuffled, those that many texts share dealt over tasks, and the hits of a text meet its words once, to be
+verified; so the work stays in proportion to the text.
 
 Defined results: a null text has no words and is never contaminated. Benchmark items with null or empty text
 have no window. Repeated rows of the same id and text give equal rows. Null ids are an id like any
@@ -15,6 +16,7 @@ other. An empty benchmark finds nothing.
 
 from pyspark.sql import functions as F
 
+from rastro.operators.skew import salted_left_join
 from rastro.session import scratch_path
 
 WINDOW = 10
@@ -65,6 +67,49 @@ def benchmark_windows(benchmark, item_id="item_id", text="text"):
     )
 
 
+def _known_windows(windows, length):
+    """Hash, text and items of the benchmark's windows of one length."""
+    parts = F.split("window", " ")
+    of_length = windows.where(F.col("length") == length)
+    return of_length.select(_window_hash(parts, F.lit(0), length).alias("hash"), "window", "items")
+
+
+def _found_by_shuffle(rows, windows, lengths):
+    """Windows of ``rows`` that occur in the benchmark: _key, first, length, items.
+
+    A row of the shuffle has a window's hash and place, not the text it is from. Windows of all lengths are made in one pass.
+    """
+    words = F.col("words")
+
+    def places_of(length):
+        """First word and hash of every window of a length; none in shorter texts."""
+        firsts = F.when(F.size(words) >= length, F.sequence(F.lit(0), F.size(words) - length))
+        return F.transform(
+            F.coalesce(firsts, F.array().cast("array<int>")),
+            lambda i: F.struct(i.alias("first"), F.lit(length).alias("length"), _window_hash(words, i, length).alias("hash")),
+        )
+
+    texts = rows.dropDuplicates(["_key"])
+    places = texts.select("_key", F.explode(F.concat(*map(places_of, lengths))).alias("at")).select("_key", "at.*")
+    known = None
+    for length in lengths:
+        part = _known_windows(windows, length).withColumn("length", F.lit(length))
+        known = part if known is None else known.unionByName(part)
+    # windows whose hashes are equal are told apart by their text below
+    listed = known.groupBy("hash", "length").agg(F.collect_list(F.struct("window", "items")).alias("known"))
+    met = salted_left_join(places, listed, ["hash", "length"], ["_key", "first"]).where(F.col("known").isNotNull())
+    # a text has no more hits than words
+    hits = met.select("_key", "first", "length", F.explode("known").alias("known"))
+    hits = hits.select("_key", F.struct("first", "length", "known").alias("hit"))
+    hits = hits.groupBy("_key").agg(F.collect_list("hit").alias("hits"))
+
+    def same(hit):
+        return F.array_join(F.slice("words", hit["first"] + 1, hit["length"]), " ") == hit["known"]["window"]
+
+    verified = hits.join(texts, "_key").select("_key", F.explode(F.filter("hits", same)).alias("hit"))
+    return verified.select("_key", "hit.first", "hit.length", "hit.known.items")
+
+
 def find_hits(docs, benchmark, text="text", broadcast_bytes=64 << 20):
     """Hits per ``_key``, a struct that names a row's id and text.
 
@@ -80,22 +125,20 @@ def find_hits(docs, benchmark, text="text", broadcast_bytes=64 << 20):
     ).collect()  # one row per length, at most ten
     small = sum(r.bytes for r in known) <= broadcast_bytes
     rows = docs.select("_key", words_of(F.col(text)).alias("words"))
+    lengths = sorted(r.length for r in known)
+    if not lengths:
+        return spark.createDataFrame([], "_key struct<id:string,hash:bigint>, n_hit int, items array<string>")
     hits = None
-    for length in sorted(r.length for r in known):
-        of_length = windows.where(F.col("length") == length)
-        parts = F.split("window", " ")
-        of_length = of_length.select(
-            _window_hash(parts, F.lit(0), length).alias("hash"), "window", "items"
-        )
+    for length in lengths if small else []:
         found = (
             _windows(rows, length, ["_key"])
-            .join(F.broadcast(of_length) if small else of_length, "hash")
+            .join(F.broadcast(_known_windows(windows, length)), "hash")
             .where(F.array_join(F.slice("words", F.col("first") + 1, length), " ") == F.col("window"))
             .select("_key", "first", F.lit(length).alias("length"), "items")
         )
         hits = found if hits is None else hits.unionByName(found)
-    if hits is None:
-        return spark.createDataFrame([], "_key struct<id:string,hash:bigint>, n_hit int, items array<string>")
+    if not small:
+        hits = _found_by_shuffle(rows, windows, lengths)
     covered = F.aggregate(
         F.array_sort(F.collect_set(F.struct("first", "length"))),
         F.struct(F.lit(0).alias("upto"), F.lit(0).alias("n")),

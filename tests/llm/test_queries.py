@@ -63,8 +63,31 @@ def contamination(rows, items):
         yield doc_id, len(words), len(hit), sorted(found)
 
 
+@pytest.fixture
+def no_broadcasts(spark):
+    """Spark broadcasts nothing by its own size check."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_windows_beyond_the_broadcast_are_shuffled_without_their_text(spark, make_docs, no_broadcasts):
+    """Bytes shuffled follow the text: rows of the exchange by window have a hash and a place."""
+    benchmark = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(40)))], "item_id long, text string")
+    docs = make_docs([(i, " ".join(f"w{(i * 7 + j) % 90}" for j in range(3_000))) for i in range(6)])
+    rows = docs.selectExpr("struct(cast(doc_id AS string) AS id, xxhash64(text) AS hash) AS _key", "text AS _text")
+    found = decontamination.find_hits(rows, benchmark, "_text", 0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "words" in plan and "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
+    wide = decontamination.find_hits(rows, benchmark, "_text")
+    shown = lambda df: sorted((r._key.id, r.n_hit, tuple(r["items"])) for r in df.collect())
+    assert shown(found) == shown(wide) and len(shown(found)) == 6
+
+
 @pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
-def test_contamination_of_odd_rows(spark, make_docs, broadcast_bytes):
+def test_contamination_of_odd_rows(spark, make_docs, no_broadcasts, broadcast_bytes):
     long = " ".join(f"w{i}" for i in range(30))
     items = [(1, long), (2, "Tiny item"), (10, "tiny ITEM"), (3, None), (4, ""), (5, "--"), (None, "ünï 7"), (6, long[:60])]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
