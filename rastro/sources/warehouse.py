@@ -28,6 +28,8 @@ FACT = "fact_mediciones"
 FACT_PARTITION = "tiempo_id"
 ID_RANGES, LOAD_ERRORS = "id_ranges", "load_errors"
 ROLLUPS = {"rollup_diario": S.ROLLUP_DIARIO, "rollup_dispositivos": S.ROLLUP_DISPOSITIVOS}
+#: Tables of some dozen rows, written as one file without a shuffle.
+SMALL_TABLES = ("dim_hora", "dim_operador", "dim_red", "dim_calidad", "dim_zonas")
 #: Dimensions that grow with the facts.
 LARGE_DIMENSIONS = ("dim_ubicacion", "dim_dispositivo")
 #: Ids whose upper bits are equal share a bucket of this many bits.
@@ -177,8 +179,12 @@ def _written(change, name, rows):
     by_day = [FACT_PARTITION] if name == FACT else []
     typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name]])
     written = Observation()
+    if name in SMALL_TABLES:
+        typed = typed.coalesce(1)
+    else:
+        typed = typed.hint("rebalance", *[F.col(key) for key in by_day])
     # above the shuffle: tasks that write are counted once, also if a task before them runs again
-    typed = typed.hint("rebalance", *[F.col(key) for key in by_day]).observe(written, F.count(F.lit(1)).alias("rows"))
+    typed = typed.observe(written, F.count(F.lit(1)).alias("rows"))
     segment, path = change.new_segment(name)
     typed.write.partitionBy(*by_day).parquet(path)
     count = observed(written, "rows")
