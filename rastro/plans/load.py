@@ -56,7 +56,7 @@ def load_static_dimensions(spark, root, districts=None, anew=False, change=None)
         lacking = W.tables_that_lack(change, fixed)
         writes = [partial(W.insert_ignore_dimension, spark, root, name, fixed[name], change) for name in lacking]
         writes.append(partial(W.upsert_zones, spark, root, zones, change))
-    W.together(*writes)
+    W.together(spark, *writes)
 
 
 def load_batch(spark, root, readings, districts=None, anew=False, change=None, batch=None):
@@ -131,7 +131,7 @@ def _write(spark, root, prepared, change, anew):
         writes = [partial(W.rebuild_table, change, name, rows) for name, rows in members.items()]
     else:
         writes = [partial(W.insert_ignore_dimension, spark, root, name, rows, change) for name, rows in members.items()]
-    *written, stored = W.together(*writes, partial(W.store_facts, spark, root, P.build_fact(prepared), change, anew))
+    *written, stored = W.together(spark, *writes, partial(W.store_facts, spark, root, P.build_fact(prepared), change, anew))
     W.store_rollups(change, anew)
     counts = dict(zip(members, written))
     return {
@@ -161,7 +161,8 @@ def load_warehouse(spark, root, locations, districts=None, full_reload=False, ta
         load_static_dimensions(spark, root, districts, full_reload, change)
         setup = round(time.perf_counter() - begun, 3)
         if not full_reload and locations.isEmpty():
-            report = dict.fromkeys(COUNTS, 0) | {"prepare_seconds": 0.0, "write_seconds": 0.0}
+            change.entry["counts"] = dict.fromkeys(COUNTS, 0)
+            report = change.entry["counts"] | {"prepare_seconds": 0.0, "write_seconds": 0.0}
         else:
             report = load_batch(spark, root, locations, districts, full_reload, change)
     values = (late, *report.values(), setup)

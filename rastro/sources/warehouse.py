@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager, nullcontext
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Observation, Window
 from pyspark.sql import functions as F
 
@@ -159,13 +160,19 @@ def staged_path(spark, root, label):
 # --- writes ------------------------------------------------------------------------------
 
 
-def together(*writes):
+def together(spark, *writes):
     """Run writes of one change at the same time, so small ones do not wait for each other; their results in order.
 
-    An error of one is raised when all have ended.
+    An error of one is raised when all have ended. Scheduler pool and job group of the caller hold for all.
     """
+    inheriting = inheritable_thread_target(spark)
+    if not callable(inheriting):
+        # threads of Python are not those of the JVM here, there is nothing to hand on
+        def inheriting(write):
+            return write
+
     with ThreadPoolExecutor(len(writes)) as pool:
-        running = [pool.submit(write) for write in writes]
+        running = [pool.submit(inheriting(write)) for write in writes]
     return [write.result() for write in running]
 
 
@@ -267,6 +274,7 @@ def store_facts(spark, root, facts, change, anew=False):
             copies = facts.join(several, "source_id", "left_semi").select(*facts.columns)
             facts = once.unionByName(one_per_source_id(copies))
         counts["inserted"], _ = together(
+            spark,
             lambda: _written(change, FACT, facts),
             lambda: _written(change, ID_RANGES, id_runs(ids.where(new))),
         )
@@ -285,6 +293,7 @@ def store_rollups(change, anew=False):
     if added:
         inserted = _read(change.spark, change.root, FACT, Version(tables={FACT: added}))
         together(
+            change.spark,
             lambda: _written(change, "rollup_diario", daily_rollup(inserted, read_changed(change, "dim_ubicacion"))),
             lambda: _written(change, "rollup_dispositivos", device_rollup(inserted)),
         )
