@@ -141,13 +141,14 @@ def _searcher(shared, n_docs, n_terms, k):
             listed = np.flatnonzero(np.diff(begins))
             if len(listed):
                 bounds[listed] = np.maximum.reduceat(parts, begins[listed])
+            bounds = bounds.tolist()
             ids = batch.column(0)
             missing = ids.is_null().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
             for number, query in enumerate(queries):
                 old = best[number]
                 least = int(old[0][k - 1]) if len(old[0]) == k else 0
-                scores = accumulate(query, postings, bounds.tolist(), len(ids), k, least)
+                scores = accumulate(query, postings, bounds, len(ids), k, least)
                 new = np.flatnonzero(scores >= max(least, 1))
                 if len(new) > 4 * k:
                     new = new[scores[new] >= _kth(scores[new], k)]
