@@ -118,15 +118,23 @@ def id_runs(ids):
     return ends.select("bucket", "low", "high")
 
 
-def classified_ids(facts, ranges):
-    """One row per source id: its bucket, how often it occurs (``n``), and whether ``ranges`` holds it (``stored``)."""
-    counted = facts.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.withColumn("bucket", id_bucket("source_id"))
-    known = ranges.select(F.col("bucket").alias("_bucket"), "low", "high")
-    held = (F.col("bucket") == F.col("_bucket")) & F.col("source_id").between(F.col("low"), F.col("high"))
-    return counted.join(known, held, "left").select(
-        "source_id", "bucket", "n", F.col("low").isNotNull().alias("stored")
-    )
+def classified_ids(facts, ranges=None):
+    """One row per source id: its bucket, how often it occurs (``n``), and whether ``ranges`` holds it (``stored``).
+
+    Ids and runs of a bucket are put in one order. An id is held if a run that begins at or before it reaches it, so each
+    is looked at once, however many runs its bucket has; a bucket has at most 2^15 ids and as many runs.
+    """
+    counted = facts.groupBy("source_id").agg(F.count(F.lit(1)).alias("n")).withColumn("bucket", id_bucket("source_id"))
+    if ranges is None:
+        return counted.select("source_id", "bucket", "n", F.lit(False).alias("stored"))
+    places = counted.select("source_id", "bucket", "n", F.lit(None).cast("bigint").alias("high"))
+    runs = ranges.select(F.col("low").alias("source_id"), "bucket", F.lit(None).cast("bigint").alias("n"), "high")
+    # a run comes before the id that it begins with
+    order = Window.partitionBy("bucket").orderBy("source_id", F.col("high").desc_nulls_last())
+    reach = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    reached = places.unionByName(runs).withColumn("reach", reach).where(F.col("n").isNotNull())
+    stored = F.coalesce(F.col("reach") >= F.col("source_id"), F.lit(False))
+    return reached.select("source_id", "bucket", "n", stored.alias("stored"))
 
 
 def upserted(old, new, key):
@@ -251,7 +259,7 @@ def store_facts(spark, root, facts, change, anew=False):
     if anew:
         for name in (FACT, ID_RANGES):
             change.clear(name)
-    ranges = read_changed(change, ID_RANGES)
+    ranges = read_changed(change, ID_RANGES) if change.tables.get(ID_RANGES) else None
     with staged_path(spark, root, "ids") as staged:
         classified_ids(facts, ranges).write.parquet(staged)
         ids = spark.read.schema("source_id bigint, bucket bigint, n bigint, stored boolean").parquet(staged)

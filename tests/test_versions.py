@@ -317,6 +317,17 @@ def test_ids_are_classified_against_the_runs(spark):
     assert found == {i: (batch.count(i), i in stored) for i in set(batch)}
 
 
+def test_many_runs_of_a_bucket_are_passed_once(spark):
+    """Every other id is stored, so the only bucket has 2^14 runs: ids are not compared with each of them."""
+    every = 1 << W.BUCKET_BITS
+    runs = spark.range(0, every, 2).selectExpr("0L AS bucket", "id AS low", "id AS high")
+    facts = spark.range(0, every + 4).selectExpr("id AS source_id")
+    ids = W.classified_ids(facts, runs)
+    assert "Join" not in ids._jdf.queryExecution().executedPlan().toString()
+    wrong = ids.where("stored <> (source_id % 2 = 0 AND bucket = 0) OR n <> 1 OR bucket <> shiftright(source_id, 15)")
+    assert wrong.isEmpty() and ids.count() == every + 4
+
+
 def test_any_order_of_loads_stores_each_id_once(spark, frame):
     root = scratch_path(spark, "orders")
     batches = [(100, 101, 102), (5, 101, 200), (6, 5, 5, 300), (103, 7, 99, 100)]
