@@ -13,7 +13,7 @@ from rastro.operators.temporal import add_temporal_features, temporal_patterns
 from rastro.plans.daily import daily_pipeline, daily_results
 from rastro.plans.load import load_batch, load_static_dimensions, load_warehouse
 from rastro.plans.star import build_fact, dim_date, dim_zone, prepare_measurements
-from rastro.session import scratch_path
+from rastro.session import scratch_path, spread
 from rastro.sources import locations as L
 from rastro.sources import sinks
 from rastro.sources import warehouse as W
@@ -396,7 +396,7 @@ def load_large_ids(spark, sf_dir):
     root, path = scratch_path(spark, "large"), scratch_path(spark, "large-csv")
     time = F.coalesce("timestamp", "created_at")
     large = locations(spark, sf_dir).withColumns({"id": F.col("id") + _BIG, "timestamp": time})
-    sinks.write_csv(large.select(*S.REQUIRED_COLUMNS), path)
+    sinks.write_csv(spread(large.select(*S.REQUIRED_COLUMNS)), path)
     readings = L.read_locations_csv(spark, path)
     load_warehouse(spark, root, readings.where(F.col("id") % 2 == 0), districts(spark))
     load_warehouse(spark, root, readings, districts(spark), take_late=True)

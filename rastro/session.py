@@ -4,6 +4,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+#: Rows that a task should prepare at most; a task with fewer than the smaller number is left as it is.
+ROWS_PER_TASK, FEW_ROWS = 500_000, 50_000
 
 
 def build_session(app_name="rastro", master=None, **conf):
@@ -54,3 +58,17 @@ def scratch_path(spark, label):
 def observed(observation, name):
     """An observed count, after the action that it belongs to."""
     return observation.get[name]
+
+
+def spread(rows):
+    """The rows over all cores if few tasks hold most of them, else as they are; for work that costs more than a shuffle.
+
+    A file of one row group is read by one task, however large it is and into however many partitions it is split. So the
+    rows of each task are counted, which reads no column of columnar files.
+    """
+    counted = rows.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    total, largest = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // ROWS_PER_TASK))
+    if largest <= FEW_ROWS or largest * tasks <= 2 * total:
+        return rows
+    return rows.repartition(tasks)

@@ -5,9 +5,11 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.base import districts
 from rastro import schema as S
+from rastro import session
 from rastro.plans import load as load_module
 from rastro.plans import star as P
 from rastro.plans.load import load_batch, load_warehouse
@@ -359,6 +361,38 @@ def test_new_facts_are_found_without_reading_facts(spark, frame, monkeypatch):
     assert _ids(spark, root) == [*range(1, 50), 60, 61]
 
 
+# --- readings that one task reads -------------------------------------------------------------
+
+
+def test_readings_of_one_row_group_are_prepared_by_all_cores(spark, frame, monkeypatch):
+    """A file of one row group comes from one task, into however many partitions it is split."""
+    path, root = scratch_path(spark, "one-group"), scratch_path(spark, "one-group-dw")
+    n = session.FEW_ROWS + 10
+    many = frame(1).drop("id").crossJoin(spark.range(1, n + 1)).select(*S.LOCATIONS.names)
+    many.coalesce(1).write.parquet(path)
+    readings, staged = spark.read.parquet(path), []
+    write = load_module._write
+
+    def look(spark, root, prepared, change, anew):
+        staged.append(prepared.groupBy(F.spark_partition_id()).count().toDF("task", "n").agg(F.max("n")).first()[0])
+        staged.append(len(prepared.inputFiles()))
+        return write(spark, root, prepared, change, anew)
+
+    monkeypatch.setattr(load_module, "_write", look)
+    report = load_warehouse(spark, root, readings, districts(spark)).first()
+    assert (report["records_read"], report["records_inserted"]) == (n, n)
+    largest, files = staged
+    assert files >= spark.sparkContext.defaultParallelism and largest < n / 2
+
+
+def test_few_or_even_readings_stay_where_they_are(spark):
+    assert session.spread(spark.range(0, session.FEW_ROWS, 1, 1)).rdd.getNumPartitions() == 1
+    assert session.spread(spark.range(0, 10 * session.FEW_ROWS, 1, 8)).rdd.getNumPartitions() == 8
+    one = spark.range(0, 2 * session.FEW_ROWS, 1, 1)
+    dealt = session.spread(one)
+    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and dealt.exceptAll(one).isEmpty()
+
+
 # --- stream ----------------------------------------------------------------------------------
 
 
