@@ -238,8 +238,10 @@ def _new_warehouse(spark, label):
 def append_facts(spark, sf_dir):
     """Half of the facts, then all of them twice: each is kept once."""
     root = _new_warehouse(spark, "append")
-    whole = build_fact(prepare_measurements(locations(spark, sf_dir), districts(spark)))
-    W.append_facts(spark, root, _early_fact(spark, sf_dir))
+    known, readings = districts(spark), spread(locations(spark, sf_dir))
+    early = readings.filter(F.coalesce("timestamp", "created_at") < "2024-01-16")
+    whole = build_fact(prepare_measurements(readings, known))
+    W.append_facts(spark, root, build_fact(prepare_measurements(early, known)))
     W.append_facts(spark, root, whole.unionAll(whole))
     return _fact_shown(W.read_warehouse_table(spark, root, "fact_mediciones"))
 

@@ -308,9 +308,13 @@ def store_rollups(change, anew=False):
 
 
 def append_facts(spark, root, facts, change=None):
-    """Append facts whose source id is new; returns how many. Facts without one are left out."""
-    with _part_of(spark, root, "append facts", change) as change:
-        inserted = store_facts(spark, root, facts, change)["inserted"]
+    """Append facts whose source id is new; returns how many. Facts without one are left out.
+
+    The facts are written once and read back, so their ids and rows come from one run of whatever computes them.
+    """
+    with _part_of(spark, root, "append facts", change) as change, staged_path(spark, root, "facts") as staged:
+        facts.write.parquet(staged)
+        inserted = store_facts(spark, root, spark.read.schema(facts.schema).parquet(staged), change)["inserted"]
         store_rollups(change)
         return inserted
 

@@ -361,6 +361,22 @@ def test_new_facts_are_found_without_reading_facts(spark, frame, monkeypatch):
     assert _ids(spark, root) == [*range(1, 50), 60, 61]
 
 
+def test_appended_facts_are_computed_once(spark, frame):
+    """Stored and repeated ids among them: rows are split several ways, but from one run of what makes them."""
+    root, runs = scratch_path(spark, "once"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    facts = P.build_fact(P.prepare_measurements(frame(*range(1, 31), *range(20, 31)), districts(spark)))
+    facts = facts.withColumn("fecha_carga", F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz"))
+    assert W.append_facts(spark, root, facts.where("source_id < 10")) == 9
+    assert W.append_facts(spark, root, facts.mapInArrow(counted, facts.schema)) == 21
+    assert runs.value == 41 and _ids(spark, root) == [*range(1, 31)]
+
+
 # --- readings that one task reads -------------------------------------------------------------
 
 
