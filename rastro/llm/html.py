@@ -9,32 +9,49 @@ of its own from text. So markup comes first: an article (or main) element is the
 headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments never are, wherever they
 stand. An article in a wrapper that only its class or id calls one of these opens a scope of its own. Repetition decides on the pages, and the parts of pages, that markup says nothing about.
 
-Pages are grouped by host, and a host with many pages into groups of about ``GROUP_PAGES``, so no task holds a whole
-large host. Groups of one host list the 64-bit hashes of their token runs by ranges of the hash; a range tells each group which
-of its runs another page has. Short hashes go first, so that most runs, which no other group has, need no full one.
-Each page is one result row, and its text does not depend on the groups.
+Pages stay where they are read: each task cuts its rows into groups of up to ``GROUP_PAGES``, parses each page once and sorts
+the suffixes of a group, within each host. Html is not shuffled. Groups travel as compressed arrays of tokens, and compare
+their runs with those of all other groups in two steps:
+
+* first by anchors. The anchor of a run is the least hash of its stretches of ``ANCHOR`` tokens, so neighbours share anchors and
+  about half as many travel. Hashes are shortened so that most anchors that no other group has are known to be unique;
+* then by 64-bit hashes of whole runs, only of those with an anchor that another group has too. A run that each of its groups
+  has on two pages already need not be asked for.
+
+Each page is one result row, and its text does not depend on the groups. A task that is run again must find its rows in the same
+order, as it does in files.
 
 Defined results: null or empty html has empty text, a null url is a host of its own. Repeated rows give a row
 each; they count as one page where repetition is looked for. Unclosed elements end with the page.
 """
 
 import re
+from dataclasses import dataclass
 from hashlib import blake2b
 from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pandas.util import hash_array
+from pyspark import TaskContext
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from rastro.llm.packing import cuts, pack, unpack
+from rastro.llm.packing import compressed, cuts, decompressed, pack, unpack
 from rastro.llm.workers import find_package
 
-GROUP_PAGES = 128
-#: The pages per host are broadcast if there are no more hosts than this: a name and a number each.
+#: Pages and bytes of html of a group at most; one larger page is a group of its own.
+GROUP_PAGES, GROUP_BYTES = 1024, 8 << 20
+#: Html per part, of which each compares a range of anchors; a small table has up to ``FEW_PARTS`` smaller parts.
+PART_BYTES, LEAST_PART_BYTES, FEW_PARTS = 64 << 20, 1 << 20, 64
+#: Not read any more, as pages are not joined with the sizes of their hosts; the name stays for callers that set it.
 BROADCAST_HOSTS = 500_000
 REPEAT = 8
-#: Runs of a host with several groups are dealt by their hash to a range for every so many groups.
-RANGE_GROUPS = 8
+#: Tokens of an anchor.
+ANCHOR = 6
+#: Words are compressed harder than all else, as they are most of what is sent.
+WORDS_LEVEL = 6
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -165,59 +182,116 @@ def parse(html):
     return tokens, blocks
 
 
-def run_hashes(streams, width=REPEAT):
-    """Where a run of ``width`` tokens begins in the row of all streams, its stream, and its 64-bit hash."""
-    numbers = {}
-    for token in set().union(*streams):
-        numbers[token] = int.from_bytes(blake2b(token.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-    sizes = np.array([len(s) for s in streams], np.int64)
-    flat = np.array([numbers[t] for s in streams for t in s], np.uint64)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(flat))
-    whole = np.flatnonzero(left >= width)
-    hashes = np.zeros(len(whole), np.uint64)
-    for k in range(width):
-        hashes = (hashes ^ flat[whole + k]) * np.uint64(0x9E3779B97F4A7C15)
-        hashes ^= hashes >> np.uint64(29)
-    hashes *= np.uint64(0xBF58476D1CE4E5B9)
-    return whole, np.repeat(np.arange(len(streams)), sizes)[whole], hashes ^ (hashes >> np.uint64(32))
+@dataclass
+class Group:
+    """Token streams of distinct pages in a row, as arrays."""
+
+    words: list  # the distinct tokens, frequent ones first, those that occur once in their order
+    ids: np.ndarray  # the tokens, by their place in ``words``
+    sizes: np.ndarray  # tokens per page
+    marks: np.ndarray  # per token 0, or 1 + 3 * number of its block + what ``parse`` says of the block
+    hosts: np.ndarray  # 64-bit hash of the host per page
+    names: np.ndarray  # 64-bit hash of the html per page
+    starts: np.ndarray  # for each token if a run begins there that another page of the host in this group has too
+
+
+def _hashed(texts):
+    return hash_array(np.array([*texts, ""], object), categorize=False)[:-1]
+
+
+def _numbered(tokens):
+    """The distinct tokens, frequent ones first, and the place of each token among them."""
+    found = pa.array(tokens, pa.string()).dictionary_encode()
+    ids = found.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(-np.bincount(ids, minlength=len(found.dictionary)), kind="stable")
+    return found.dictionary.take(pa.array(order)).to_pylist(), np.argsort(order)[ids]
 
 
-def repeated_tokens(streams, width=REPEAT, elsewhere=None):
-    """For each stream, which tokens lie in a run of ``width`` tokens that another stream has too.
+def _to_end(sizes):
+    """For each token, how many are left to the end of its page."""
+    return np.repeat(np.cumsum(sizes), sizes) - np.arange(int(sizes.sum()))
 
-    ``elsewhere`` has hashes of runs that streams of other groups have.
+
+def _first_alike(keys, places):
+    """For each of ``keys``, at ``places``: the first place with an equal key, and if another place has one."""
+    order = np.argsort(keys, kind="stable")
+    begins = np.ones(len(keys), bool)
+    begins[1:] = keys[order][1:] != keys[order][:-1]
+    numbers = np.cumsum(begins) - 1
+    first, again = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
+    first[order] = places[order[begins]][numbers]
+    again[order] = (np.bincount(numbers) > 1)[numbers]
+    return first, again
+
+
+def repeated_starts(ids, sizes, hosts, width=REPEAT):
+    """For each token if a run of ``width`` tokens begins there that another page of the same host has too.
+
+    Suffixes are sorted by 1, 2, 4 .. tokens; those that are equal so far have the place of their first as rank, and one that
+    equals no other is done with.
     """
-    numbers = {}
-    sizes = np.array([len(s) for s in streams], np.int64)
-    pages = np.repeat(np.arange(len(streams)), sizes)
-    flat = [numbers.setdefault(t, len(numbers)) for s in streams for t in s]
-    rank = np.array(flat, np.int64)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(rank))  # tokens to the end of the page
+    n = len(ids)
+    starts = np.zeros(n, bool)
+    if not n:
+        return starts
+    _, host = np.unique(hosts, return_inverse=True)
+    pages, left = np.repeat(np.arange(len(sizes)), sizes), _to_end(sizes)
+    rank, again = _first_alike(ids.astype(np.int64) * (len(hosts) + 1) + host[pages], np.arange(n))
+    tied = np.flatnonzero(again)
     have = 1
-    while have < width:
+    while have < width and len(tied):
         # suffixes by twice as many tokens, from their ranks by the first and the second half
         step = min(have, width - have)
-        after = np.zeros(len(rank), np.int64)
-        after[: len(rank) - step] = rank[step:] + 1
-        after[left <= step] = 0
-        _, rank = np.unique(rank * (len(rank) + len(numbers) + 2) + after, return_inverse=True)
+        tied = tied[left[tied] >= have + step]
+        ranks, again = _first_alike(rank[tied] * n + rank[tied + step], tied)
+        # all others equal none that is compared from here on
+        rank = np.arange(n)
+        rank[tied] = ranks
+        tied = tied[again]
         have += step
-    whole = np.flatnonzero(left >= width)
-    low = np.full(int(rank.max(initial=-1)) + 1, len(streams))
-    high = np.full(len(low), -1)
-    np.minimum.at(low, rank[whole], pages[whole])
-    np.maximum.at(high, rank[whole], pages[whole])
-    starts = whole[(low < high)[rank[whole]]]
-    if elsewhere is not None and len(elsewhere):
-        places, _, hashes = run_hashes(streams, width)
-        starts = np.union1d(starts, places[np.isin(hashes, elsewhere)])
-    edges = np.zeros(len(rank) + 1, np.int64)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, starts + width, -1)
-    covered = np.cumsum(edges)[:-1] > 0
+    tied = tied[left[tied] >= width]
+    order = tied[np.argsort(rank[tied], kind="stable")]
+    if len(order):
+        begins = np.array([a for a, _ in cuts(rank[order])])
+        low, high = (f.reduceat(pages[order], begins) for f in (np.minimum, np.maximum))
+        starts[order] = np.repeat(low < high, np.diff(np.append(begins, len(order))))
+    return starts
+
+
+def covered_tokens(starts, width=REPEAT):
+    """Which tokens lie in a run of ``width`` that begins at one of ``starts``."""
+    edges = np.zeros(len(starts) + width, np.int64)
+    edges[: len(starts)] += starts
+    edges[width:] -= starts
+    return np.cumsum(edges)[: len(starts)] > 0
+
+
+def repeated_tokens(streams, width=REPEAT):
+    """For each stream, which tokens lie in a run of ``width`` tokens that another stream has too."""
+    sizes = np.array([len(s) for s in streams], np.int64)
+    _, ids = _numbered([t for s in streams for t in s])
+    covered = covered_tokens(repeated_starts(ids, sizes, np.zeros(len(sizes), np.int64), width), width)
     return np.split(covered, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
+def _group(htmls, hosts):
+    """The group of distinct ``htmls`` with their hosts."""
+    tokens, sizes, marks = [], [], []
+    for html in htmls:
+        found, blocks = parse(html)
+        mark = np.zeros(len(found), np.int32)
+        for i, (main, _, places) in enumerate(blocks):
+            mark[places] = 1 + 3 * i + main
+        tokens += found
+        sizes.append(len(found))
+        marks.append(mark)
+    words, ids = _numbered(tokens)
+    sizes, hosts = np.array(sizes, np.int64), _hashed(hosts)
+    digests = [blake2b(h.encode("utf-8", "surrogatepass"), digest_size=8).digest() for h in htmls]
+    names = np.frombuffer(b"".join(digests), np.uint64)
+    return Group(words, ids, sizes, np.concatenate([np.empty(0, np.int32), *marks]), hosts, names, repeated_starts(ids, sizes, hosts))
+
+
 def _unique_runs(words, covered):
     """Words of a block without its covered stretches; one that only reaches into the block stays."""
     edges = np.flatnonzero(np.diff(covered, prepend=~covered[:1], append=~covered[-1:]))
@@ -228,139 +302,328 @@ def _unique_runs(words, covered):
     return kept
 
 
-def main_texts(pages, elsewhere=None):
-    """Main text of each html of one group of a host, and how many of its tokens are boilerplate.
-
-    ``elsewhere`` has the hashes of runs that pages of the host's other groups have too.
+def _texts(group, starts):
+    """Main text of each page of a group, and how many of its tokens lie in runs of other pages, which begin at ``starts``.
 
     The runs that no other page has are the text, but for two checks by markup: in pages with a main
     element, its blocks are whole and others go; and chrome goes in all.
     """
-    parsed = [parse(html) for html in pages]
+    covered = covered_tokens(starts)
+    ends = np.cumsum(group.sizes)
+    pages = np.repeat(np.arange(len(ends)), group.sizes)
+    repeated = np.bincount(pages[covered], minlength=len(ends)).tolist()
+    inside = np.flatnonzero(group.marks)
+    levels = (group.marks[inside] - 1) % 3
+    size = [np.bincount(pages[inside[levels == level]], minlength=len(ends)) for level in (0, 1, 2)]
+    # an article in a wrapper named like chrome counts unless the page has another, or more text elsewhere
+    marked = np.where(size[1] > 0, 1, np.where(size[2] > size[0], 2, 0))
+    wanted = marked[pages[inside]]
+    inside = inside[(wanted == 0) | (wanted == levels)]
+    words = np.array([*group.words, ""], object)[group.ids[inside]].tolist()
+    covered = covered[inside]
+    lines = [[] for _ in ends]
+    block = pages[inside] * (int(group.marks.max(initial=0)) + 1) + group.marks[inside]
+    for a, b in cuts(block):
+        page = pages[inside[a]]
+        kept = words[a:b] if marked[page] else _unique_runs(words[a:b], covered[a:b])
+        if kept:
+            lines[page].append(" ".join(kept))
+    return ["\n".join(found) for found in lines], repeated
+
+
+def main_texts(pages):
+    """Main text of each html of a host, and how many of its tokens are boilerplate."""
     # repeated rows of a page show nothing about the template
     distinct = {}
-    for i, html in enumerate(pages):
-        distinct.setdefault(html, i)
-    firsts = list(distinct.values())
-    covered = dict(zip(firsts, repeated_tokens([parsed[i][0] for i in firsts], elsewhere=elsewhere)))
-    texts, repeated = [], []
-    for html, (_, blocks) in zip(pages, parsed):
-        template = covered[distinct[html]]
-        repeated.append(int(template.sum()))
-        size = [sum(len(words) for main, words, _ in blocks if main == level) for level in (0, 1, 2)]
-        # an article in a wrapper named like chrome counts unless the page has another, or more text elsewhere
-        marked = 1 if size[1] else 2 if size[2] > size[0] else None
-        kept = []
-        for main, words, places in blocks:
-            kept.append(words if main == marked else [] if marked else _unique_runs(words, template[places]))
-        texts.append("\n".join(" ".join(words) for words in kept if words))
-    return texts, repeated
-
-
-_RUNS = "_host string, _salt bigint, _range bigint, stage int, n bigint, runs binary, low binary, high binary"
-_REPLIES = "_host string, _salt bigint, stage int, n bigint, runs binary"
+    of_page = [distinct.setdefault(html, len(distinct)) for html in pages]
+    group = _group(list(distinct), [""] * len(distinct))
+    texts, repeated = _texts(group, group.starts)
+    return [texts[i] for i in of_page], [repeated[i] for i in of_page]
+
+
+# --- comparing the groups -------------------------------------------------------------------
+
+_MIX, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+def _mixed(hashes):
+    hashes = hashes * _LAST
+    return hashes ^ (hashes >> np.uint64(32))
+
+
+def run_hashes(group):
+    """Where the runs of a group begin, their 64-bit hashes, and those of their anchors. All depend on the host.
+
+    The anchor of a run is the least of its stretches of ``ANCHOR`` tokens by hash: equal runs have equal anchors, and
+    neighbours often share one.
+    """
+    flat = _hashed(group.words)[group.ids]
+    left = _to_end(group.sizes)
+    # mixed, as the name of the host is a token of many pages
+    seeds = np.repeat(_mixed(group.hosts), group.sizes)
+    whole = np.flatnonzero(left >= REPEAT)
+    n = max(len(flat) - ANCHOR + 1, 0)  # a stretch that leaves its page is in no whole run
+    hashes = seeds[:n]
+    for k in range(ANCHOR):
+        hashes = (hashes ^ flat[k : n + k]) * _MIX
+        hashes ^= hashes >> np.uint64(29)
+    least = hashes[whole]
+    for k in range(1, REPEAT - ANCHOR + 1):
+        least = np.minimum(least, hashes[whole + k])
+    hashes = hashes[whole]
+    for k in range(ANCHOR, REPEAT):
+        hashes = (hashes ^ flat[whole + k]) * _MIX
+        hashes ^= hashes >> np.uint64(29)
+    return whole, _mixed(hashes), _mixed(least)
+
+
+def _packed(numbers):
+    """Bytes of increasing numbers, by their differences."""
+    return pack(np.diff(numbers, prepend=np.uint64(0)))
+
+
+def _unpacked(data, n):
+    return np.cumsum(unpack(data, n, np.uint64), dtype=np.uint64)
+
+
+def _joined(rows):
+    """The numbers of all ``rows`` in order."""
+    return np.sort(np.concatenate([np.empty(0, np.uint64), *(_unpacked(r["runs"], r["n"]) for r in rows)]))
+
+
+def _among(numbers, known):
+    """Which numbers are among the ordered ``known``."""
+    if not len(known):
+        return np.zeros(len(numbers), bool)
+    return known[np.minimum(np.searchsorted(known, numbers), len(known) - 1)] == numbers
+
+
+def _bits(flags):
+    return pack(np.packbits(flags))
+
+
+def _flags(data, n):
+    return np.unpackbits(unpack(data, -(-n // 8), np.uint8), count=n).astype(bool)
+
+
+def _dealt(numbers, bits, n_parts):
+    """Cuts ordered numbers of ``bits`` bits at the borders of ``n_parts`` ranges: number of the range, begin and end."""
+    ranges = ((numbers >> np.uint64(bits - 32)) * np.uint64(n_parts)) >> np.uint64(32)
+    return [(int(ranges[a]), a, b) for a, b in cuts(ranges)]
+
+
+def _arrow(kind):
+    return {"bigint": pa.int64(), "binary": pa.binary()}[kind]
 
 
 def _table(schema, rows):
-    types = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
-    fields = pa.schema([(name, types[kind]) for name, kind in (f.split() for f in schema.split(", "))])
-    return pa.Table.from_pylist([dict(zip(fields.names, row)) for row in rows], fields)
+    """Rows, dicts of some columns of ``schema``."""
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.table({name: pa.array([r.get(name) for r in rows], _arrow(kind)) for name, kind in fields})
+
+
+#: What a group sends: its anchors, and the names of its pages among them, to the part that compares their range, with a bit
+#: for each that says if some run with it is on one page only; and itself to its own part, ``home``.
+_SENT = (
+    "part bigint, sender bigint, home bigint, n bigint, runs binary, open binary, "
+    "rows binary, pages bigint, tokens bigint, size bigint, words binary, arrays binary, ids binary, marks binary, starts binary"
+)
+#: Full hashes of runs, a bit for each that is on one page only, a bit for each of these whose page may have a copy in another
+#: group, and the names of those pages.
+_RUNS = "part bigint, sender bigint, home bigint, n bigint, runs binary, open binary, named binary, names binary"
+_REPLIES = "home bigint, sender bigint, n bigint, runs binary"
+
+
+def _saved(group):
+    text = "\n".join(group.words).encode()  # no token has white space
+    arrays = np.concatenate([group.sizes, group.hosts.view(np.int64), group.names.view(np.int64)])
+    # words that occur once come in their order, so 0 stands for the next of them
+    again = int((np.bincount(group.ids, minlength=1) > 1).sum())
+    ids = np.where(group.ids < again, group.ids + 1, 0).astype(np.uint32)
+    steps = np.diff(group.marks, prepend=np.int32(0))
+    return {
+        "pages": len(group.sizes), "tokens": len(ids), "size": len(text), "words": compressed(text, WORDS_LEVEL), "arrays": pack(arrays),
+        "ids": pack(ids), "marks": pack(steps << 1 ^ steps >> 31), "starts": _bits(group.starts),
+    }
+
+
+def _restored(row):
+    n = row["tokens"]
+    sizes, hosts, names = unpack(row["arrays"], 3 * row["pages"], np.int64).reshape(3, -1)
+    words = decompressed(row["words"], row["size"]).decode().split("\n")
+    ids = unpack(row["ids"], n, np.uint32).astype(np.int64) - 1
+    once = np.flatnonzero(ids < 0)
+    ids[once] = np.arange(len(words) - len(once), len(words))
+    steps = unpack(row["marks"], n, np.int32)
+    marks = np.cumsum(steps >> 1 ^ -(steps & 1), dtype=np.int32)
+    return Group(words, ids, sizes, marks, hosts.view(np.uint64), names.view(np.uint64), _flags(row["starts"], n))
+
+
+def _cut(batches):
+    """The rows of ``batches`` as tables of up to ``GROUP_PAGES`` rows, and about ``GROUP_BYTES`` of html."""
+    waiting, rows, held = [], 0, 0
+    for batch in batches:
+        at = 0
+        sizes = pc.fill_null(pc.binary_length(batch.column("_html")), 0).to_numpy(zero_copy_only=False)
+        while at < len(sizes):
+            space = sizes[at : at + GROUP_PAGES - rows].cumsum() + held
+            n = min(int(np.searchsorted(space, GROUP_BYTES)) + 1, len(space))
+            waiting.append(batch.slice(at, n))
+            at, rows, held = at + n, rows + n, int(space[n - 1])
+            if rows >= GROUP_PAGES or held >= GROUP_BYTES:
+                yield pa.Table.from_batches(waiting)
+                waiting, rows, held = [], 0, 0
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _send_groups(n_parts, bits):
+    """Parses pages, finds what a group's own pages repeat, and sends the anchors of its runs and the group itself."""
+
+    def run(batches):
+        task = TaskContext.get().partitionId()
+        for number, table in enumerate(_cut(batches)):
+            distinct = {}
+            pairs = zip(table.column("_host").to_pylist(), table.column("_html").to_pylist())
+            of_row = [distinct.setdefault((host, html or ""), len(distinct)) for host, html in pairs]
+            group = _group([html for _, html in distinct], [host for host, _ in distinct])
+            keys = table.drop_columns(["_host", "_html"]).append_column("_page", pa.array(of_row, pa.int32()))
+            # multiples of the golden ratio: groups are dealt evenly, however many a task has
+            home = int((4 * task + number) * 0.6180339887498949 % 1 * n_parts)
+            sender = {"sender": task << 32 | number, "home": home}
+            rows = [{"part": home, **sender, "rows": _stream(keys), **_saved(group)}]
+            whole, _, anchors = run_hashes(group)
+            shift = np.uint64(64 - bits)
+            single = np.unique(np.concatenate([anchors[~group.starts[whole]], group.names]) >> shift)
+            anchors = np.unique(np.concatenate([anchors, group.names]) >> shift)
+            is_open = _among(anchors, single)
+            for part, a, b in _dealt(anchors, bits, n_parts):
+                rows.append({"part": part, **sender, "n": b - a, "runs": _packed(anchors[a:b]), "open": _bits(is_open[a:b])})
+            yield from _table(_SENT, rows).to_batches()
 
+    return run
 
-def _packed(runs):
-    """Bytes of increasing hashes, by their differences."""
-    return pack(np.diff(runs, prepend=np.uint64(0)))
 
+def _stream(table):
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
 
-def _unpacked(rows):
-    """The hashes of rows with ``n`` and ``runs``, joined."""
-    found = [np.cumsum(unpack(r["runs"], r["n"], np.uint64), dtype=np.uint64) for r in rows]
-    return np.concatenate([np.empty(0, np.uint64), *found])
 
+def _groups_in(table):
+    return table.filter(pc.is_valid(table.column("rows"))).to_pylist()
 
-def _extremes(runs, low, high):
-    """The distinct runs in order, with the least of ``low`` and the greatest of ``high``."""
-    order = np.argsort(runs, kind="stable")
-    begins = np.array([a for a, _ in cuts(runs[order])], np.int64)
-    if not len(begins):
-        return runs, low, high
-    return runs[order][begins], np.minimum.reduceat(low[order], begins), np.maximum.reduceat(high[order], begins)
-
-
-def _list_runs(stage):
-    """The runs of a group for the ranges of its host: first by short hashes, then in full where another group has the short one."""
-
-    def run(pages, replies=None):
-        groups = pages.column("_groups")[0].as_py() if len(pages) else 1
-        if groups <= 1:
-            return _table(_RUNS, [])
-        host, salt = pages.column("_host")[0].as_py(), pages.column("_salt")[0].as_py()
-        htmls = list(dict.fromkeys(h or "" for h in pages.column("_html").to_pylist()))
-        _, page, hashes = run_hashes([parse(html)[0] for html in htmls])
-        # about 2^16 runs a group: a run meets another's short hash by chance in less than 1 of 100 cases
-        short = hashes >> np.uint64(max(64 - 23 - (groups - 1).bit_length(), 0))
-        if stage == 0:
-            runs, low, high = _extremes(short, page, page)
-            low, high = np.full(len(runs), 2 * salt), 2 * salt + (low < high)
-        else:
-            asked = np.isin(short, _unpacked(replies.to_pylist()))
-            digests = [blake2b(h.encode("utf-8", "surrogatepass"), digest_size=8).digest() for h in htmls]
-            names = np.frombuffer(b"".join(digests), np.int64)[page[asked]]
-            runs, low, high = _extremes(hashes[asked], names, names)
-        ranges = (runs % np.uint64(-(-groups // RANGE_GROUPS))).astype(np.int64)
-        order = np.argsort(ranges, kind="stable")
-        rows = []
-        for a, b in cuts(ranges[order]):
-            own = order[a:b]
-            arrays = _packed(runs[own]), pack(low[own].astype(np.int64)), pack(high[own].astype(np.int64))
-            rows.append((host, salt, int(ranges[own[0]]), stage, len(own), *arrays))
-        return _table(_RUNS, rows)
+
+def _replies(rows, listed, chosen):
+    """To the sender of each of ``rows`` those of its numbers that are ``chosen``, for all rows one after the other."""
+    found, begin = [], 0
+    for r, own in zip(rows, listed):
+        own, begin = own[chosen[begin : begin + len(own)]], begin + len(own)
+        if len(own):
+            found.append({"home": r["home"], "sender": r["sender"], "n": len(own), "runs": _packed(own)})
+    return _table(_REPLIES, found)
+
+
+def _find_shared(table):
+    """For each group its anchors in one range that another group has too, unless all have each run with it on two pages."""
+    rows = table.select(["sender", "home", "n", "runs", "open"]).filter(pc.is_valid(table.column("runs"))).to_pylist()
+    listed = [_unpacked(r["runs"], r["n"]) for r in rows]
+    is_open = np.concatenate([np.empty(0, bool), *(_flags(r["open"], r["n"]) for r in rows)])
+    anchors = np.concatenate([np.empty(0, np.uint64), *listed])
+    ordered = np.sort(anchors)
+    shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    return _replies(rows, listed, _among(anchors, np.intersect1d(shared, anchors[is_open])))
+
+
+def _send_runs(n_parts, bits):
+    """The full hashes of the runs that have an anchor that another group has too."""
+
+    def run(table, replies):
+        asked = replies.to_pylist()
+        found = []
+        for row in _groups_in(table) if asked else []:
+            known = _joined([r for r in asked if r["sender"] == row["sender"]])
+            if not len(known):
+                continue
+            group = _restored(row)
+            shift = np.uint64(64 - bits)
+            whole, hashes, anchors = run_hashes(group)
+            chosen = np.flatnonzero(_among(anchors >> shift, known))
+            runs, first = np.unique(hashes[chosen], return_index=True)
+            places = whole[chosen[first]]
+            names, is_open = np.repeat(group.names, group.sizes)[places], ~group.starts[places]
+            named = is_open & _among(names >> shift, known)
+            for part, a, b in _dealt(runs, 64, n_parts):
+                bits_of = {"open": _bits(is_open[a:b]), "named": _bits(named[a:b]), "names": pack(names[a:b][named[a:b]])}
+                found.append({"part": part, "sender": row["sender"], "home": row["home"], "n": b - a, "runs": _packed(runs[a:b]), **bits_of})
+        return _table(_RUNS, found)
 
     return run
 
 
 def _find_repeated(table):
-    """For each group, its runs in one range of its host that two different pages have."""
+    """For each group, its runs in one range that are on one of its pages and on another page elsewhere."""
     rows = table.to_pylist()
-    listed = [_unpacked([r]) for r in rows]
-    low, high = (np.concatenate([unpack(r[name], r["n"], np.int64) for r in rows]) for name in ("low", "high"))
-    runs, low, high = _extremes(np.concatenate(listed), low, high)
-    repeated = runs[low < high]
-    found = [(r, own[np.isin(own, repeated)]) for r, own in zip(rows, listed)]
-    return _table(_REPLIES, [(r["_host"], r["_salt"], r["stage"], len(x), _packed(x)) for r, x in found if len(x)])
-
+    listed = [_unpacked(r["runs"], r["n"]) for r in rows]
+    is_open = [_flags(r["open"], r["n"]) for r in rows]
+    low, high = [], []
+    for number, (r, single) in enumerate(zip(rows, is_open)):
+        named = _flags(r["named"], r["n"])
+        names = unpack(r["names"], int(named.sum()), np.uint64)
+        # a page without copies elsewhere is another than those of all other groups
+        for found, other in ((low, 0), (high, np.iinfo(np.uint64).max)):
+            found.append(np.where(single, np.uint64(number), np.uint64(other)))
+            found[-1][named] = names
+    runs, is_open, low, high = (np.concatenate(x) for x in (listed, is_open, low, high))
+    order = np.argsort(runs, kind="stable")
+    begins = np.array([a for a, _ in cuts(runs[order])], np.int64)
+    twice = np.minimum.reduceat(low[order], begins) < np.maximum.reduceat(high[order], begins)
+    return _replies(rows, listed, is_open & _among(runs, runs[order][begins][twice]))
+
+
+def _extract(schema):
+    def run(table, replies):
+        told = replies.to_pylist()
+        found = []
+        for row in _groups_in(table):
+            group = _restored(row)
+            starts = group.starts
+            elsewhere = _joined([r for r in told if r["sender"] == row["sender"]])
+            if len(elsewhere):
+                whole, hashes, _ = run_hashes(group)
+                starts[whole[_among(hashes, elsewhere)]] = True
+            texts, repeated = _texts(group, starts)
+            keys = pa.ipc.open_stream(row["rows"]).read_all()
+            of_row = keys.column("_page").to_pylist()
+            kept = keys.drop_columns(["_page"]).append_column("text", pa.array([texts[i] for i in of_row], pa.string()))
+            found.append(kept.append_column("n_repeated", pa.array([repeated[i] for i in of_row], pa.int64())))
+        return pa.concat_tables(found) if found else schema.empty_table()
 
-def _extract(pages, replies):
-    texts, repeated = main_texts([h or "" for h in pages.column("_html").to_pylist()], _unpacked(replies.to_pylist()))
-    kept = pages.drop_columns(["_html", "_host", "_salt", "_groups"])
-    kept = kept.append_column("text", pa.array(texts, pa.string()))
-    return kept.append_column("n_repeated", pa.array(repeated, pa.int64()))
+    return run
 
 
 def extract_main_text(pages, html="html", url="url", keys=("page_id", "url")):
-    """``keys`` of every page, its ``text``, and ``n_repeated``, its tokens in runs of other pages."""
+    """``keys`` of every page, its ``text``, and ``n_repeated``, its tokens in runs of other pages.
+
+    Measures the html when called.
+    """
     find_package(pages.sparkSession)
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(*keys, F.col(html).alias("_html"), host.alias("_host"))
-    sizes = rows.groupBy("_host").agg(F.ceil(F.count("*") / GROUP_PAGES).alias("_groups"))
-    few = sizes.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    salt = F.pmod(F.xxhash64(*keys), F.col("_groups"))
-    grouped = rows.join(F.broadcast(sizes) if few else sizes, "_host")
-    grouped = grouped.withColumn("_salt", salt)
-    if not few:
-        # a join by host leaves a host in one place; its groups must leave it
-        grouped = grouped.repartition("_host", "_salt")
+    n_bytes = int(rows.agg(F.coalesce(F.sum(F.octet_length("_html")), F.lit(0))).first()[0])
+    n_parts = max(n_bytes // PART_BYTES, min(n_bytes // LEAST_PART_BYTES, FEW_PARTS)) + 1
+    # a run meets another's short hash by chance in less than 1 of 100 cases, with one anchor for eight bytes of html
+    bits = min(max((n_bytes // 8).bit_length() + 7, 32), 64)
     schema = pages.select(*keys).withColumns(
         {"text": F.lit(""), "n_repeated": F.lit(0).cast("long")}
     ).schema
-    groups = grouped.groupBy("_host", "_salt")
-    replies = None
-    for stage in (0, 1):
-        asked = groups if replies is None else groups.cogroup(replies.groupBy("_host", "_salt"))
-        listing = _list_runs(stage)
-        runs = asked.applyInArrow((lambda pages: listing(pages)) if replies is None else (lambda a, b: listing(a, b)), _RUNS)
-        replies = runs.groupBy("_host", "_range").applyInArrow(_find_repeated, _REPLIES)
-    return groups.cogroup(replies.groupBy("_host", "_salt")).applyInArrow(_extract, schema)
+    # the shuffle is made once; all three steps that need anchors or groups read it
+    groups = rows.mapInArrow(_send_groups(n_parts, bits), _SENT).groupBy("part")
+    shared = groups.applyInArrow(_find_shared, _REPLIES)
+    runs = groups.cogroup(shared.groupBy("home")).applyInArrow(_send_runs(n_parts, bits), _RUNS)
+    repeated = runs.groupBy("part").applyInArrow(_find_repeated, _REPLIES)
+    return groups.cogroup(repeated.groupBy("home")).applyInArrow(_extract(to_arrow_schema(schema)), schema)
 
 
 def page_report(pages):

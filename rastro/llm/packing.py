@@ -20,8 +20,8 @@ def unpack(data, size, dtype):
     return np.ascontiguousarray(planes.reshape(width, size).T).view(dtype).ravel()
 
 
-def compressed(data):
-    return pa.compress(data, codec="zstd", asbytes=True) if len(data) else b""
+def compressed(data, level=None):
+    return pa.Codec(_CODEC, compression_level=level).compress(data, asbytes=True) if len(data) else b""
 
 
 def decompressed(data, size):

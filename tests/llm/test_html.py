@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -111,3 +112,61 @@ def test_groups_find_what_few_pages_share(spark):
     assert all(found[i].n_repeated == 0 and found[i].text.startswith("one text") for i in range(2000, 2010))
     tokens = [html.parse(h)[0] for _, _, h in rows[:1500]]
     assert [found[i].n_repeated for i in range(1500)] == [int(c.sum()) for c in html.repeated_tokens(tokens)]
+
+
+def repeated_by_host(rows):
+    """For each row of (page_id, url, html) how many tokens lie in runs of eight that another page of its host has too."""
+    runs = {}
+    tokens = [(url.split("/")[2], page, html.parse(page)[0]) for _, url, page in rows]
+    for host, page, found in tokens:
+        for i in range(len(found) - 7):
+            runs.setdefault((host, *found[i : i + 8]), set()).add(page)
+    return [
+        sum(any(len(runs[(host, *t[a : a + 8])]) > 1 for a in range(max(p - 7, 0), p + 1) if a + 8 <= len(t)) for p in range(len(t)))
+        for host, _, t in tokens
+    ]
+
+
+def test_groups_agree_with_brute_force(spark):
+    """Few words, hosts that name themselves on their pages, equal pages on one host and on others, in 12 groups."""
+    rng = np.random.default_rng(5)
+    pages = [" ".join(f"w{x}" for x in rng.integers(0, 6, rng.integers(0, 60))) for _ in range(150)]
+    common = "and some words that stand on pages of many different hosts"
+    rows = []
+    for i, page in enumerate(pages + pages[:40]):
+        host = f"h{i % 7}"
+        rows.append((i, f"http://{host}/{i}", f"<body><p>{page}</p>" + (f"<p>{host} {common}" if i % 20 == 0 else "")))
+    found = {r.page_id: r for r in html.page_report(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(12)).collect()}
+    assert [found[i].n_repeated for i in range(len(rows))] == repeated_by_host(rows)
+
+
+def test_pages_are_parsed_once_and_html_is_not_shuffled(spark):
+    rows = [(i, f"http://h/{i}", f"<body><p>page number {i} of many") for i in range(300)]
+    report = html.page_report(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    assert len(report.collect()) == 300
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    steps = [line for line in plan.splitlines() if "InArrow" in line]
+    assert len(steps) == 5 and sum("_html" in line for line in steps) == 1 and plan.count("ReusedExchange") == 2
+
+
+def test_groups_send_less_than_the_table_holds(spark, sf_dir):
+    """What groups send for comparing and extracting is smaller than the pages are in parquet, where few pages share runs."""
+    path = Path(f"{sf_dir.replace('sf0.001', 'sf0.01')}/pages.parquet")
+    table = spark.read.parquet(str(path)).selectExpr("page_id", "url", "html as _html", "split(url, '/')[2] as _host").coalesce(1)
+    rows = table.mapInArrow(html._send_groups(4, 32), html._SENT).collect()
+    sent = sum(len(value) for row in rows for value in row if isinstance(value, (bytes, bytearray)))
+    assert sent < path.stat().st_size
+
+
+@pytest.mark.parametrize("blocks", [[], ["one"], ["a b a", "c", "b d"], ["x " * 40, "y"]])
+def test_groups_are_restored(blocks):
+    page = "<html>" + "".join(f"<p>{b}<b>" for b in blocks) + "<article>text"
+    group = html._group([page, "", page + "."], ["h", "h", "g"])
+    again = html._restored(html._saved(group))
+    assert again.words == group.words
+    for name in ("ids", "sizes", "marks", "hosts", "names", "starts"):
+        assert getattr(again, name).tolist() == getattr(group, name).tolist()
+
+
+def test_one_page_has_no_runs_in_common():
+    assert html.main_texts(["<body><p>page number 1 of many"]) == (["page number 1 of many"], [0])
