@@ -42,7 +42,7 @@ from rastro.llm.packing import compressed, cuts, decompressed, pack, unpack
 from rastro.llm.workers import find_package
 
 #: Pages and bytes of html of a group at most; one larger page is a group of its own.
-GROUP_PAGES, GROUP_BYTES = 1024, 8 << 20
+GROUP_PAGES, GROUP_BYTES = 2048, 16 << 20
 #: Html per part, of which each compares a range of anchors; a small table has up to ``FEW_PARTS`` smaller parts.
 PART_BYTES, LEAST_PART_BYTES, FEW_PARTS = 64 << 20, 1 << 20, 64
 #: Not read any more, as pages are not joined with the sizes of their hosts; the name stays for callers that set it.
@@ -386,9 +386,10 @@ def _unpacked(data, n):
     return np.cumsum(unpack(data, n, np.uint64), dtype=np.uint64)
 
 
-def _joined(rows):
-    """The numbers of all ``rows`` in order."""
-    return np.sort(np.concatenate([np.empty(0, np.uint64), *(_unpacked(r["runs"], r["n"]) for r in rows)]))
+def _told(replies, sender):
+    """The places in all replies to a group, in order."""
+    found = [_unpacked(r["places"], r["n"]) for r in replies if r["sender"] == sender]
+    return np.sort(np.concatenate([np.empty(0, np.uint64), *found])).astype(np.int64)
 
 
 def _among(numbers, known):
@@ -398,6 +399,14 @@ def _among(numbers, known):
     return known[np.minimum(np.searchsorted(known, numbers), len(known) - 1)] == numbers
 
 
+def _distinct(numbers):
+    """Distinct numbers in order; ``np.unique`` hashes them first, which takes several times as long."""
+    numbers = np.sort(numbers)
+    new = np.ones(len(numbers), bool)
+    new[1:] = numbers[1:] != numbers[:-1]
+    return numbers[new]
+
+
 def _bits(flags):
     return pack(np.packbits(flags))
 
@@ -423,15 +432,17 @@ def _table(schema, rows):
 
 
 #: What a group sends: its anchors, and the names of its pages among them, to the part that compares their range, with a bit
-#: for each that says if some run with it is on one page only; and itself to its own part, ``home``.
+#: for each that says if some run with it is on one page only, and the place of the first among all of the group; and itself to
+#: its own part, ``home``.
 _SENT = (
-    "part bigint, sender bigint, home bigint, n bigint, runs binary, open binary, "
+    "part bigint, sender bigint, home bigint, first bigint, n bigint, runs binary, open binary, "
     "rows binary, pages bigint, tokens bigint, size bigint, words binary, arrays binary, ids binary, marks binary, starts binary"
 )
 #: Full hashes of runs, a bit for each that is on one page only, a bit for each of these whose page may have a copy in another
-#: group, and the names of those pages.
-_RUNS = "part bigint, sender bigint, home bigint, n bigint, runs binary, open binary, named binary, names binary"
-_REPLIES = "home bigint, sender bigint, n bigint, runs binary"
+#: group, the names of those pages, and the places of the runs among all of the group.
+_RUNS = "part bigint, sender bigint, home bigint, n bigint, runs binary, open binary, named binary, names binary, places binary"
+#: The places of some of a group's anchors or runs, which are far smaller than the numbers themselves.
+_REPLIES = "home bigint, sender bigint, n bigint, places binary"
 
 
 def _saved(group):
@@ -477,6 +488,11 @@ def _cut(batches):
         yield pa.Table.from_batches(waiting)
 
 
+def _short_numbers(anchors, group, bits):
+    """The distinct anchors and names of pages of a group, by ``bits`` bits of each."""
+    return _distinct(np.concatenate([anchors, group.names]) >> np.uint64(64 - bits))
+
+
 def _send_groups(n_parts, bits):
     """Parses pages, finds what a group's own pages repeat, and sends the anchors of its runs and the group itself."""
 
@@ -493,12 +509,11 @@ def _send_groups(n_parts, bits):
             sender = {"sender": task << 32 | number, "home": home}
             rows = [{"part": home, **sender, "rows": _stream(keys), **_saved(group)}]
             whole, _, anchors = run_hashes(group)
-            shift = np.uint64(64 - bits)
-            single = np.unique(np.concatenate([anchors[~group.starts[whole]], group.names]) >> shift)
-            anchors = np.unique(np.concatenate([anchors, group.names]) >> shift)
+            single = _short_numbers(anchors[~group.starts[whole]], group, bits)
+            anchors = _short_numbers(anchors, group, bits)
             is_open = _among(anchors, single)
             for part, a, b in _dealt(anchors, bits, n_parts):
-                rows.append({"part": part, **sender, "n": b - a, "runs": _packed(anchors[a:b]), "open": _bits(is_open[a:b])})
+                rows.append({"part": part, **sender, "first": a, "n": b - a, "runs": _packed(anchors[a:b]), "open": _bits(is_open[a:b])})
             yield from _table(_SENT, rows).to_batches()
 
     return run
@@ -515,25 +530,26 @@ def _groups_in(table):
     return table.filter(pc.is_valid(table.column("rows"))).to_pylist()
 
 
-def _replies(rows, listed, chosen):
-    """To the sender of each of ``rows`` those of its numbers that are ``chosen``, for all rows one after the other."""
+def _replies(rows, places, chosen):
+    """To the sender of each of ``rows`` those of its places that are ``chosen``, for all rows one after the other."""
     found, begin = [], 0
-    for r, own in zip(rows, listed):
+    for r, own in zip(rows, places):
         own, begin = own[chosen[begin : begin + len(own)]], begin + len(own)
         if len(own):
-            found.append({"home": r["home"], "sender": r["sender"], "n": len(own), "runs": _packed(own)})
+            found.append({"home": r["home"], "sender": r["sender"], "n": len(own), "places": _packed(own)})
     return _table(_REPLIES, found)
 
 
 def _find_shared(table):
     """For each group its anchors in one range that another group has too, unless all have each run with it on two pages."""
-    rows = table.select(["sender", "home", "n", "runs", "open"]).filter(pc.is_valid(table.column("runs"))).to_pylist()
+    rows = table.select(["sender", "home", "first", "n", "runs", "open"]).filter(pc.is_valid(table.column("runs"))).to_pylist()
     listed = [_unpacked(r["runs"], r["n"]) for r in rows]
     is_open = np.concatenate([np.empty(0, bool), *(_flags(r["open"], r["n"]) for r in rows)])
     anchors = np.concatenate([np.empty(0, np.uint64), *listed])
     ordered = np.sort(anchors)
-    shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    return _replies(rows, listed, _among(anchors, np.intersect1d(shared, anchors[is_open])))
+    shared = _distinct(ordered[1:][ordered[1:] == ordered[:-1]])
+    places = [np.arange(r["first"], r["first"] + r["n"], dtype=np.uint64) for r in rows]
+    return _replies(rows, places, _among(anchors, shared[_among(shared, np.sort(anchors[is_open]))]))
 
 
 def _send_runs(n_parts, bits):
@@ -543,20 +559,23 @@ def _send_runs(n_parts, bits):
         asked = replies.to_pylist()
         found = []
         for row in _groups_in(table) if asked else []:
-            known = _joined([r for r in asked if r["sender"] == row["sender"]])
+            known = _told(asked, row["sender"])
             if not len(known):
                 continue
             group = _restored(row)
             shift = np.uint64(64 - bits)
             whole, hashes, anchors = run_hashes(group)
+            known = _short_numbers(anchors, group, bits)[known]
             chosen = np.flatnonzero(_among(anchors >> shift, known))
             runs, first = np.unique(hashes[chosen], return_index=True)
-            places = whole[chosen[first]]
-            names, is_open = np.repeat(group.names, group.sizes)[places], ~group.starts[places]
+            begin = whole[chosen[first]]
+            names, is_open = np.repeat(group.names, group.sizes)[begin], ~group.starts[begin]
             named = is_open & _among(names >> shift, known)
+            places = np.searchsorted(_distinct(hashes), runs).astype(np.uint64)
             for part, a, b in _dealt(runs, 64, n_parts):
-                bits_of = {"open": _bits(is_open[a:b]), "named": _bits(named[a:b]), "names": pack(names[a:b][named[a:b]])}
-                found.append({"part": part, "sender": row["sender"], "home": row["home"], "n": b - a, "runs": _packed(runs[a:b]), **bits_of})
+                sent = {"n": b - a, "runs": _packed(runs[a:b]), "open": _bits(is_open[a:b]), "places": _packed(places[a:b])}
+                sent |= {"named": _bits(named[a:b]), "names": pack(names[a:b][named[a:b]])}
+                found.append({"part": part, "sender": row["sender"], "home": row["home"], **sent})
         return _table(_RUNS, found)
 
     return run
@@ -579,7 +598,8 @@ def _find_repeated(table):
     order = np.argsort(runs, kind="stable")
     begins = np.array([a for a, _ in cuts(runs[order])], np.int64)
     twice = np.minimum.reduceat(low[order], begins) < np.maximum.reduceat(high[order], begins)
-    return _replies(rows, listed, is_open & _among(runs, runs[order][begins][twice]))
+    places = [_unpacked(r["places"], r["n"]) for r in rows]
+    return _replies(rows, places, is_open & _among(runs, runs[order][begins][twice]))
 
 
 def _extract(schema):
@@ -589,10 +609,10 @@ def _extract(schema):
         for row in _groups_in(table):
             group = _restored(row)
             starts = group.starts
-            elsewhere = _joined([r for r in told if r["sender"] == row["sender"]])
+            elsewhere = _told(told, row["sender"])
             if len(elsewhere):
                 whole, hashes, _ = run_hashes(group)
-                starts[whole[_among(hashes, elsewhere)]] = True
+                starts[whole[_among(hashes, _distinct(hashes)[elsewhere])]] = True
             texts, repeated = _texts(group, starts)
             keys = pa.ipc.open_stream(row["rows"]).read_all()
             of_row = keys.column("_page").to_pylist()
